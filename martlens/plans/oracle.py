@@ -173,3 +173,100 @@ ranked AS (
 SELECT r.area, r.product_id, p.product_name, r.click_count, r.city_remark, CAST(r.rk AS INTEGER) AS rk
 FROM ranked r JOIN product_info p ON r.product_id = p.product_id
 WHERE r.rk <= {top}"""
+
+
+# ---------------------------------------------------------------- visits and sessions
+def _visits(f: VisitFilter) -> str:
+    return f"{SHOP}, vf AS ({visit_filter_sql(f)})"
+
+
+_MS = "epoch_ms(strptime({}, '%Y-%m-%d %H:%M:%S'))"
+
+_STATS = f"""
+stats AS (
+  SELECT session_id, min(action_time) AS start_time, max(action_time) AS end_time,
+         count(*) AS step_length,
+         {_MS.format('max(action_time)')} - {_MS.format('min(action_time)')} AS visit_length_ms
+  FROM vf GROUP BY session_id
+)"""
+
+_ACTS = """
+acts AS (
+  SELECT session_id, action_time, action_id,
+         CASE WHEN search_keyword IS NOT NULL THEN 'search'
+              WHEN click_product_id <> -1 THEN 'click'
+              WHEN order_product_ids IS NOT NULL THEN 'order' ELSE 'pay' END AS kind,
+         CASE WHEN search_keyword IS NOT NULL THEN search_keyword
+              WHEN click_product_id <> -1 THEN CAST(click_product_id AS VARCHAR)
+              WHEN order_product_ids IS NOT NULL THEN order_product_ids ELSE pay_product_ids END AS item
+  FROM {src}
+)"""
+
+
+def _summary(src: str) -> str:
+    lists = ",\n".join(
+        f"COALESCE(string_agg(item, ',' ORDER BY action_time, action_id) "
+        f"FILTER (WHERE kind = '{k}' AND item IS NOT NULL), '') AS {col}"
+        for k, col in (("search", "search_keywords"), ("click", "click_product_ids"),
+                       ("order", "order_product_ids"), ("pay", "pay_product_ids"))
+    )
+    return _ACTS.format(src=src) + f""",
+summary AS (
+  SELECT session_id, min(action_time) AS start_time, max(action_time) AS end_time,
+         count(*) AS step_length,
+         {_MS.format('max(action_time)')} - {_MS.format('min(action_time)')} AS visit_length_ms,
+         {lists}
+  FROM acts GROUP BY session_id
+)"""
+
+
+def visits_filtered(f: VisitFilter) -> str:
+    return f"{_visits(f)} SELECT * FROM vf"
+
+
+def session_summary(f: VisitFilter) -> str:
+    return f"{_visits(f)}, {_summary('vf')} SELECT * FROM summary"
+
+
+def session_stage_ratio(f: VisitFilter, e: SessionEdges = SessionEdges()) -> str:
+    pcts = ", ".join(
+        f"{pct_scaled_first(b + '_count', 'session_count')} AS {b}_pct"
+        for b in ("short_visit", "long_visit", "short_step", "long_step")
+    )
+    return f"""{_visits(f)}, {_STATS},
+c AS (
+  SELECT count(*) AS session_count,
+         count(*) FILTER (WHERE visit_length_ms <= {e.visit_ms}) AS short_visit_count,
+         count(*) FILTER (WHERE visit_length_ms > {e.visit_ms}) AS long_visit_count,
+         count(*) FILTER (WHERE step_length <= {e.steps}) AS short_step_count,
+         count(*) FILTER (WHERE step_length > {e.steps}) AS long_step_count
+  FROM stats
+)
+SELECT *, {pcts} FROM c"""
+
+
+def _quota(s: SampleParams) -> str:
+    return f"""
+hours AS (
+  SELECT substr(start_time, 1, 13) AS day_hour, count(*) AS sessions FROM stats GROUP BY 1
+),
+quota AS (
+  SELECT day_hour, sessions, ({int(s.size)} * sessions) // (SELECT count(*) FROM stats) AS quota FROM hours
+)"""
+
+
+def session_hour_quota(f: VisitFilter, s: SampleParams = SampleParams()) -> str:
+    return f"{_visits(f)}, {_STATS}, {_quota(s)} SELECT * FROM quota"
+
+
+def session_sample(f: VisitFilter, s: SampleParams = SampleParams()) -> str:
+    return f"""{_visits(f)}, {_STATS}, {_quota(s)}, {_summary('vf')},
+ranked AS (
+  SELECT substr(start_time, 1, 13) AS day_hour,
+         CAST(row_number() OVER (PARTITION BY substr(start_time, 1, 13)
+                                 ORDER BY md5(session_id || ':' || {_lit(s.seed)}), session_id) AS INTEGER)
+           AS sample_rank,
+         *
+  FROM summary
+)
+SELECT r.* FROM ranked r JOIN quota q ON r.day_hour = q.day_hour WHERE r.sample_rank <= q.quota"""

@@ -11,11 +11,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.operators import areas
+from martlens.operators import areas, sessions, visits
+from martlens.params import PageFlow, SampleParams, SessionEdges, VisitFilter
 from martlens.sources import fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# Default test parameters (FIXTURES.md).
+FILTER = VisitFilter(
+    start_date="2024-01-03",
+    end_date="2024-01-28",
+    start_age=12,
+    end_age=55,
+    professionals=("BUILDING", "AUTOMOBILE", "MACHINERY"),
+)
+EDGES = SessionEdges(visit_ms=10_000, steps=5)
+SAMPLE = SampleParams(size=1000, seed="0")
+FLOW = PageFlow((1, 2, 3, 4, 5, 6, 7))
+
+
+def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = fixtures.load(spark, sf_dir)
+    return visits.visits_filtered(t.visits, t.users, FILTER)
+
+
+def _visits_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filtered(spark, sf_dir)
+
+
+def _session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_summary(_filtered(spark, sf_dir))
+
+
+def _session_stage_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_stage_ratio(sessions.session_stats(_filtered(spark, sf_dir)), EDGES)
+
+
+def _session_hour_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_hour_quota(sessions.session_stats(_filtered(spark, sf_dir)), SAMPLE)
+
+
+def _session_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_sample(_filtered(spark, sf_dir), SAMPLE)
+
 
 def _area_product_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
@@ -33,6 +71,11 @@ def _area_product_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "visits_filtered": _visits_filtered,
+    "session_summary": _session_summary,
+    "session_stage_ratio": _session_stage_ratio,
+    "session_hour_quota": _session_hour_quota,
+    "session_sample": _session_sample,
     "area_product_clicks": _area_product_clicks,
     "area_product_top3": _area_product_top3,
     "area_product_rank4_literal": _area_product_rank4_literal,
@@ -43,6 +86,11 @@ def oracle_sql() -> dict[str, str]:
     from martlens.plans import oracle as o
 
     return {
+        "visits_filtered": o.visits_filtered(FILTER),
+        "session_summary": o.session_summary(FILTER),
+        "session_stage_ratio": o.session_stage_ratio(FILTER, EDGES),
+        "session_hour_quota": o.session_hour_quota(FILTER, SAMPLE),
+        "session_sample": o.session_sample(FILTER, SAMPLE),
         "area_product_clicks": f"{o.SHOP}, {o.area_product_clicks()} SELECT * FROM area_product_clicks",
         "area_product_top3": o.area_product_top(3),
         "area_product_rank4_literal": o.area_product_top(4, keep_no_click=True),
