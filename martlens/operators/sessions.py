@@ -166,10 +166,7 @@ def session_sample(visits: DataFrame, sample: SampleParams = SampleParams()) ->
         .filter(F.col("sample_rank") <= F.lit(int(sample.size)))
     )
     picked = ranked.join(quota, "day_hour").filter(F.col("sample_rank") <= F.col("quota"))
-    picked = picked.select("session_id", "day_hour", "sample_rank")
     # At most ``sample.size`` rows by construction: a bounded broadcast.
-    chosen_visits = visits.join(F.broadcast(picked.select("session_id")), "session_id", "left_semi")
-    summary = session_summary(chosen_visits)
-    return summary.join(F.broadcast(picked), "session_id").select(
-        "day_hour", "sample_rank", *summary.columns
-    )
+    chosen = visits.join(F.broadcast(picked.select("session_id")), "session_id", "left_semi")
+    summary = session_summary(chosen)
+    return summary.select(day_hour_of_text("start_time").alias("day_hour"), *summary.columns)

@@ -269,4 +269,105 @@ ranked AS (
          *
   FROM summary
 )
-SELECT r.* FROM ranked r JOIN quota q ON r.day_hour = q.day_hour WHERE r.sample_rank <= q.quota"""
+SELECT r.* EXCLUDE (sample_rank) FROM ranked r JOIN quota q ON r.day_hour = q.day_hour
+WHERE r.sample_rank <= q.quota"""
+
+
+# ---------------------------------------------------------------- categories
+_CAT = """
+cat_acts AS (
+  SELECT CASE WHEN click_category_id <> -1 THEN 'click'
+              WHEN order_category_ids IS NOT NULL AND length(order_category_ids) > 0 THEN 'order'
+              WHEN pay_category_ids IS NOT NULL AND length(pay_category_ids) > 0 THEN 'pay' END AS kind,
+         CASE WHEN click_category_id <> -1 THEN [CAST(click_category_id AS VARCHAR)]
+              WHEN order_category_ids IS NOT NULL AND length(order_category_ids) > 0
+                THEN string_split(order_category_ids, ',')
+              WHEN pay_category_ids IS NOT NULL AND length(pay_category_ids) > 0
+                THEN string_split(pay_category_ids, ',') END AS ids
+  FROM vf
+),
+cat_ex AS (SELECT kind, unnest(ids) AS category_id FROM cat_acts),
+cat_counts AS (
+  SELECT category_id,
+         count(*) FILTER (WHERE kind = 'click') AS click_count,
+         count(*) FILTER (WHERE kind = 'order') AS order_count,
+         count(*) FILTER (WHERE kind = 'pay') AS pay_count
+  FROM cat_ex WHERE category_id <> '' GROUP BY category_id
+)"""
+
+
+def _cat_top(top: int) -> str:
+    return f"""{_CAT},
+cat_ranked AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY click_count DESC, order_count DESC, pay_count DESC,
+                                           category_id) AS INTEGER) AS rk
+  FROM cat_counts
+),
+cat_top AS (SELECT * FROM cat_ranked WHERE rk <= {int(top)})"""
+
+
+def category_counts(f: VisitFilter) -> str:
+    return f"{_visits(f)}, {_CAT} SELECT * FROM cat_counts"
+
+
+def category_top(f: VisitFilter, top: int = 10) -> str:
+    return f"{_visits(f)}, {_cat_top(top)} SELECT * FROM cat_top"
+
+
+def category_session_top(f: VisitFilter, top_categories: int = 10, top: int = 10) -> str:
+    return f"""{_visits(f)}, {_cat_top(top_categories)},
+cs AS (
+  SELECT CAST(click_category_id AS VARCHAR) AS category_id, session_id, count(*) AS click_count
+  FROM vf
+  WHERE click_category_id <> -1 AND CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM cat_top)
+  GROUP BY 1, 2
+),
+cs_ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id)
+                 AS INTEGER) AS rk
+  FROM cs
+)
+SELECT * FROM cs_ranked WHERE rk <= {int(top)}"""
+
+
+# ---------------------------------------------------------------- pages
+def _pair_pred(flow: PageFlow) -> str:
+    return "(" + " OR ".join(f"(from_page = {a} AND to_page = {b})" for a, b in flow.pairs) + ")"
+
+
+def _pages(flow: PageFlow) -> str:
+    src = ", ".join(str(p) for p in flow.sources)
+    return f"""
+pv AS (SELECT page_id, count(*) AS visits FROM vf WHERE page_id IN ({src}) GROUP BY page_id),
+steps AS (
+  SELECT page_id AS from_page,
+         lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, action_id) AS to_page,
+         lead(1) OVER (PARTITION BY session_id ORDER BY action_time, action_id) AS has_next
+  FROM vf
+),
+pt AS (
+  SELECT from_page, to_page, count(*) AS transitions FROM steps
+  WHERE has_next IS NOT NULL AND {_pair_pred(flow)} GROUP BY 1, 2
+)"""
+
+
+def page_visits(f: VisitFilter, flow: PageFlow) -> str:
+    return f"{_visits(f)}, {_pages(flow)} SELECT * FROM pv"
+
+
+def page_transitions(f: VisitFilter, flow: PageFlow) -> str:
+    return f"{_visits(f)}, {_pages(flow)} SELECT * FROM pt"
+
+
+def page_conversion(f: VisitFilter, flow: PageFlow) -> str:
+    values = ", ".join(f"({a}, {b})" for a, b in flow.pairs)
+    return f"""{_visits(f)}, {_pages(flow)},
+pairs AS (
+  SELECT CAST(a AS BIGINT) AS from_page, CAST(b AS BIGINT) AS to_page FROM (VALUES {values}) t(a, b)
+)
+SELECT p.from_page, p.to_page, COALESCE(t.transitions, 0) AS transitions,
+       COALESCE(v.visits, 0) AS from_visits,
+       {pct_ratio_first('COALESCE(t.transitions, 0)', 'COALESCE(v.visits, 0)')} AS conversion_pct
+FROM pairs p
+LEFT JOIN pt t ON p.from_page = t.from_page AND p.to_page = t.to_page
+LEFT JOIN pv v ON p.from_page = v.page_id"""

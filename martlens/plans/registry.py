@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.operators import areas, sessions, visits
+from martlens.operators import areas, categories, pages, sessions, visits
 from martlens.params import PageFlow, SampleParams, SessionEdges, VisitFilter
 from martlens.sources import fixtures
 
@@ -55,6 +55,31 @@ def _session_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_sample(_filtered(spark, sf_dir), SAMPLE)
 
 
+def _category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return categories.category_counts(_filtered(spark, sf_dir))
+
+
+def _category_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return categories.category_top(_filtered(spark, sf_dir), 10)
+
+
+def _category_session_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _filtered(spark, sf_dir)
+    return categories.category_session_top(v, categories.category_top(v, 10), 10)
+
+
+def _page_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_visits(_filtered(spark, sf_dir), FLOW)
+
+
+def _page_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_transitions(_filtered(spark, sf_dir), FLOW)
+
+
+def _page_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_conversion(_filtered(spark, sf_dir), FLOW)
+
+
 def _area_product_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
     return areas.area_product_top(t.visits, t.cities, t.products, top=3)
@@ -76,6 +101,12 @@ QUERIES: dict[str, QueryFn] = {
     "session_stage_ratio": _session_stage_ratio,
     "session_hour_quota": _session_hour_quota,
     "session_sample": _session_sample,
+    "category_counts": _category_counts,
+    "category_top10": _category_top10,
+    "category_session_top10": _category_session_top10,
+    "page_visits": _page_visits,
+    "page_transitions": _page_transitions,
+    "page_conversion": _page_conversion,
     "area_product_clicks": _area_product_clicks,
     "area_product_top3": _area_product_top3,
     "area_product_rank4_literal": _area_product_rank4_literal,
@@ -91,6 +122,12 @@ def oracle_sql() -> dict[str, str]:
         "session_stage_ratio": o.session_stage_ratio(FILTER, EDGES),
         "session_hour_quota": o.session_hour_quota(FILTER, SAMPLE),
         "session_sample": o.session_sample(FILTER, SAMPLE),
+        "category_counts": o.category_counts(FILTER),
+        "category_top10": o.category_top(FILTER, 10),
+        "category_session_top10": o.category_session_top(FILTER, 10, 10),
+        "page_visits": o.page_visits(FILTER, FLOW),
+        "page_transitions": o.page_transitions(FILTER, FLOW),
+        "page_conversion": o.page_conversion(FILTER, FLOW),
         "area_product_clicks": f"{o.SHOP}, {o.area_product_clicks()} SELECT * FROM area_product_clicks",
         "area_product_top3": o.area_product_top(3),
         "area_product_rank4_literal": o.area_product_top(4, keep_no_click=True),
