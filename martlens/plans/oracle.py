@@ -80,13 +80,20 @@ ad_decoded AS (
          TRY_CAST(p[4] AS BIGINT) AS user_id, TRY_CAST(p[5] AS BIGINT) AS ad_id
   FROM ad_parts
 ),
-ad_clicks AS (
-  SELECT event_id, epoch_ms(millis) AS ts, area, city, user_id, ad_id,
-         strftime(epoch_ms(millis), '%Y-%m-%d') AS day
+ad_checked AS (
+  SELECT *,
+         CASE WHEN value IS NULL THEN 'null_line'
+              WHEN n_fields <> 5 THEN 'field_count'
+              WHEN millis IS NULL OR millis < 0 OR millis > 253402300799999 THEN 'bad_millis'
+              WHEN user_id IS NULL THEN 'bad_user_id'
+              WHEN ad_id IS NULL THEN 'bad_ad_id' END AS reject_reason
   FROM ad_decoded
-  WHERE n_fields = 5 AND millis BETWEEN 0 AND 253402300799999
-    AND user_id IS NOT NULL AND ad_id IS NOT NULL
-)"""
+),
+ad_clicks AS (
+  SELECT event_id, epoch_ms(millis) AS ts, area, city, user_id, ad_id
+  FROM ad_checked WHERE reject_reason IS NULL
+),
+clicks_d AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM ad_clicks)"""
 
 
 def _with(*parts: str) -> str:
@@ -371,3 +378,116 @@ SELECT p.from_page, p.to_page, COALESCE(t.transitions, 0) AS transitions,
 FROM pairs p
 LEFT JOIN pt t ON p.from_page = t.from_page AND p.to_page = t.to_page
 LEFT JOIN pv v ON p.from_page = v.page_id"""
+
+
+# ---------------------------------------------------------------- ads
+def ad_clicks() -> str:
+    return f"{ADS} SELECT * FROM ad_clicks"
+
+
+def ad_clicks_rejected() -> str:
+    return f"{ADS} SELECT event_id, value, reject_reason FROM ad_checked WHERE reject_reason IS NOT NULL"
+
+
+def ad_user_counts() -> str:
+    return f"{ADS} SELECT day, user_id, ad_id, count(*) AS clicks FROM clicks_d GROUP BY 1, 2, 3"
+
+
+def _blacklist(threshold: int) -> str:
+    return f"""
+nth AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, day ORDER BY ts, event_id) AS nth FROM clicks_d
+),
+trip AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS first_trip
+  FROM nth WHERE nth = {int(threshold) + 1}
+),
+blacklist AS (
+  SELECT user_id, ts AS blacklisted_at, event_id AS blacklisted_event_id, ad_id, day
+  FROM trip WHERE first_trip = 1
+)"""
+
+
+def ad_blacklist(threshold: int) -> str:
+    return f"{ADS}, {_blacklist(threshold)} SELECT * FROM blacklist"
+
+
+def ad_clicks_clean(threshold: int) -> str:
+    return f"""{ADS}, {_blacklist(threshold)}
+SELECT c.* FROM ad_clicks c LEFT JOIN blacklist b ON c.user_id = b.user_id
+WHERE b.user_id IS NULL OR c.ts < b.blacklisted_at
+   OR (c.ts = b.blacklisted_at AND c.event_id <= b.blacklisted_event_id)"""
+
+
+_CITY_COUNTS = """
+city_counts AS (
+  SELECT day, area, city, ad_id, count(*) AS clicks FROM clicks_d GROUP BY 1, 2, 3, 4
+)"""
+
+
+def ad_daily_city_counts() -> str:
+    return f"{ADS}, {_CITY_COUNTS} SELECT * FROM city_counts"
+
+
+def _area_top(top: int) -> str:
+    return f"""{_CITY_COUNTS},
+area_counts AS (
+  SELECT day, area, ad_id, CAST(sum(clicks) AS BIGINT) AS clicks FROM city_counts GROUP BY 1, 2, 3
+),
+area_top AS (
+  SELECT * FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY day, area ORDER BY clicks DESC, ad_id) AS INTEGER) AS rk
+    FROM area_counts) WHERE rk <= {int(top)}
+)"""
+
+
+def ad_daily_area_top(top: int = 3) -> str:
+    return f"{ADS}, {_area_top(top)} SELECT * FROM area_top"
+
+
+def ad_daily_area_top_by_cities(top: int = 3) -> str:
+    return f"""{ADS}, {_CITY_COUNTS},
+per_ad AS (SELECT day, area, ad_id, count(*) AS cities FROM city_counts GROUP BY 1, 2, 3)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY day, area ORDER BY cities DESC, ad_id) AS INTEGER) AS rk
+  FROM per_ad) WHERE rk <= {int(top)}"""
+
+
+def ad_daily_area_top_json(top: int = 3) -> str:
+    return f"""{ADS}, {_area_top(top)}
+SELECT day, area,
+       '[' || string_agg('{{"' || CAST(ad_id AS VARCHAR) || '":' || CAST(clicks AS VARCHAR) || '}}', ','
+                         ORDER BY rk) || ']' AS ads_json
+FROM area_top GROUP BY day, area"""
+
+
+def _trend(window: str) -> str:
+    return f"""
+trend AS (
+  SELECT ad_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute, count(*) AS clicks
+  FROM ad_clicks WHERE ts > (SELECT max(ts) FROM ad_clicks) - INTERVAL '{window}'
+  GROUP BY 1, 2
+)"""
+
+
+def ad_minute_trend(window: str = "1 hour") -> str:
+    return f"{ADS}, {_trend(window)} SELECT * FROM trend"
+
+
+def ad_minute_trend_json(window: str = "1 hour") -> str:
+    return f"""{ADS}, {_trend(window)}
+SELECT ad_id,
+       '[' || string_agg('{{"' || minute || '":' || CAST(clicks AS VARCHAR) || '}}', ',' ORDER BY minute)
+           || ']' AS minutes_json
+FROM trend GROUP BY ad_id"""
+
+
+def ad_sliding_counts(window_ms: int = 300_000, slide_ms: int = 10_000) -> str:
+    n = window_ms // slide_ms
+    return f"""{ADS},
+ms AS (SELECT ad_id, epoch_ms(ts) AS m FROM ad_clicks),
+starts AS (
+  SELECT ad_id, (m // {slide_ms}) * {slide_ms} - i * {slide_ms} AS s FROM ms, range({n}) t(i)
+)
+SELECT ad_id, epoch_ms(s) AS window_start, epoch_ms(s + {window_ms}) AS window_end, count(*) AS clicks
+FROM starts GROUP BY ad_id, s"""

@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.operators import areas, categories, pages, sessions, visits
-from martlens.params import PageFlow, SampleParams, SessionEdges, VisitFilter
-from martlens.sources import fixtures
+from martlens.operators import ads, areas, categories, pages, sessions, visits
+from martlens.params import AdParams, PageFlow, SampleParams, SessionEdges, VisitFilter
+from martlens.sources import adlog, fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,8 @@ FILTER = VisitFilter(
 EDGES = SessionEdges(visit_ms=10_000, steps=5)
 SAMPLE = SampleParams(size=1000, seed="0")
 FLOW = PageFlow((1, 2, 3, 4, 5, 6, 7))
+# The original's threshold of 30 is never reached by the test data (largest count 4-6).
+AD = AdParams(blacklist_threshold=2)
 
 
 def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +97,63 @@ def _area_product_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return areas.area_product_clicks(t.visits, t.cities)
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.load(spark, sf_dir).ad_lines(keep_event_id=True)
+
+
+def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adlog.decode_clicks(_lines(spark, sf_dir))
+
+
+def _ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clicks(spark, sf_dir)
+
+
+def _ad_clicks_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adlog.rejected_lines(_lines(spark, sf_dir))
+
+
+def _ad_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_user_counts(_clicks(spark, sf_dir))
+
+
+def _ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_blacklist(_clicks(spark, sf_dir), AD.blacklist_threshold)
+
+
+def _ad_clicks_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _clicks(spark, sf_dir)
+    return ads.ad_clicks_clean(c, ads.ad_blacklist(c, AD.blacklist_threshold))
+
+
+def _ad_daily_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_daily_city_counts(_clicks(spark, sf_dir))
+
+
+def _ad_daily_area_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_daily_area_top(ads.ad_daily_city_counts(_clicks(spark, sf_dir)), AD.top_ads)
+
+
+def _ad_daily_area_top3_by_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_daily_area_top_by_cities(ads.ad_daily_city_counts(_clicks(spark, sf_dir)), AD.top_ads)
+
+
+def _ad_daily_area_top3_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_daily_area_top_json(_ad_daily_area_top3(spark, sf_dir))
+
+
+def _ad_minute_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_minute_trend(_clicks(spark, sf_dir), AD.trend_window)
+
+
+def _ad_minute_trend_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_minute_trend_json(_ad_minute_trend(spark, sf_dir))
+
+
+def _ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_sliding_counts(_clicks(spark, sf_dir), AD)
+
+
 QUERIES: dict[str, QueryFn] = {
     "visits_filtered": _visits_filtered,
     "session_summary": _session_summary,
@@ -110,6 +169,18 @@ QUERIES: dict[str, QueryFn] = {
     "area_product_clicks": _area_product_clicks,
     "area_product_top3": _area_product_top3,
     "area_product_rank4_literal": _area_product_rank4_literal,
+    "ad_clicks": _ad_clicks,
+    "ad_clicks_rejected": _ad_clicks_rejected,
+    "ad_user_counts": _ad_user_counts,
+    "ad_blacklist": _ad_blacklist,
+    "ad_clicks_clean": _ad_clicks_clean,
+    "ad_daily_city_counts": _ad_daily_city_counts,
+    "ad_daily_area_top3": _ad_daily_area_top3,
+    "ad_daily_area_top3_by_cities": _ad_daily_area_top3_by_cities,
+    "ad_daily_area_top3_json": _ad_daily_area_top3_json,
+    "ad_minute_trend": _ad_minute_trend,
+    "ad_minute_trend_json": _ad_minute_trend_json,
+    "ad_sliding_counts": _ad_sliding_counts,
 }
 
 
@@ -131,4 +202,16 @@ def oracle_sql() -> dict[str, str]:
         "area_product_clicks": f"{o.SHOP}, {o.area_product_clicks()} SELECT * FROM area_product_clicks",
         "area_product_top3": o.area_product_top(3),
         "area_product_rank4_literal": o.area_product_top(4, keep_no_click=True),
+        "ad_clicks": o.ad_clicks(),
+        "ad_clicks_rejected": o.ad_clicks_rejected(),
+        "ad_user_counts": o.ad_user_counts(),
+        "ad_blacklist": o.ad_blacklist(AD.blacklist_threshold),
+        "ad_clicks_clean": o.ad_clicks_clean(AD.blacklist_threshold),
+        "ad_daily_city_counts": o.ad_daily_city_counts(),
+        "ad_daily_area_top3": o.ad_daily_area_top(AD.top_ads),
+        "ad_daily_area_top3_by_cities": o.ad_daily_area_top_by_cities(AD.top_ads),
+        "ad_daily_area_top3_json": o.ad_daily_area_top_json(AD.top_ads),
+        "ad_minute_trend": o.ad_minute_trend(AD.trend_window),
+        "ad_minute_trend_json": o.ad_minute_trend_json(AD.trend_window),
+        "ad_sliding_counts": o.ad_sliding_counts(),
     }
