@@ -491,3 +491,12 @@ starts AS (
 )
 SELECT ad_id, epoch_ms(s) AS window_start, epoch_ms(s + {window_ms}) AS window_end, count(*) AS clicks
 FROM starts GROUP BY ad_id, s"""
+
+
+def ad_blacklist_users(threshold: int) -> str:
+    return f"{ADS}, {_blacklist(threshold)} SELECT user_id FROM blacklist"
+
+
+def ad_minute_counts() -> str:
+    return f"""{ADS}
+SELECT ad_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute, count(*) AS clicks FROM ad_clicks GROUP BY 1, 2"""

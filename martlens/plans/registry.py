@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlens.operators import ads, areas, categories, pages, sessions, visits
 from martlens.params import AdParams, PageFlow, SampleParams, SessionEdges, VisitFilter
+from martlens.session import scratch_path
 from martlens.sources import adlog, fixtures
+from martlens.streaming import ad_streams as st
+from martlens.streaming import replay
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -154,6 +157,71 @@ def _ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.ad_sliding_counts(_clicks(spark, sf_dir), AD)
 
 
+# ---------------------------------------------------------------- streams, drained = batch
+STREAM_DROPS = 3
+
+
+def _stream_run(spark: SparkSession, sf_dir: str, name: str, start) -> str:
+    """Replays the ad lines of ``sf_dir`` into a fresh folder in time-ordered drops."""
+    import uuid
+
+    base = scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
+    lines = fixtures.load(spark, sf_dir).ad_lines(keep_event_id=False)
+    ckpt = f"{base}/checkpoint"
+
+    def run(watched: str):
+        clicks = st.click_stream(spark, watched)
+        return start(clicks, base, st.StreamOptions(checkpoint=ckpt, available_now=True))
+
+    replay.run_in_drops(spark, lines, base, STREAM_DROPS, run)
+    return base
+
+
+def _stream_ad_daily_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _stream_run(
+        spark, sf_dir, "city_counts",
+        lambda c, b, o: st.start_daily_city_counts(c, st.city_counts_table(f"{b}/city_counts"), o, AD),
+    )
+    return st.city_counts_table(f"{base}/city_counts").latest(spark)
+
+
+def _stream_ad_daily_area_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _stream_run(
+        spark, sf_dir, "area_top",
+        lambda c, b, o: st.start_daily_area_top(
+            c, st.city_counts_table(f"{b}/city_counts"), st.top_ads_table(f"{b}/top"), o, AD
+        ),
+    )
+    return st.read_daily_area_top(spark, st.top_ads_table(f"{base}/top"))
+
+
+def _stream_ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _stream_run(
+        spark, sf_dir, "blacklist",
+        lambda c, b, o: st.start_blacklist(
+            c, st.SnapshotTable(f"{b}/user_counts", ["user_id", "ad_id", "day"]),
+            st.blacklist_table(f"{b}/blacklist"), o, AD,
+        ),
+    )
+    return st.read_blacklist(spark, st.blacklist_table(f"{base}/blacklist")).select("user_id")
+
+
+def _stream_ad_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _stream_run(
+        spark, sf_dir, "minutes",
+        lambda c, b, o: st.start_minute_counts(c, st.minute_counts_table(f"{b}/minutes"), o, AD),
+    )
+    return st.minute_counts_table(f"{base}/minutes").latest(spark)
+
+
+def _stream_ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _stream_run(
+        spark, sf_dir, "sliding",
+        lambda c, b, o: st.start_sliding_counts(c, st.sliding_counts_table(f"{b}/sliding"), o, AD),
+    )
+    return st.sliding_counts_table(f"{base}/sliding").latest(spark)
+
+
 QUERIES: dict[str, QueryFn] = {
     "visits_filtered": _visits_filtered,
     "session_summary": _session_summary,
@@ -181,6 +249,11 @@ QUERIES: dict[str, QueryFn] = {
     "ad_minute_trend": _ad_minute_trend,
     "ad_minute_trend_json": _ad_minute_trend_json,
     "ad_sliding_counts": _ad_sliding_counts,
+    "stream_ad_daily_city_counts": _stream_ad_daily_city_counts,
+    "stream_ad_daily_area_top3": _stream_ad_daily_area_top3,
+    "stream_ad_blacklist": _stream_ad_blacklist,
+    "stream_ad_minute_counts": _stream_ad_minute_counts,
+    "stream_ad_sliding_counts": _stream_ad_sliding_counts,
 }
 
 
@@ -214,4 +287,10 @@ def oracle_sql() -> dict[str, str]:
         "ad_minute_trend": o.ad_minute_trend(AD.trend_window),
         "ad_minute_trend_json": o.ad_minute_trend_json(AD.trend_window),
         "ad_sliding_counts": o.ad_sliding_counts(),
+        # A drained stream must equal its batch query.
+        "stream_ad_daily_city_counts": o.ad_daily_city_counts(),
+        "stream_ad_daily_area_top3": o.ad_daily_area_top(AD.top_ads),
+        "stream_ad_blacklist": o.ad_blacklist_users(AD.blacklist_threshold),
+        "stream_ad_minute_counts": o.ad_minute_counts(),
+        "stream_ad_sliding_counts": o.ad_sliding_counts(),
     }

@@ -7,8 +7,9 @@ every report's work grows with those tables. The derivation rules are fixed by F
 are mirrored in ``martlens.plans.oracle`` for DuckDB.
 
 All derivations are narrow (per-row) except ``city_info`` (nation x region, 25 rows) and the
-city lookup of ``ad_lines``, a join to that dimension: the planner broadcasts it after checking
-the file size against ``spark.sql.autoBroadcastJoinThreshold``.
+city lookup of ``ad_lines``, a join to that dimension. The city dimension has one row per city,
+so it is broadcast explicitly (the static planner would otherwise pick the smaller *file*, which
+on tiny inputs can be the fact side).
 """
 
 from __future__ import annotations
@@ -155,7 +156,7 @@ def ad_lines(events: DataFrame, cities: DataFrame, keep_event_id: bool = True) -
         F.col("user_id").cast("string"),
         (F.col("k") % 6 + 1).cast("string"),
     ).alias("value")
-    out = ev.join(cities, "city_id")
+    out = ev.join(F.broadcast(cities), "city_id")  # one row per city: a bounded broadcast
     return out.select("event_id", line) if keep_event_id else out.select(line)
 
 
