@@ -129,12 +129,36 @@ def ad_minute_trend_json(trend: DataFrame) -> DataFrame:
     return grouped.select("ad_id", json_pairs(F.col("m"), "minute", "clicks").alias("minutes_json"))
 
 
+def _seconds(interval: str) -> int:
+    n, unit = interval.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * mult
+
+
 def ad_sliding_counts(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
-    """ad_id, window_start, window_end, clicks over sliding event-time windows (T5)."""
-    w = F.window("ts", params.sliding_window, params.sliding_slide)
-    return clicks.groupBy("ad_id", w.alias("w")).agg(F.count(F.lit(1)).alias("clicks")).select(
+    """ad_id, window_start, window_end, clicks over sliding event-time windows (T5).
+
+    Every click of one slide-aligned bucket belongs to the same windows, so clicks are first
+    counted per (ad, bucket) (partial aggregation before any shuffle) and only the bucket
+    counts are expanded into their ``window / slide`` windows and summed. The result equals
+    ``groupBy(window(ts, window, slide))`` exactly; the expansion shrinks from one per click to
+    one per busy bucket.
+    """
+    win, slide = _seconds(params.sliding_window), _seconds(params.sliding_slide)
+    if win % slide:
+        w = F.window("ts", params.sliding_window, params.sliding_slide)
+        return clicks.groupBy("ad_id", w.alias("w")).agg(F.count(F.lit(1)).alias("clicks")).select(
+            "ad_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks"
+        )
+    per_bucket = clicks.groupBy("ad_id", F.window("ts", params.sliding_slide).start.alias("b")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    step = F.expr(f"INTERVAL {slide} SECONDS")
+    first = F.col("b") - F.expr(f"INTERVAL {win - slide} SECONDS")
+    starts = per_bucket.select("ad_id", "n", F.explode(F.sequence(first, F.col("b"), step)).alias("window_start"))
+    return starts.groupBy("ad_id", "window_start").agg(F.sum("n").alias("clicks")).select(
         "ad_id",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
+        "window_start",
+        (F.col("window_start") + F.expr(f"INTERVAL {win} SECONDS")).alias("window_end"),
         "clicks",
     )

@@ -14,7 +14,7 @@ on tiny inputs can be the fact side).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from pyspark.sql.types import (
 )
 
 from martlens.session import ensure_utc
-from martlens.sources.tables import read_table
+from martlens.sources.tables import read_table, spread_narrow_scan
 
 # Record schemas of the original data model (explicit; nothing is inferred).
 USER_VISIT_ACTION = StructType([
@@ -160,30 +160,47 @@ def ad_lines(events: DataFrame, cities: DataFrame, keep_event_id: bool = True) -
     return out.select("event_id", line) if keep_event_id else out.select(line)
 
 
-@dataclass(frozen=True)
 class ShopTables:
-    visits: DataFrame  # user_visit_action
-    users: DataFrame  # user_info
-    products: DataFrame  # product_info
-    cities: DataFrame  # city_info
-    events: DataFrame
+    """The shop views of one scale-factor directory, built on first use (lazy; nothing is read
+    until an action, and a report that needs two tables only plans two scans)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def events(self) -> DataFrame:
+        cols = ["event_id", "ts", "user_id", "event_type", "props"]
+        return spread_narrow_scan(read_table(self.spark, self.sf_dir, "events", cols), "event_id")
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        """user_visit_action"""
+        return user_visit_action(self.events)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        """user_info"""
+        return user_info(read_table(self.spark, self.sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"]))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        """product_info"""
+        return product_info(read_table(self.spark, self.sf_dir, "part", ["p_partkey", "p_name", "p_type"]))
+
+    @cached_property
+    def cities(self) -> DataFrame:
+        """city_info"""
+        return city_info(
+            read_table(self.spark, self.sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"]),
+            read_table(self.spark, self.sf_dir, "region", ["r_regionkey", "r_name"]),
+        )
 
     def ad_lines(self, keep_event_id: bool = True) -> DataFrame:
         return ad_lines(self.events, self.cities, keep_event_id)
 
 
 def load(spark: SparkSession, sf_dir: str) -> ShopTables:
-    """All views over one scale-factor directory (lazy; nothing is read until an action)."""
+    """All views over one scale-factor directory."""
     ensure_utc(spark)
-    events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
-    cities = city_info(
-        read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"]),
-        read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"]),
-    )
-    return ShopTables(
-        visits=user_visit_action(events),
-        users=user_info(read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])),
-        products=product_info(read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type"])),
-        cities=cities,
-        events=events,
-    )
+    return ShopTables(spark, sf_dir)

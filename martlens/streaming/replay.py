@@ -17,14 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlens.streaming.ad_streams import drain
-from martlens.streaming.snapshot import _fs
+from martlens.streaming.snapshot import _fs, path_exists
 
 
-def land(spark: SparkSession, lines: DataFrame, staging: str, watched: str, tag: str) -> None:
-    """Write ``lines`` (column ``value``) as text under ``staging``, then rename into ``watched``."""
-    out = f"{staging.rstrip('/')}/{tag}"
-    lines.select("value").write.mode("overwrite").text(out)
-    fs, src = _fs(spark, out)
+def _move_parts(spark: SparkSession, src_dir: str, watched: str, tag: str) -> None:
+    fs, src = _fs(spark, src_dir)
     _, dst_dir = _fs(spark, watched)
     fs.mkdirs(dst_dir)
     jvm = spark._jvm
@@ -34,12 +31,19 @@ def land(spark: SparkSession, lines: DataFrame, staging: str, watched: str, tag:
             fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(dst_dir, f"{tag}-{name}"))
 
 
+def land(spark: SparkSession, lines: DataFrame, staging: str, watched: str, tag: str) -> None:
+    """Write ``lines`` (column ``value``) as text under ``staging``, then rename into ``watched``."""
+    out = f"{staging.rstrip('/')}/{tag}"
+    lines.select("value").write.mode("overwrite").text(out)
+    _move_parts(spark, out, watched, tag)
+
+
 def time_chunk(lines: DataFrame, n: int) -> DataFrame:
     """Adds ``chunk`` in [0, n): equal ranges of the line's epoch millis (its first field)."""
     ms = F.split("value", " ").getItem(0).try_cast("bigint")
     with_ms = lines.withColumn("_ms", ms)
-    lo = with_ms.select(F.min("_ms")).scalar()
-    hi = with_ms.select(F.max("_ms")).scalar()
+    bounds = with_ms.select(F.struct(F.min("_ms").alias("lo"), F.max("_ms").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     span = hi - lo + F.lit(1)
     chunk = F.least(F.lit(n - 1), F.floor((F.col("_ms") - lo) * F.lit(n) / span)).cast("int")
     return with_ms.withColumn("chunk", F.coalesce(chunk, F.lit(n - 1))).drop("_ms")
@@ -53,10 +57,16 @@ def run_in_drops(
     start: Callable[[str], StreamingQuery],
 ) -> None:
     """Land ``lines`` in ``n`` time-ordered drops under ``base``; after each, ``start(watched)``
-    must return an ``availableNow`` query, which is drained before the next drop."""
+    must return an ``availableNow`` query, which is drained before the next drop.
+
+    All drops are written by one job (partitioned by drop number); each drop is then handed to
+    the stream by renaming its files into the watched folder.
+    """
     watched = f"{base}/incoming"
     staging = f"{base}/staging"
-    chunked = time_chunk(lines, n)
+    time_chunk(lines, n).select("value", "chunk").write.mode("overwrite").partitionBy("chunk").text(staging)
     for i in range(n):
-        land(spark, chunked.filter(F.col("chunk") == i), staging, watched, f"drop{i:04d}-{uuid.uuid4().hex[:8]}")
+        src = f"{staging}/chunk={i}"
+        if path_exists(spark, src):
+            _move_parts(spark, src, watched, f"drop{i:04d}-{uuid.uuid4().hex[:8]}")
         drain(start(watched))
