@@ -140,3 +140,21 @@ def test_snapshot_replay_is_idempotent_and_compaction_keeps_latest(spark, scratc
     assert t.compact(spark) == 2
     assert {tuple(r) for r in t.latest(spark).select("k", "day", "v").collect()} == want
     assert t.raw(spark).select("batch_id").distinct().count() == 1
+
+
+def test_realtime_app_on_text_files(spark, scratch):
+    from martlens.streaming.app import RealtimeTables, start_realtime
+
+    t0 = 1_704_067_200_000
+    rows = [(f"{t0 + i * 1000} AREA c{i % 3} {i % 2} {1 + (i >= 10)}",) for i in range(12)] + [("bad line",)]
+    replay.land(spark, spark.createDataFrame(rows, adlog.AD_LINE_SCHEMA), f"{scratch}/stage", f"{scratch}/in", "a")
+    lines = adlog.read_line_stream(spark, f"{scratch}/in")
+    for q in start_realtime(lines, f"{scratch}/out", AdParams(blacklist_threshold=2), available_now=True):
+        st.drain(q)
+    t = RealtimeTables(f"{scratch}/out")
+    assert sum(r.clicks for r in t.city_counts.latest(spark).collect()) == 12
+    assert spark.read.parquet(t.rejected).count() == 1
+    assert {r.user_id for r in st.read_blacklist(spark, t.blacklist).collect()} == {0, 1}  # 5 clicks on ad 1
+    assert [(r.ad_id, r.clicks) for r in st.read_daily_area_top(spark, t.top_ads).orderBy("rk").collect()] == [
+        (1, 10), (2, 2)]
+    assert spark.read.parquet(t.clean_clicks).count() <= 12
