@@ -171,7 +171,10 @@ def _stream_run(spark: SparkSession, sf_dir: str, name: str, start) -> str:
 
     def run(watched: str):
         clicks = st.click_stream(spark, watched)
-        return start(clicks, base, st.StreamOptions(checkpoint=ckpt, available_now=True))
+        opts = st.StreamOptions(
+            checkpoint=ckpt, available_now=True, state_partitions=spark.sparkContext.defaultParallelism
+        )
+        return start(clicks, base, opts)
 
     replay.run_in_drops(spark, lines, base, STREAM_DROPS, run)
     return base

@@ -39,6 +39,9 @@ class StreamOptions:
     processing_time: str = "5 seconds"
     available_now: bool = False
     query_name: str | None = None
+    # Number of state-store partitions of a stateful query. Fixed into the checkpoint at the
+    # first start (restarts reuse it); None keeps the session's spark.sql.shuffle.partitions.
+    state_partitions: int | None = None
 
 
 def click_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -51,7 +54,17 @@ def _start(df: DataFrame, fn, opts: StreamOptions, mode: str = "update") -> Stre
     if opts.query_name:
         w = w.queryName(opts.query_name)
     w = w.trigger(availableNow=True) if opts.available_now else w.trigger(processingTime=opts.processing_time)
-    return w.start()
+    if not opts.state_partitions:
+        return w.start()
+    # The query clones the session conf when it is created, so the setting applies to it only.
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(int(opts.state_partitions)))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 # ---------------------------------------------------------------- R8: running day x area x city x ad
