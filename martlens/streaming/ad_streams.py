@@ -78,8 +78,8 @@ def daily_city_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -
     return agg.select(F.date_format("w.start", DAY_FMT).alias("day"), "area", "city", "ad_id", "clicks")
 
 
-def city_counts_table(path: str) -> SnapshotTable:
-    return SnapshotTable(path, ["day", "area", "city", "ad_id"], partition_by=["day"])
+def city_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
+    return SnapshotTable(path, ["day", "area", "city", "ad_id"], partition_by=["day"], compact_every=compact_every)
 
 
 def start_daily_city_counts(
@@ -89,8 +89,10 @@ def start_daily_city_counts(
 
 
 # ---------------------------------------------------------------- R9: top ads per day x area
-def top_ads_table(path: str) -> SnapshotTable:
-    return SnapshotTable(path, ["day", "area", "ad_id"], partition_by=["day"])
+def top_ads_table(path: str, compact_every: int = 100) -> SnapshotTable:
+    return SnapshotTable(
+        path, ["day", "area", "ad_id"], partition_by=["day"], groups=["day", "area"], compact_every=compact_every
+    )
 
 
 def start_daily_area_top(
@@ -107,8 +109,12 @@ def start_daily_area_top(
         batch = batch.persist()  # T8: the batch feeds two writes
         try:
             city_sink.write_batch(batch, batch_id)
-            touched = batch.select("day").distinct()
-            current = city_sink.latest(spark).join(touched, "day", "left_semi")
+            # The days this batch touched: rows behind the watermark are dropped, so a batch
+            # spans at most the watermark delay plus its own span (one to three days).
+            days = [r.day for r in batch.select("day").distinct().collect()]
+            if not days:
+                return
+            current = city_sink.latest(spark, where=F.col("day").isin(days))
             top = ads.ad_daily_area_top(current, params.top_ads)
             top_sink.write_batch(top, batch_id)
         finally:
@@ -191,8 +197,8 @@ def minute_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> Da
     return agg.select("ad_id", F.date_format("w.start", MINUTE_FMT).alias("minute"), "clicks")
 
 
-def minute_counts_table(path: str) -> SnapshotTable:
-    return SnapshotTable(path, ["ad_id", "minute"])
+def minute_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
+    return SnapshotTable(path, ["ad_id", "minute"], compact_every=compact_every)
 
 
 def start_minute_counts(
@@ -216,8 +222,8 @@ def sliding_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> D
     return agg.select("ad_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks")
 
 
-def sliding_counts_table(path: str) -> SnapshotTable:
-    return SnapshotTable(path, ["ad_id", "window_start", "window_end"])
+def sliding_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
+    return SnapshotTable(path, ["ad_id", "window_start", "window_end"], compact_every=compact_every)
 
 
 def start_sliding_counts(

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlens.session import checkpoint_dir
@@ -58,10 +58,19 @@ class SnapshotTable:
     few days read and rewrite only those (partition pruning / dynamic partition pruning).
     """
 
-    def __init__(self, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()):
+    def __init__(
+        self,
+        path: str,
+        keys: Sequence[str],
+        partition_by: Sequence[str] = (),
+        groups: Sequence[str] | None = None,
+        compact_every: int = 0,
+    ):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.partition_by = list(partition_by)
+        self.groups = list(groups) if groups else None  # multi-row results: newest batch per group
+        self.compact_every = int(compact_every)
 
     # ---------------------------------------------------------------- writing
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
@@ -74,6 +83,10 @@ class SnapshotTable:
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+        if self.compact_every and batch_id > 1 and batch_id % self.compact_every == 0:
+            # Only committed batches (< batch_id) are folded: a replay of this batch rewrites
+            # its own partition and can never overwrite folded rows.
+            self.compact(df.sparkSession, upto=batch_id - 1, group=self.groups)
 
     # ---------------------------------------------------------------- reading
     def exists(self, spark: SparkSession) -> bool:
@@ -90,9 +103,15 @@ class SnapshotTable:
             spark.conf.set(key, before)
         return df.withColumn(BATCH_COL, F.col(BATCH_COL).cast("bigint"))
 
-    def latest(self, spark: SparkSession) -> DataFrame:
-        """One row per key: the values written by the newest batch (partial + final aggregate)."""
+    def latest(self, spark: SparkSession, where: Column | None = None) -> DataFrame:
+        """One row per key: the values written by the newest batch (partial + final aggregate).
+
+        ``where`` filters the rows before the aggregate; on a partition column (``day``) it
+        prunes the scan to those partitions.
+        """
         raw = self.raw(spark)
+        if where is not None:
+            raw = raw.filter(where)
         values = [c for c in raw.columns if c not in self.keys and c != BATCH_COL]
         newest = raw.groupBy(*self.keys).agg(
             F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("v")

@@ -158,3 +158,16 @@ def test_realtime_app_on_text_files(spark, scratch):
     assert [(r.ad_id, r.clicks) for r in st.read_daily_area_top(spark, t.top_ads).orderBy("rk").collect()] == [
         (1, 10), (2, 2)]
     assert spark.read.parquet(t.clean_clicks).count() <= 12
+
+
+def test_auto_compaction_during_stream(spark, scratch, small):
+    lines, clicks = small
+    city = st.city_counts_table(f"{scratch}/cc", compact_every=2)
+    top = st.top_ads_table(f"{scratch}/top", compact_every=2)
+    _drain(spark, lines, scratch, 5, lambda c, o: st.start_daily_area_top(c, city, top, o, AD))
+    cols = ["day", "area", "ad_id", "clicks", "rk"]
+    batch_top = ads.ad_daily_area_top(ads.ad_daily_city_counts(clicks), 3)
+    assert _rows(st.read_daily_area_top(spark, top), cols) == _rows(batch_top, cols)
+    assert city.raw(spark).select("batch_id").distinct().count() < 5  # folded
+    cc = ["day", "area", "city", "ad_id", "clicks"]
+    assert _rows(city.latest(spark), cc) == _rows(ads.ad_daily_city_counts(clicks), cc)
