@@ -95,6 +95,12 @@ def _area_product_rank4_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return areas.area_product_top(t.visits, t.cities, t.products, top=4, keep_no_click=True)
 
 
+def _area_product_top3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlens.plans.sql_reports import area_product_top_sql
+
+    return area_product_top_sql(spark, fixtures.load(spark, sf_dir), top=3)
+
+
 def _area_product_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
     return areas.area_product_clicks(t.visits, t.cities)
@@ -240,6 +246,7 @@ QUERIES: dict[str, QueryFn] = {
     "area_product_clicks": _area_product_clicks,
     "area_product_top3": _area_product_top3,
     "area_product_rank4_literal": _area_product_rank4_literal,
+    "area_product_top3_sql": _area_product_top3_sql,
     "ad_clicks": _ad_clicks,
     "ad_clicks_rejected": _ad_clicks_rejected,
     "ad_user_counts": _ad_user_counts,
@@ -278,6 +285,7 @@ def oracle_sql() -> dict[str, str]:
         "area_product_clicks": f"{o.SHOP}, {o.area_product_clicks()} SELECT * FROM area_product_clicks",
         "area_product_top3": o.area_product_top(3),
         "area_product_rank4_literal": o.area_product_top(4, keep_no_click=True),
+        "area_product_top3_sql": o.area_product_top(3),
         "ad_clicks": o.ad_clicks(),
         "ad_clicks_rejected": o.ad_clicks_rejected(),
         "ad_user_counts": o.ad_user_counts(),
