@@ -32,7 +32,7 @@ class RealtimeTables:
 
     @property
     def user_counts(self) -> SnapshotTable:
-        return SnapshotTable(f"{self.base}/city_user_click_count", ["user_id", "ad_id", "day"])
+        return SnapshotTable(f"{self.base}/city_user_click_count", ["user_id", "ad_id", "day"], partition_by=["day"])
 
     @property
     def blacklist(self) -> SnapshotTable:
