@@ -33,6 +33,31 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    * Scan splits and post-shuffle partitions target ``target_partition_bytes`` (fits an
+      executor core's share of memory; larger partitions spill instead of failing).
+    * ``spark.sql.shuffle.partitions`` is an upper bound (input / target, at least 3 waves of
+      cores); AQE coalesces small partitions and splits skewed join partitions at runtime.
+    * The broadcast threshold stays modest: only sides AQE *measures* under it are broadcast.
+    * ``windowGroupLimitThreshold`` is raised so that every literal top-k bound used here
+      (up to a sample size of 100,000) gets a partial ``WindowGroupLimit`` before its shuffle.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """All day/minute/millisecond derivations are defined in UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -200,6 +200,44 @@ class ShopTables:
         return ad_lines(self.events, self.cities, keep_event_id)
 
 
+class StoredShopTables(ShopTables):
+    """The same views read back from tables written by ``materialize`` (the production layout:
+    ``user_visit_action`` partitioned by ``date``, so date predicates prune whole folders)."""
+
+    def __init__(self, spark: SparkSession, base: str, sf_dir: str | None = None):
+        super().__init__(spark, sf_dir or "")
+        self.base = base.rstrip("/")
+
+    def _read(self, name: str, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.base}/{name}").select(*schema.fieldNames())
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        return self._read("user_visit_action", USER_VISIT_ACTION)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return self._read("user_info", USER_INFO)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._read("product_info", PRODUCT_INFO)
+
+    @cached_property
+    def cities(self) -> DataFrame:
+        return self._read("city_info", CITY_INFO)
+
+
+def materialize(tables: ShopTables, base: str) -> StoredShopTables:
+    """IO3 for the data model: write the four views as parquet tables under ``base``."""
+    base = base.rstrip("/")
+    tables.visits.write.mode("overwrite").partitionBy("date").parquet(f"{base}/user_visit_action")
+    tables.users.write.mode("overwrite").parquet(f"{base}/user_info")
+    tables.products.write.mode("overwrite").parquet(f"{base}/product_info")
+    tables.cities.write.mode("overwrite").parquet(f"{base}/city_info")
+    return StoredShopTables(tables.spark, base, tables.sf_dir)
+
+
 def load(spark: SparkSession, sf_dir: str) -> ShopTables:
     """All views over one scale-factor directory."""
     ensure_utc(spark)

@@ -55,8 +55,12 @@ def spread_narrow_scan(df: DataFrame, key: str) -> DataFrame:
     core. When the scan already has ``defaultParallelism`` splits or more, which is always the
     case for a large table, nothing is added. The check reads split metadata only.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the scan as it is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, key)
 

@@ -94,3 +94,27 @@ def test_offline_run_to_jdbc(spark):
     )
     rates = sinks.read_jdbc(spark, DERBY, "page_convert_rate", DERBY_PROPS)
     assert rates.count() == 2
+
+
+def test_materialized_tables_prune_dates_and_match(spark, scratch):
+    from martlens.operators import sessions
+    from martlens.operators.visits import visits_filtered
+
+    t = fixtures.load(spark, SF_SMALL)
+    stored = fixtures.materialize(t, f"{scratch}/shop")
+    f = registry.FILTER
+    df = visits_filtered(stored.visits, stored.users, f)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "user_visit_action" in line][0]
+    assert "PartitionFilters: [isnotnull(date" in scan and "2024-01-03" in scan
+    a = sessions.session_stage_ratio(sessions.session_stats(df)).first()
+    b = registry.QUERIES["session_stage_ratio"](spark, SF_SMALL).first()
+    assert a == b
+
+
+def test_cluster_conf_sizes_partitions():
+    from martlens.session import cluster_conf
+
+    c = cluster_conf(100 << 40, total_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"] == "24"
