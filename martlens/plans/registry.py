@@ -37,7 +37,7 @@ AD = AdParams(blacklist_threshold=2)
 
 def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
-    return visits.visits_filtered(t.visits, t.users, FILTER)
+    return t.derived(("visits_filtered", FILTER), lambda t: visits.visits_filtered(t.visits, t.users, FILTER))
 
 
 def _visits_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adlog.decode_clicks(_lines(spark, sf_dir))
+    t = fixtures.load(spark, sf_dir)
+    return t.derived("ad_clicks", lambda t: adlog.decode_clicks(t.ad_lines(keep_event_id=True)))
 
 
 def _ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:

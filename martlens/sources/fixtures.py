@@ -151,12 +151,14 @@ def ad_lines(events: DataFrame, cities: DataFrame, keep_event_id: bool = True) -
     line = F.concat_ws(
         " ",
         F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
-        F.regexp_replace("area", " ", "_"),
+        F.col("area_token"),
         F.col("city_name"),
         F.col("user_id").cast("string"),
         (F.col("k") % 6 + 1).cast("string"),
     ).alias("value")
-    out = ev.join(F.broadcast(cities), "city_id")  # one row per city: a bounded broadcast
+    # The area's spaces become '_' on the dimension side (one row per city), not per event.
+    dim = cities.select("city_id", "city_name", F.translate("area", " ", "_").alias("area_token"))
+    out = ev.join(F.broadcast(dim), "city_id")  # one row per city: a bounded broadcast
     return out.select("event_id", line) if keep_event_id else out.select(line)
 
 
@@ -167,6 +169,7 @@ class ShopTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._derived: dict[object, DataFrame] = {}
 
     @cached_property
     def events(self) -> DataFrame:
@@ -197,7 +200,16 @@ class ShopTables:
         )
 
     def ad_lines(self, keep_event_id: bool = True) -> DataFrame:
-        return ad_lines(self.events, self.cities, keep_event_id)
+        key = ("ad_lines", keep_event_id)
+        if key not in self._derived:
+            self._derived[key] = ad_lines(self.events, self.cities, keep_event_id)
+        return self._derived[key]
+
+    def derived(self, key: object, build) -> DataFrame:
+        """A frame derived from these views, built once per key (e.g. visits under one filter)."""
+        if key not in self._derived:
+            self._derived[key] = build(self)
+        return self._derived[key]
 
 
 class StoredShopTables(ShopTables):
@@ -238,7 +250,18 @@ def materialize(tables: ShopTables, base: str) -> StoredShopTables:
     return StoredShopTables(tables.spark, base, tables.sf_dir)
 
 
+_LOADED: dict[tuple[int, str], ShopTables] = {}
+
+
 def load(spark: SparkSession, sf_dir: str) -> ShopTables:
-    """All views over one scale-factor directory."""
+    """All views over one scale-factor directory.
+
+    The views are plans, not data: they are built once per (session, directory) and shared by
+    every report, which saves the Python-side construction (hundreds of JVM calls per view).
+    """
     ensure_utc(spark)
-    return ShopTables(spark, sf_dir)
+    key = (id(spark), sf_dir)
+    tables = _LOADED.get(key)
+    if tables is None or tables.spark is not spark:
+        tables = _LOADED[key] = ShopTables(spark, sf_dir)
+    return tables
