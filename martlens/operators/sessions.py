@@ -141,11 +141,15 @@ def session_summary(visits: DataFrame) -> DataFrame:
 
 
 def session_hour_quota(stats: DataFrame, sample: SampleParams = SampleParams()) -> DataFrame:
-    """Per day-hour of session start: sessions and quota = size * sessions div total (BIGINT)."""
-    total = stats.select(F.count(F.lit(1))).scalar()
+    """Per day-hour of session start: sessions and quota = size * sessions div total (BIGINT).
+
+    The total is summed over the per-hour frame itself, which holds at most 24 rows per day of
+    data, so the window's single partition is bounded and the session pipeline runs once.
+    """
     hours = stats.groupBy(day_hour_of_text("start_time").alias("day_hour")).agg(
         F.count(F.lit(1)).alias("sessions")
     )
+    total = F.sum("sessions").over(Window.partitionBy())
     return hours.withColumn("total", total).selectExpr(
         "day_hour", "sessions", f"(CAST({int(sample.size)} AS BIGINT) * sessions) div total AS quota"
     )

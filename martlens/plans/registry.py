@@ -20,6 +20,18 @@ from martlens.streaming import replay
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+
+def _wall_clock(df: DataFrame) -> DataFrame:
+    """Result timestamps as UTC wall-clock TIMESTAMP_NTZ, like the input ``events.ts``: a
+    collected value then does not depend on the reader's local time zone."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampType
+
+    ts = {f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)}
+    if not ts:
+        return df
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ts else F.col(c) for c in df.columns])
+
 # Default test parameters (FIXTURES.md).
 FILTER = VisitFilter(
     start_date="2024-01-03",
@@ -232,7 +244,7 @@ def _stream_ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.sliding_counts_table(f"{base}/sliding").latest(spark)
 
 
-QUERIES: dict[str, QueryFn] = {
+_QUERIES: dict[str, QueryFn] = {
     "visits_filtered": _visits_filtered,
     "session_summary": _session_summary,
     "session_stage_ratio": _session_stage_ratio,
@@ -268,6 +280,18 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 
+def _registered(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _wall_clock(fn(spark, sf_dir))
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES: dict[str, QueryFn] = {k: _registered(f) for k, f in _QUERIES.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     from martlens.plans import oracle as o
 
