@@ -93,7 +93,8 @@ def flow_pairs(spark: SparkSession, flow: PageFlow) -> DataFrame:
 
 
 def page_conversion(visits: DataFrame, flow: PageFlow) -> DataFrame:
-    """One row per distinct flow pair: transitions, visits of the from page, percentage.
+    """One row per distinct flow pair: ``page_jump`` text (``1-2``), transitions, visits of the
+    from page, percentage.
 
     An untaken pair reports 0 transitions and 0.0; a from page without visits gives a NULL rate.
     """
@@ -110,6 +111,7 @@ def page_conversion(visits: DataFrame, flow: PageFlow) -> DataFrame:
     return out.select(
         "from_page",
         "to_page",
+        F.concat_ws("-", F.col("from_page").cast("string"), F.col("to_page").cast("string")).alias("page_jump"),
         transitions.alias("transitions"),
         from_visits.alias("from_visits"),
         pct_ratio_first(transitions, from_visits).alias("conversion_pct"),

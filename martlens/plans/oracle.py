@@ -372,7 +372,8 @@ def page_conversion(f: VisitFilter, flow: PageFlow) -> str:
 pairs AS (
   SELECT CAST(a AS BIGINT) AS from_page, CAST(b AS BIGINT) AS to_page FROM (VALUES {values}) t(a, b)
 )
-SELECT p.from_page, p.to_page, COALESCE(t.transitions, 0) AS transitions,
+SELECT p.from_page, p.to_page, CAST(p.from_page AS VARCHAR) || '-' || CAST(p.to_page AS VARCHAR) AS page_jump,
+       COALESCE(t.transitions, 0) AS transitions,
        COALESCE(v.visits, 0) AS from_visits,
        {pct_ratio_first('COALESCE(t.transitions, 0)', 'COALESCE(v.visits, 0)')} AS conversion_pct
 FROM pairs p
