@@ -1,18 +1,23 @@
 """The query registry behind ``__spark_entry__``: one key per user-level query of SURVEY §2.10.
 
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole tables.
-``DEFAULTS`` are the test parameters of FIXTURES.md; the library defaults in
-``martlens.params`` stay those of the original application.
+``FILTER``, ``EDGES``, ``SAMPLE``, ``FLOW`` and ``AD`` are the test parameters of FIXTURES.md;
+the library defaults in ``martlens.params`` stay those of the original application.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from martlens.operators import ads, areas, categories, pages, sessions, visits
 from martlens.params import AdParams, PageFlow, SampleParams, SessionEdges, VisitFilter
+from martlens.plans import oracle
+from martlens.plans.sql_reports import area_product_top_sql
 from martlens.session import scratch_path
 from martlens.sources import adlog, fixtures
 from martlens.streaming import ad_streams as st
@@ -24,14 +29,12 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def _wall_clock(df: DataFrame) -> DataFrame:
     """Result timestamps as UTC wall-clock TIMESTAMP_NTZ, like the input ``events.ts``: a
     collected value then does not depend on the reader's local time zone."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import TimestampType
-
     ts = {f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)}
     if not ts:
         return df
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ts else F.col(c) for c in df.columns])
 
+
 # Default test parameters (FIXTURES.md).
 FILTER = VisitFilter(
     start_date="2024-01-03",
@@ -108,8 +111,6 @@ def _area_product_rank4_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _area_product_top3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from martlens.plans.sql_reports import area_product_top_sql
-
     return area_product_top_sql(spark, fixtures.load(spark, sf_dir), top=3)
 
 
@@ -182,8 +183,6 @@ STREAM_DROPS = 3
 
 def _stream_run(spark: SparkSession, sf_dir: str, name: str, start) -> str:
     """Replays the ad lines of ``sf_dir`` into a fresh folder in time-ordered drops."""
-    import uuid
-
     base = scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
     lines = fixtures.load(spark, sf_dir).ad_lines(keep_event_id=False)
     ckpt = f"{base}/checkpoint"
@@ -293,7 +292,7 @@ QUERIES: dict[str, QueryFn] = {k: _registered(f) for k, f in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    from martlens.plans import oracle as o
+    o = oracle
 
     return {
         "visits_filtered": o.visits_filtered(FILTER),
