@@ -118,3 +118,15 @@ def test_cluster_conf_sizes_partitions():
     c = cluster_conf(100 << 40, total_cores=8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_command_line_offline_and_area(spark, scratch):
+    from martlens.__main__ import main
+
+    cond = json.dumps({"startDate": "2024-01-03", "targetPageFlow": "1,2,3"})
+    task = main(["offline", "--sf-dir", SF_SMALL, "--condition", cond, "--out", f"{scratch}/o", "--task-id", "t9"], spark)
+    assert task == "t9"
+    assert spark.read.parquet(f"{scratch}/o/page_convert_rate").count() == 2
+    main(["area", "--sf-dir", SF_SMALL, "--out", f"{scratch}/a"], spark)
+    assert spark.read.parquet(f"{scratch}/a/city_click_count_3").count() == registry.QUERIES["area_product_top3"](
+        spark, SF_SMALL).count()
