@@ -1,5 +1,6 @@
 """Properties: split/pre-aggregated plans equal their naive forms; invariants hold."""
 
+import math
 from datetime import datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings
@@ -8,10 +9,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from martlens.operators import ads, pages, sessions
+from martlens.operators import ads, areas, pages, sessions
 from martlens.params import AdParams, SampleParams
 from martlens.plans import registry
-from martlens.sources.fixtures import USER_VISIT_ACTION
+from martlens.sources.fixtures import CITY_INFO, USER_VISIT_ACTION
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 T0 = datetime(2024, 1, 5, 10, 0, 0)
@@ -124,3 +125,33 @@ def test_clean_clicks_subset(spark):
     clicks = registry._clicks(spark, SF_SMALL)
     clean = registry.QUERIES["ad_clicks_clean"](spark, SF_SMALL)
     assert clean.join(clicks, "event_id", "left_anti").count() == 0
+
+
+def _remark_model(counts: dict[str, int], top: int = 2, label: str = "其他") -> str:
+    """Plain-Python model of the original remark: Math.round(c / total * 1000) / 10.0 per city,
+    sorted by rate (ties by name here), two named, the rest subtracted one rate at a time."""
+    total = sum(counts.values())
+    rated = sorted(((math.floor(c / total * 1000 + 0.5) / 10.0, name) for name, c in counts.items()),
+                   key=lambda x: (-x[0], x[1]))
+    lead = rated[:top]
+    text = [f"{name}:{rate!r}%" for rate, name in lead]
+    if len(rated) > top:
+        rest = 100.0
+        for rate, _ in lead:
+            rest -= rate
+        text.append(f"{label}:{math.floor(rest * 10 + 0.5) / 10.0!r}%")
+    return ",".join(text)
+
+
+@SETTINGS
+@given(st.dictionaries(st.sampled_from("ABCDEFG"), st.integers(1, 60), min_size=1, max_size=7))
+def test_city_remark_matches_plain_model(spark, counts):
+    names = sorted(counts)
+    cities = spark.createDataFrame([(i, n, "X") for i, n in enumerate(names)], CITY_INFO)
+    rows = []
+    for i, n in enumerate(names):
+        rows += [(len(rows) + j, "2024-01-05", 1, "s", 1, "2024-01-05 10:00:00", None, 1, 5, None, None, None, None, i)
+                 for j in range(counts[n])]
+    v = spark.createDataFrame(rows, USER_VISIT_ACTION)
+    got = areas.area_product_clicks(v, cities).first().city_remark
+    assert got == _remark_model(counts)
