@@ -20,6 +20,10 @@ from martlens.streaming.snapshot import SnapshotTable
 
 @dataclass(frozen=True)
 class RealtimeTables:
+    """Result folders under ``base``. The folder names are the original's store keys
+    (day_area_city_count, day_area_ads_click_top3, city_user_click_count, ads_user_black,
+    last_hour_ads_click)."""
+
     base: str
 
     @property
