@@ -501,3 +501,14 @@ def ad_blacklist_users(threshold: int) -> str:
 def ad_minute_counts() -> str:
     return f"""{ADS}
 SELECT ad_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute, count(*) AS clicks FROM ad_clicks GROUP BY 1, 2"""
+
+
+def ad_blacklist_moments(threshold: int) -> str:
+    return f"{ADS}, {_blacklist(threshold)} SELECT user_id, blacklisted_at, ad_id, day FROM blacklist"
+
+
+def ad_clicks_clean_fields(threshold: int) -> str:
+    return f"""{ADS}, {_blacklist(threshold)}
+SELECT c.ts, c.area, c.city, c.user_id, c.ad_id FROM ad_clicks c LEFT JOIN blacklist b ON c.user_id = b.user_id
+WHERE b.user_id IS NULL OR c.ts < b.blacklisted_at
+   OR (c.ts = b.blacklisted_at AND c.event_id <= b.blacklisted_event_id)"""

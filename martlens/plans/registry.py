@@ -181,14 +181,14 @@ def _ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_DROPS = 3
 
 
-def _stream_run(spark: SparkSession, sf_dir: str, name: str, start) -> str:
+def _stream_run(spark: SparkSession, sf_dir: str, name: str, start, keep_line: bool = False) -> str:
     """Replays the ad lines of ``sf_dir`` into a fresh folder in time-ordered drops."""
     base = scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
     lines = fixtures.load(spark, sf_dir).ad_lines(keep_event_id=False)
     ckpt = f"{base}/checkpoint"
 
     def run(watched: str):
-        clicks = st.click_stream(spark, watched)
+        clicks = st.click_stream(spark, watched, keep_line=keep_line)
         opts = st.StreamOptions(
             checkpoint=ckpt, available_now=True, state_partitions=spark.sparkContext.defaultParallelism
         )
@@ -227,6 +227,26 @@ def _stream_ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.read_blacklist(spark, st.blacklist_table(f"{base}/blacklist")).select("user_id")
 
 
+def _exact_blacklist_run(spark: SparkSession, sf_dir: str) -> str:
+    return _stream_run(
+        spark, sf_dir, "exact_blacklist",
+        lambda c, b, o: st.start_exact_blacklist(
+            c, st.user_counts_table(f"{b}/user_counts"), st.blacklist_table(f"{b}/blacklist"), f"{b}/clean", o, AD
+        ),
+        keep_line=True,
+    )
+
+
+def _stream_ad_blacklist_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _exact_blacklist_run(spark, sf_dir)
+    return st.read_exact_blacklist(spark, st.blacklist_table(f"{base}/blacklist"))
+
+
+def _stream_ad_clicks_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _exact_blacklist_run(spark, sf_dir)
+    return spark.read.parquet(f"{base}/clean").select("ts", "area", "city", "user_id", "ad_id")
+
+
 def _stream_ad_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _stream_run(
         spark, sf_dir, "minutes",
@@ -274,6 +294,8 @@ _QUERIES: dict[str, QueryFn] = {
     "stream_ad_daily_city_counts": _stream_ad_daily_city_counts,
     "stream_ad_daily_area_top3": _stream_ad_daily_area_top3,
     "stream_ad_blacklist": _stream_ad_blacklist,
+    "stream_ad_blacklist_exact": _stream_ad_blacklist_exact,
+    "stream_ad_clicks_clean": _stream_ad_clicks_clean,
     "stream_ad_minute_counts": _stream_ad_minute_counts,
     "stream_ad_sliding_counts": _stream_ad_sliding_counts,
 }
@@ -326,6 +348,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_ad_daily_city_counts": o.ad_daily_city_counts(),
         "stream_ad_daily_area_top3": o.ad_daily_area_top(AD.top_ads),
         "stream_ad_blacklist": o.ad_blacklist_users(AD.blacklist_threshold),
+        "stream_ad_blacklist_exact": o.ad_blacklist_moments(AD.blacklist_threshold),
+        "stream_ad_clicks_clean": o.ad_clicks_clean_fields(AD.blacklist_threshold),
         "stream_ad_minute_counts": o.ad_minute_counts(),
         "stream_ad_sliding_counts": o.ad_sliding_counts(),
     }

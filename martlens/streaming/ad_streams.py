@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,9 +44,18 @@ class StreamOptions:
     state_partitions: int | None = None
 
 
-def click_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Decoded clicks from a folder of ad-log text files."""
-    return adlog.decode_clicks(adlog.read_line_stream(spark, path, max_files_per_trigger))
+def click_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, keep_line: bool = False
+) -> DataFrame:
+    """Decoded clicks from a folder of ad-log text files.
+
+    ``keep_line`` keeps the raw line as ``line``: a deterministic tie-break for clicks of one
+    user in the same millisecond.
+    """
+    lines = adlog.read_line_stream(spark, path, max_files_per_trigger)
+    if keep_line:
+        lines = lines.withColumn("line", F.col("value"))
+    return adlog.decode_clicks(lines)
 
 
 def _start(df: DataFrame, fn, opts: StreamOptions, mode: str = "update") -> StreamingQuery:
@@ -137,6 +146,10 @@ def user_ad_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> D
     return agg.select("user_id", "ad_id", F.date_format("w.start", DAY_FMT).alias("day"), "clicks")
 
 
+def user_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
+    return SnapshotTable(path, ["user_id", "ad_id", "day"], partition_by=["day"], compact_every=compact_every)
+
+
 def blacklist_table(path: str) -> SnapshotTable:
     return SnapshotTable(path, ["user_id"])
 
@@ -187,6 +200,87 @@ def start_clean_clicks(
     return _start(clicks, on_batch, opts, mode="append")
 
 
+def start_exact_blacklist(
+    clicks: DataFrame,
+    counts_sink: SnapshotTable,
+    blacklist_sink: SnapshotTable,
+    clean_path: str,
+    opts: StreamOptions,
+    params: AdParams = AdParams(),
+) -> StreamingQuery:
+    """R7 with the batch query's exact semantics, one micro-batch at a time (F6, F8, W9, IO8-IO11).
+
+    ``clicks`` must carry ``line`` (``click_stream(..., keep_line=True)``). Per batch: clicks of
+    users already listed are dropped; for the others the prior count of each (user, ad, day)
+    comes from the counts snapshot of *committed* batches (``batch_id < n``, pruned to the days
+    the batch touched), the batch's clicks are numbered on top of it in (ts, line) order, and a
+    user is listed at the first click whose number passes the threshold. The batch's accepted
+    clicks (those not after that moment), the new counts and the newly listed users are written
+    to partition ``batch_id=n`` of their tables, so a replayed batch rewrites exactly its own
+    output. With clicks arriving in time order across batches this equals ``ads.ad_blacklist``
+    and ``ads.ad_clicks_clean`` on the whole log. ``row_number() <= threshold + 1`` is a literal
+    bound: a hot (user, ad, day) ships at most threshold + 1 rows per map task.
+    """
+    n_max = int(params.blacklist_threshold) + 1
+    keys = ["user_id", "ad_id", "day"]
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.withColumn("day", F.date_format("ts", DAY_FMT)).persist()
+        try:
+            days = [r.day for r in batch.select("day").distinct().collect()]  # bounded by the batch span
+            committed = F.col("batch_id") < F.lit(int(batch_id))
+            fresh = batch
+            if blacklist_sink.exists(spark):
+                listed = blacklist_sink.raw(spark).filter(committed).select("user_id")
+                fresh = batch.join(listed, "user_id", "left_anti")
+            prior = None
+            if days and counts_sink.exists(spark):
+                prior = counts_sink.latest(spark, where=committed & F.col("day").isin(days)).persist()
+                fresh = fresh.join(prior.withColumnRenamed("clicks", "c0"), keys, "left")
+            else:
+                fresh = fresh.withColumn("c0", F.lit(None).cast("bigint"))
+            fresh = fresh.withColumn("c0", F.coalesce("c0", F.lit(0).cast("bigint")))
+            w = Window.partitionBy(*keys).orderBy("ts", "line")
+            trips = (
+                fresh.withColumn("rn", F.row_number().over(w))
+                .filter(F.col("rn") <= F.lit(n_max))
+                .filter(F.col("c0") + F.col("rn") == F.lit(n_max))
+                .groupBy("user_id")
+                .agg(F.min(F.struct("ts", "line", "ad_id", "day")).alias("t"))
+                .select("user_id", F.col("t.ts").alias("at_ts"), F.col("t.line").alias("at_line"),
+                        F.col("t.ad_id").alias("ad_id"), F.col("t.day").alias("day"))
+            )
+            at = F.struct("ts", "line") <= F.struct("at_ts", "at_line")
+            accepted = (
+                fresh.join(trips.select("user_id", "at_ts", "at_line"), "user_id", "left")
+                .filter(F.col("at_ts").isNull() | at)
+                .select(*[c for c in batch.columns if c != "day"])
+            )
+            accepted.write.mode("overwrite").parquet(f"{clean_path}/batch_id={int(batch_id)}")
+            counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            if prior is not None:
+                counts = counts.join(prior, keys, "left").select(
+                    *keys, (F.col("n") + F.coalesce("clicks", F.lit(0))).alias("clicks"))
+            else:
+                counts = counts.withColumnRenamed("n", "clicks")
+            counts_sink.write_batch(counts, batch_id)
+            blacklist_sink.write_batch(trips.select("user_id", "at_ts", "ad_id", "day"), batch_id)
+            if prior is not None:
+                prior.unpersist()
+        finally:
+            batch.unpersist()
+
+    return _start(clicks, on_batch, opts, mode="append")
+
+
+def read_exact_blacklist(spark: SparkSession, blacklist_sink: SnapshotTable) -> DataFrame:
+    """user_id, blacklisted_at, ad_id, day of every listed user (each is listed once)."""
+    return blacklist_sink.raw(spark).select(
+        "user_id", F.col("at_ts").alias("blacklisted_at"), "ad_id", "day"
+    )
+
+
 # ---------------------------------------------------------------- R10: per-minute trend, sliding windows
 def minute_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
     agg = (

@@ -171,3 +171,47 @@ def test_auto_compaction_during_stream(spark, scratch, small):
     assert city.raw(spark).select("batch_id").distinct().count() < 5  # folded
     cc = ["day", "area", "city", "ad_id", "clicks"]
     assert _rows(city.latest(spark), cc) == _rows(ads.ad_daily_city_counts(clicks), cc)
+
+
+def _exact(spark, lines, base, drops):
+    counts = st.user_counts_table(f"{base}/uc")
+    bl = st.blacklist_table(f"{base}/bl")
+    clean = f"{base}/clean"
+    ckpt = f"{base}/checkpoint"
+
+    def run(watched):
+        return st.start_exact_blacklist(
+            st.click_stream(spark, watched, keep_line=True), counts, bl, clean,
+            st.StreamOptions(checkpoint=ckpt, available_now=True), AD)
+
+    replay.run_in_drops(spark, lines, base, drops, run)
+    return bl, clean, run
+
+
+@pytest.mark.parametrize("drops", [1, 4])
+def test_exact_stream_blacklist_equals_batch(spark, scratch, small, drops):
+    lines, clicks = small
+    bl, clean, _ = _exact(spark, lines, scratch, drops)
+    want_bl = ads.ad_blacklist(clicks, AD.blacklist_threshold)
+    cols = ["user_id", "blacklisted_at", "ad_id", "day"]
+    assert _rows(st.read_exact_blacklist(spark, bl), cols) == _rows(want_bl, cols)
+    cc = ["ts", "area", "city", "user_id", "ad_id"]
+    assert _rows(spark.read.parquet(clean), cc) == _rows(ads.ad_clicks_clean(clicks, want_bl), cc)
+
+
+def test_exact_stream_replayed_batch_rewrites_itself(spark, scratch, small):
+    import os
+
+    lines, clicks = small
+    bl, clean, run = _exact(spark, lines, scratch, 3)
+    before = sorted(map(tuple, spark.read.parquet(clean).collect()))
+    commits = f"{scratch}/checkpoint/commits"
+    last = max(int(f) for f in os.listdir(commits) if f.isdigit())
+    for f in (f"{commits}/{last}", f"{commits}/.{last}.crc"):  # the last batch ran, its commit was lost
+        if os.path.exists(f):
+            os.remove(f)
+    st.drain(run(f"{scratch}/incoming"))
+    assert os.path.exists(f"{commits}/{last}")  # the batch ran again and committed
+    assert sorted(map(tuple, spark.read.parquet(clean).collect())) == before
+    want = ads.ad_blacklist(clicks, AD.blacklist_threshold)
+    assert _rows(st.read_exact_blacklist(spark, bl), ["user_id"]) == _rows(want, ["user_id"])
