@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlens.params import AdParams
@@ -36,7 +37,7 @@ class RealtimeTables:
 
     @property
     def user_counts(self) -> SnapshotTable:
-        return SnapshotTable(f"{self.base}/city_user_click_count", ["user_id", "ad_id", "day"], partition_by=["day"])
+        return st.user_counts_table(f"{self.base}/city_user_click_count")
 
     @property
     def blacklist(self) -> SnapshotTable:
@@ -66,10 +67,11 @@ def start_realtime(
     processing_time: str = "5 seconds",
     available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Start R7 (blacklist + clean clicks), R8+R9 (daily counts and top ads), R10 (minute
+    """Start R7 (exact blacklist + clean clicks), R8+R9 (daily counts and top ads), R10 (minute
     counts) and the sliding-window counts, plus the quarantine of bad lines."""
     t = RealtimeTables(base)
     clicks = adlog.decode_clicks(lines)
+    clicks_with_line = adlog.decode_clicks(lines.withColumn("line", F.col("value")))
 
     def opts(name: str) -> st.StreamOptions:
         return st.StreamOptions(
@@ -85,8 +87,7 @@ def start_realtime(
         processingTime=processing_time
     )
     return [
-        st.start_blacklist(clicks, t.user_counts, t.blacklist, opts("blacklist"), params),
-        st.start_clean_clicks(clicks, t.blacklist, t.clean_clicks, opts("clean")),
+        st.start_exact_blacklist(clicks_with_line, t.user_counts, t.blacklist, t.clean_clicks, opts("blacklist"), params),
         st.start_daily_area_top(clicks, t.city_counts, t.top_ads, opts("daily"), params),
         st.start_minute_counts(clicks, t.minute_counts, opts("minutes"), params),
         st.start_sliding_counts(clicks, t.sliding_counts, opts("sliding"), params),
