@@ -43,6 +43,9 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     * The broadcast threshold stays modest: only sides AQE *measures* under it are broadcast.
     * ``windowGroupLimitThreshold`` is raised so that every literal top-k bound used here
       (up to a sample size of 100,000) gets a partial ``WindowGroupLimit`` before its shuffle.
+    * Stream state lives in RocksDB (off-heap, spills to local disk, changelog checkpoints)
+      instead of the default heap-resident store, so state size is not bounded by executor heap.
+      A checkpoint keeps the provider it was started with.
     """
     shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
@@ -55,6 +58,9 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
 
 

@@ -215,3 +215,24 @@ def test_exact_stream_replayed_batch_rewrites_itself(spark, scratch, small):
     assert sorted(map(tuple, spark.read.parquet(clean).collect())) == before
     want = ads.ad_blacklist(clicks, AD.blacklist_threshold)
     assert _rows(st.read_exact_blacklist(spark, bl), ["user_id"]) == _rows(want, ["user_id"])
+
+
+def test_city_counts_stream_on_rocksdb_state(scratch, small):
+    """The cluster settings' state store (RocksDB) gives the same answer, in a session built from them."""
+    from pyspark.sql import SparkSession
+
+    from martlens.session import cluster_conf
+
+    lines, clicks = small
+    spark = SparkSession.getActiveSession()
+    conf = cluster_conf(1 << 30, total_cores=8)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, conf[key])
+    try:
+        sink = st.city_counts_table(f"{scratch}/cc")
+        _drain(spark, lines, scratch, 2, lambda c, o: st.start_daily_city_counts(c, sink, o, AD))
+    finally:
+        spark.conf.set(key, before)
+    cols = ["day", "area", "city", "ad_id", "clicks"]
+    assert _rows(sink.latest(spark), cols) == _rows(ads.ad_daily_city_counts(clicks), cols)
