@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlens.functions.scalars import (
-    day_hour_of_text, millis_between, nonempty_join, pct_scaled_first,
+    SECOND_FMT, day_hour_of_text, millis_between, nonempty_join, parse_second, pct_scaled_first,
 )
 from martlens.params import SampleParams, SessionEdges
 
@@ -37,13 +37,25 @@ MINUTE_PREFIX = 16  # 'yyyy-MM-dd HH:mm' of an action_time text
 
 
 def session_stats(visits: DataFrame) -> DataFrame:
-    """session_id, start_time, end_time, step_length, visit_length_ms (A3)."""
+    """session_id, start_time, end_time, step_length, visit_length_ms (A3).
+
+    The action time is aggregated as BIGINT epoch seconds: ``min``/``max`` over text have
+    variable-width buffers, which forces a sort-based aggregate (every partition sorted before
+    the partial aggregate); over BIGINT the aggregate is hash-based.
+    """
+    secs = F.unix_seconds(parse_second("action_time"))
     agg = visits.groupBy("session_id").agg(
-        F.min("action_time").alias("start_time"),
-        F.max("action_time").alias("end_time"),
+        F.min(secs).alias("t0"),
+        F.max(secs).alias("t1"),
         F.count(F.lit(1)).alias("step_length"),
     )
-    return agg.withColumn("visit_length_ms", millis_between("start_time", "end_time"))
+    return agg.select(
+        "session_id",
+        F.date_format(F.timestamp_seconds("t0"), SECOND_FMT).alias("start_time"),
+        F.date_format(F.timestamp_seconds("t1"), SECOND_FMT).alias("end_time"),
+        "step_length",
+        ((F.col("t1") - F.col("t0")) * F.lit(1000)).alias("visit_length_ms"),
+    )
 
 
 def session_stage_ratio(stats: DataFrame, edges: SessionEdges = SessionEdges()) -> DataFrame:
