@@ -73,16 +73,20 @@ def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.text(path)
 
 
-def read_kafka_lines(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """IO4: the log topic as lines; offsets live in the query checkpoint (start at latest).
+def read_kafka_lines(
+    spark: SparkSession, servers: str, topic: str, group_id: str | None = None, starting: str = "latest"
+) -> DataFrame:
+    """IO4: the log topic as lines. Offsets live in the query checkpoint (exactly-once with the
+    idempotent sinks), not in consumer-group auto-commit; ``group_id`` only names the consumer.
 
     Needs the Spark Kafka connector on the classpath (not bundled with PySpark).
     """
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("startingOffsets", "latest")
-        .load()
-        .select(F.col("value").cast("string").alias("value"))
+        .option("startingOffsets", starting)
     )
+    if group_id:
+        reader = reader.option("kafka.group.id", group_id)
+    return reader.load().select(F.col("value").cast("string").alias("value"))
