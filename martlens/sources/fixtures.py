@@ -240,6 +240,57 @@ class StoredShopTables(ShopTables):
         return self._read("city_info", CITY_INFO)
 
 
+def require_schema(df: DataFrame, schema: StructType, name: str) -> DataFrame:
+    """IO15: check a table against its record schema once, at the boundary; returns the declared
+    columns in declared order. Extra columns are ignored; a missing column or a different type
+    raises (the original would fail later, row by row, in its typed RDDs)."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    problems = [
+        f"{f.name}: missing" if f.name not in have else f"{f.name}: {have[f.name].simpleString()} != {f.dataType.simpleString()}"
+        for f in schema.fields
+        if have.get(f.name) != f.dataType
+    ]
+    if problems:
+        raise ValueError(f"{name} does not match its schema: " + "; ".join(problems))
+    return df.select(*schema.fieldNames())
+
+
+class CatalogShopTables(ShopTables):
+    """The four tables read from the catalog (``database.user_visit_action`` …), as the original
+    reads its Hive tables; each is checked against its record schema once."""
+
+    def __init__(self, spark: SparkSession, database: str | None = None, prefix: str = ""):
+        super().__init__(spark, "")
+        self.qualifier = f"{database}." if database else ""
+        self.prefix = prefix
+
+    def _table(self, name: str, schema: StructType) -> DataFrame:
+        full = f"{self.qualifier}{self.prefix}{name}"
+        return require_schema(self.spark.table(full), schema, full)
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        return self._table("user_visit_action", USER_VISIT_ACTION)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return self._table("user_info", USER_INFO)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._table("product_info", PRODUCT_INFO)
+
+    @cached_property
+    def cities(self) -> DataFrame:
+        return self._table("city_info", CITY_INFO)
+
+
+def load_catalog(spark: SparkSession, database: str | None = None, prefix: str = "") -> CatalogShopTables:
+    """IO1/IO2: the shop tables from the catalog (or temp views) of one database."""
+    ensure_utc(spark)
+    return CatalogShopTables(spark, database, prefix)
+
+
 def materialize(tables: ShopTables, base: str) -> StoredShopTables:
     """IO3 for the data model: write the four views as parquet tables under ``base``."""
     base = base.rstrip("/")

@@ -130,3 +130,32 @@ def test_command_line_offline_and_area(spark, scratch):
     main(["area", "--sf-dir", SF_SMALL, "--out", f"{scratch}/a"], spark)
     assert spark.read.parquet(f"{scratch}/a/city_click_count_3").count() == registry.QUERIES["area_product_top3"](
         spark, SF_SMALL).count()
+
+
+def test_catalog_tables_with_schema_check(spark):
+    from pyspark.sql import functions as F
+
+    from martlens.operators import areas
+    from martlens.plans.sql_reports import register_views
+
+    t = fixtures.load(spark, SF_SMALL)
+    register_views(t, prefix="cat_")
+    cat = fixtures.load_catalog(spark, prefix="cat_")
+    got = areas.area_product_top(cat.visits, cat.cities, cat.products, top=3)
+    assert sorted(map(tuple, got.collect())) == sorted(
+        map(tuple, registry.QUERIES["area_product_top3"](spark, SF_SMALL).collect()))
+    bad = t.users.withColumn("age", F.col("age").cast("string"))
+    with pytest.raises(ValueError, match="age: string != int"):
+        fixtures.require_schema(bad, fixtures.USER_INFO, "user_info")
+    with pytest.raises(ValueError, match="gender: missing"):
+        fixtures.require_schema(t.users.drop("gender"), fixtures.USER_INFO, "user_info")
+
+
+def test_inner_join_keeps_multiplicity_for_duplicate_users(spark):
+    from martlens.operators.visits import visits_filtered
+
+    t = fixtures.load(spark, SF_SMALL)
+    doubled = t.users.unionByName(t.users)
+    semi = visits_filtered(t.visits, doubled, VisitFilter())
+    inner = visits_filtered(t.visits, doubled, VisitFilter(), users_unique=False)
+    assert inner.count() == 2 * semi.count()
