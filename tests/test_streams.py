@@ -240,3 +240,17 @@ def test_city_counts_stream_on_rocksdb_state(scratch, small):
         spark.conf.set(key, before)
     cols = ["day", "area", "city", "ad_id", "clicks"]
     assert _rows(sink.latest(spark), cols) == _rows(ads.ad_daily_city_counts(clicks), cols)
+
+
+def test_command_line_realtime(spark, scratch, small):
+    from martlens.__main__ import main
+    from martlens.streaming.app import RealtimeTables
+
+    lines, clicks = small
+    replay.land(spark, lines, f"{scratch}/stage", f"{scratch}/in", "all")
+    main(["realtime", "--lines", f"{scratch}/in", "--out", f"{scratch}/out", "--threshold", "2", "--available-now"], spark)
+    t = RealtimeTables(f"{scratch}/out")
+    cols = ["day", "area", "city", "ad_id", "clicks"]
+    assert _rows(t.city_counts.latest(spark), cols) == _rows(ads.ad_daily_city_counts(clicks), cols)
+    want = ads.ad_blacklist(clicks, 2)
+    assert _rows(st.read_exact_blacklist(spark, t.blacklist), ["user_id"]) == _rows(want, ["user_id"])
