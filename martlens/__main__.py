@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     off.add_argument("--out", default="")
     off.add_argument("--jdbc-url", default="")
     off.add_argument("--task-id", default=None)
+    off.add_argument("--original-columns", action="store_true", help="write the original's column layout")
     area = sub.add_parser("area", help="R6 alone")
     area.add_argument("--sf-dir", required=True)
     area.add_argument("--out", default="")
@@ -62,7 +63,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
         ap.error("--out or --jdbc-url is required")
     if args.cmd == "offline":
         tables = fixtures.load(spark, args.sf_dir)
-        return offline_job.run_offline(spark, tables, args.condition, _sink(args), task_id=args.task_id)
+        return offline_job.run_offline(
+            spark, tables, args.condition, _sink(args), task_id=args.task_id, original_columns=args.original_columns
+        )
     if args.cmd == "area":
         tables = fixtures.load(spark, args.sf_dir)
         df = offline_job.area_report(tables, task_id=args.task_id)

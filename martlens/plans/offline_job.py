@@ -31,6 +31,41 @@ PAGE_RATE_TABLE = "page_convert_rate"
 AREA_TOP_TABLE = "city_click_count_3"
 
 
+# The original's result-table columns, in order. Tables it wrote from DataFrames use
+# its record field names; tables it filled by positional inserts keep our names in its order.
+ORIGINAL_LAYOUT: dict[str, list[tuple[str, str]]] = {
+    SESSION_STAT_TABLE: [
+        ("task_id", "task_id"), ("condition", "condition"), ("session_count", "session_count"),
+        ("short_visit_pct", "short_visit_pct"), ("long_visit_pct", "long_visit_pct"),
+        ("short_step_pct", "short_step_pct"), ("long_step_pct", "long_step_pct"),
+    ],
+    SESSION_SAMPLE_TABLE: [
+        ("task_id", "taskId"), ("session_id", "sessionId"), ("start_time", "startTime"),
+        ("step_length", "stepLength"), ("visit_length_ms", "visitLength"), ("search_keywords", "searchKeywords"),
+        ("click_product_ids", "clickProductIds"), ("order_product_ids", "orderProductIds"),
+        ("pay_product_ids", "payProductIds"),
+    ],
+    CATEGORY_TOP_TABLE: [
+        ("task_id", "task_id"), ("category_id", "category_id"), ("click_count", "click_count"),
+        ("order_count", "order_count"), ("pay_count", "pay_count"),
+    ],
+    CATEGORY_SESSION_TABLE: [
+        ("task_id", "taskId"), ("category_id", "category_id"), ("session_id", "sessionId"),
+        ("click_count", "clickCount"),
+    ],
+    PAGE_RATE_TABLE: [("task_id", "task_id"), ("page_jump", "page_jump"), ("conversion_pct", "rate")],
+    AREA_TOP_TABLE: [
+        ("task_id", "taskId"), ("area", "area"), ("product_name", "product_name"), ("click_count", "clickCount"),
+        ("city_remark", "city_remark"),
+    ],
+}
+
+
+def original_layout(name: str, df: DataFrame) -> DataFrame:
+    """The columns the original wrote to ``name``, in its order and with its names."""
+    return df.select(*[df[ours].alias(theirs) for ours, theirs in ORIGINAL_LAYOUT[name]])
+
+
 def offline_reports(
     spark: SparkSession,
     tables: ShopTables,
@@ -73,11 +108,16 @@ def run_offline(
     cfg: ReportConfig = ReportConfig(),
     task_id: str | None = None,
     with_area_report: bool = True,
+    original_columns: bool = False,
 ) -> str:
-    """Compute and write every report of one run; returns the task id."""
+    """Compute and write every report of one run; returns the task id.
+
+    ``original_columns`` writes the original's column layout (for tables that already exist).
+    """
     task_id = task_id or new_task_id()
-    for name, df in offline_reports(spark, tables, condition_json, cfg, task_id).items():
-        sink(name, df)
+    results = offline_reports(spark, tables, condition_json, cfg, task_id)
     if with_area_report:
-        sink(AREA_TOP_TABLE, area_report(tables, cfg, task_id))
+        results[AREA_TOP_TABLE] = area_report(tables, cfg, task_id)
+    for name, df in results.items():
+        sink(name, original_layout(name, df) if original_columns else df)
     return task_id

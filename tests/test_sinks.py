@@ -159,3 +159,17 @@ def test_inner_join_keeps_multiplicity_for_duplicate_users(spark):
     semi = visits_filtered(t.visits, doubled, VisitFilter())
     inner = visits_filtered(t.visits, doubled, VisitFilter(), users_unique=False)
     assert inner.count() == 2 * semi.count()
+
+
+def test_offline_run_in_the_original_column_layout(spark):
+    t = fixtures.load(spark, SF_SMALL)
+    url = "jdbc:derby:memory:martlens_layout;create=true"
+    offline_job.run_offline(
+        spark, t, json.dumps({"targetPageFlow": "1,2,3"}),
+        lambda name, df: sinks.append_jdbc(df, url, name, DERBY_PROPS), task_id="L", original_columns=True,
+    )
+    for name, layout in offline_job.ORIGINAL_LAYOUT.items():
+        cols = sinks.read_jdbc(spark, url, name, DERBY_PROPS).columns
+        assert [c.lower() for c in cols] == [theirs.lower() for _, theirs in layout], name
+    rates = sinks.read_jdbc(spark, url, "page_convert_rate", DERBY_PROPS).collect()
+    assert sorted(r[1] for r in rates) == ["1-2", "2-3"]
