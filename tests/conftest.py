@@ -26,6 +26,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.checkpoint.dir", ckpt)
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="martlens-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

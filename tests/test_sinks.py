@@ -173,3 +173,27 @@ def test_offline_run_in_the_original_column_layout(spark):
         assert [c.lower() for c in cols] == [theirs.lower() for _, theirs in layout], name
     rates = sinks.read_jdbc(spark, url, "page_convert_rate", DERBY_PROPS).collect()
     assert sorted(r[1] for r in rates) == ["1-2", "2-3"]
+
+
+def test_bucketed_catalog_tables_join_without_exchange(spark):
+    from martlens.operators.visits import visits_filtered
+
+    t = fixtures.load(spark, SF_SMALL)
+    cat = fixtures.materialize_catalog(t, "martlens_bucketed", buckets=4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    aqe_before = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = visits_filtered(cat.visits, cat.users, registry.FILTER)
+        n = df.count()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        if aqe_before is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", aqe_before)
+    assert n == registry.QUERIES["visits_filtered"](spark, SF_SMALL).count()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan.split("== Initial Plan ==")[0]
+    assert "SelectedBucketsCount: 4 out of 4" in plan and "PartitionFilters: [isnotnull(date" in plan
