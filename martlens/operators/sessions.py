@@ -18,6 +18,8 @@ Scale notes
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,6 +176,14 @@ def sample_order(seed: str) -> Column:
 
 def session_sample(visits: DataFrame, sample: SampleParams = SampleParams()) -> DataFrame:
     """Sampled sessions: per day-hour the first ``min(quota, sessions)`` by the seeded order."""
+    limit_conf = "spark.sql.optimizer.windowGroupLimitThreshold"
+    threshold = int(visits.sparkSession.conf.get(limit_conf, "1000"))
+    if sample.size > threshold:
+        warnings.warn(
+            f"sample size {sample.size} exceeds {limit_conf}={threshold}: no partial limit before the "
+            "day-hour shuffle (see martlens.session.cluster_conf)",
+            stacklevel=2,
+        )
     stats = session_stats(visits).withColumn("day_hour", day_hour_of_text("start_time"))
     quota = session_hour_quota(stats, sample).select("day_hour", "quota")
     w = Window.partitionBy("day_hour").orderBy(sample_order(sample.seed), F.col("session_id"))
