@@ -250,6 +250,7 @@ def start_exact_blacklist(
                 .agg(F.min(F.struct("ts", "line", "ad_id", "day")).alias("t"))
                 .select("user_id", F.col("t.ts").alias("at_ts"), F.col("t.line").alias("at_line"),
                         F.col("t.ad_id").alias("ad_id"), F.col("t.day").alias("day"))
+                .persist()  # one row per newly listed user; feeds two writes
             )
             at = F.struct("ts", "line") <= F.struct("at_ts", "at_line")
             accepted = (
@@ -266,6 +267,7 @@ def start_exact_blacklist(
                 counts = counts.withColumnRenamed("n", "clicks")
             counts_sink.write_batch(counts, batch_id)
             blacklist_sink.write_batch(trips.select("user_id", "at_ts", "ad_id", "day"), batch_id)
+            trips.unpersist()
             if prior is not None:
                 prior.unpersist()
         finally:

@@ -17,12 +17,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from martlens.session import checkpoint_dir
 
 BATCH_COL = "batch_id"
+SCHEMA_FILE = "_schema.json"  # leading underscore: never listed as data
 
 
 def _fs(spark: SparkSession, path: str):
@@ -72,9 +76,37 @@ class SnapshotTable:
         self.groups = list(groups) if groups else None  # multi-row results: newest batch per group
         self.compact_every = int(compact_every)
 
+    # ---------------------------------------------------------------- schema
+    def _schema_path(self) -> str:
+        return f"{self.path}/{SCHEMA_FILE}"
+
+    def _save_schema(self, spark: SparkSession, schema: StructType) -> None:
+        """Record the row schema once: an all-empty partitioned table has no file to infer it from."""
+        fs, p = _fs(spark, self._schema_path())
+        if fs.exists(p):
+            return
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(schema.json().encode("utf-8")))
+        finally:
+            out.close()
+
+    def schema(self, spark: SparkSession) -> StructType | None:
+        fs, p = _fs(spark, self._schema_path())
+        if not fs.exists(p):
+            return None
+        jvm = spark._jvm
+        stream = fs.open(p)
+        try:
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
     # ---------------------------------------------------------------- writing
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Overwrite partition ``batch_id`` with this batch's rows (idempotent on replay)."""
+        self._save_schema(df.sparkSession, df.schema)
         if self.partition_by:
             # Update rows are bounded by the key count; one writer per partition value keeps
             # the file count per batch at one per touched day instead of one per task and day.
@@ -93,7 +125,11 @@ class SnapshotTable:
         return bool(_batch_ids(spark, self.path))
 
     def raw(self, spark: SparkSession) -> DataFrame:
-        """All batch rows; partition values are read back as written (text), not re-typed."""
+        """All batch rows, read with the recorded schema (partition columns keep their types)."""
+        schema = self.schema(spark)
+        if schema is not None:
+            full = StructType([*schema.fields, StructField(BATCH_COL, LongType())])
+            return spark.read.schema(full).option("basePath", self.path).parquet(self.path)
         key = "spark.sql.sources.partitionColumnTypeInference.enabled"
         before = spark.conf.get(key)
         spark.conf.set(key, "false")

@@ -254,3 +254,12 @@ def test_command_line_realtime(spark, scratch, small):
     assert _rows(t.city_counts.latest(spark), cols) == _rows(ads.ad_daily_city_counts(clicks), cols)
     want = ads.ad_blacklist(clicks, 2)
     assert _rows(st.read_exact_blacklist(spark, t.blacklist), ["user_id"]) == _rows(want, ["user_id"])
+
+
+def test_snapshot_with_only_empty_batches_is_readable(spark, scratch):
+    t = SnapshotTable(f"{scratch}/e", ["k"], partition_by=["day"])
+    empty = spark.createDataFrame([], "k STRING, day STRING, v BIGINT")
+    t.write_batch(empty, 0)  # a partitioned empty write leaves no data file
+    assert t.latest(spark).count() == 0 and t.raw(spark).schema["day"].dataType.simpleString() == "string"
+    t.write_batch(spark.createDataFrame([("a", "2024-01-02", 1)], "k STRING, day STRING, v BIGINT"), 1)
+    assert [tuple(r) for r in t.latest(spark).select("k", "day", "v").collect()] == [("a", "2024-01-02", 1)]
