@@ -57,7 +57,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     rt.add_argument("--available-now", action="store_true")
     args = ap.parse_args(argv)
 
-    spark = spark or SparkSession.builder.appName(f"martlens-{args.cmd}").getOrCreate()
+    spark = spark or (
+        SparkSession.builder.appName(f"martlens-{args.cmd}").config("spark.ui.enabled", "false").getOrCreate()
+    )
     ensure_utc(spark)
     if args.cmd in ("offline", "area") and not (args.out or args.jdbc_url):
         ap.error("--out or --jdbc-url is required")
