@@ -200,10 +200,7 @@ class ShopTables:
         )
 
     def ad_lines(self, keep_event_id: bool = True) -> DataFrame:
-        key = ("ad_lines", keep_event_id)
-        if key not in self._derived:
-            self._derived[key] = ad_lines(self.events, self.cities, keep_event_id)
-        return self._derived[key]
+        return self.derived(("ad_lines", keep_event_id), lambda t: ad_lines(t.events, t.cities, keep_event_id))
 
     def derived(self, key: object, build) -> DataFrame:
         """A frame derived from these views, built once per key (e.g. visits under one filter)."""
@@ -212,7 +209,15 @@ class ShopTables:
         return self._derived[key]
 
 
-class StoredShopTables(ShopTables):
+class _FourTables(ShopTables):
+    """Layouts that hold the four shop tables only; the ad log comes from its own source."""
+
+    @property
+    def events(self) -> DataFrame:
+        raise AttributeError("this layout holds the four shop tables; read ad-log lines from their source")
+
+
+class StoredShopTables(_FourTables):
     """The same views read back from tables written by ``materialize`` (the production layout:
     ``user_visit_action`` partitioned by ``date``, so date predicates prune whole folders)."""
 
@@ -255,7 +260,7 @@ def require_schema(df: DataFrame, schema: StructType, name: str) -> DataFrame:
     return df.select(*schema.fieldNames())
 
 
-class CatalogShopTables(ShopTables):
+class CatalogShopTables(_FourTables):
     """The four tables read from the catalog (``database.user_visit_action`` …), as the original
     reads its Hive tables; each is checked against its record schema once."""
 
