@@ -263,3 +263,19 @@ def test_snapshot_with_only_empty_batches_is_readable(spark, scratch):
     assert t.latest(spark).count() == 0 and t.raw(spark).schema["day"].dataType.simpleString() == "string"
     t.write_batch(spark.createDataFrame([("a", "2024-01-02", 1)], "k STRING, day STRING, v BIGINT"), 1)
     assert [tuple(r) for r in t.latest(spark).select("k", "day", "v").collect()] == [("a", "2024-01-02", 1)]
+
+
+def test_processing_time_trigger_while_files_arrive(spark, scratch, small):
+    lines, clicks = small
+    sink = st.city_counts_table(f"{scratch}/cc")
+    opts = st.StreamOptions(checkpoint=f"{scratch}/ck", processing_time="1 second")
+    q = st.start_daily_city_counts(st.click_stream(spark, f"{scratch}/in"), sink, opts, AD)
+    try:
+        chunked = replay.time_chunk(lines, 2)
+        for i in range(2):  # files land while the query runs
+            replay.land(spark, chunked.filter(F.col("chunk") == i), f"{scratch}/stage", f"{scratch}/in", f"d{i}")
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    cols = ["day", "area", "city", "ad_id", "clicks"]
+    assert _rows(sink.latest(spark), cols) == _rows(ads.ad_daily_city_counts(clicks), cols)
