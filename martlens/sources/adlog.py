@@ -66,7 +66,12 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming frame of ad-log lines from text files (stands in for the Kafka topic)."""
+    """A streaming frame of ad-log lines from text files (stands in for the Kafka topic).
+
+    The watched folder is created when missing, so a stream may start before the first file.
+    """
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
     reader = spark.readStream.schema(AD_LINE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
