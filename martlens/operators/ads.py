@@ -129,10 +129,13 @@ def ad_minute_trend_json(trend: DataFrame) -> DataFrame:
     return grouped.select("ad_id", json_pairs(F.col("m"), "minute", "clicks").alias("minutes_json"))
 
 
-def _seconds(interval: str) -> int:
-    n, unit = interval.split()
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-    return int(n) * mult
+def _seconds(interval: str) -> int | None:
+    """Whole seconds of an ``"<n> <unit>"`` interval, or None when it is not that simple."""
+    parts = interval.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+    if len(parts) != 2 or not parts[0].isdigit() or parts[1].rstrip("s") not in mult:
+        return None
+    return int(parts[0]) * mult[parts[1].rstrip("s")]
 
 
 def ad_sliding_counts(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
@@ -145,7 +148,7 @@ def ad_sliding_counts(clicks: DataFrame, params: AdParams = AdParams()) -> DataF
     one per busy bucket.
     """
     win, slide = _seconds(params.sliding_window), _seconds(params.sliding_slide)
-    if win % slide:
+    if not win or not slide or win % slide:
         w = F.window("ts", params.sliding_window, params.sliding_slide)
         return clicks.groupBy("ad_id", w.alias("w")).agg(F.count(F.lit(1)).alias("clicks")).select(
             "ad_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks"

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from martlens.functions.scalars import pct_ratio_first, pct_scaled_first
 from martlens.operators import ads, areas, categories, pages, sessions
@@ -237,3 +238,13 @@ def test_minute_trend_window(spark):
     assert out == {(1, "2024-01-05 09:00"): 1, (2, "2024-01-05 10:00"): 1}  # strict: ts > newest - 1 h
     js = ads.ad_minute_trend_json(ads.ad_minute_trend(c)).orderBy("ad_id").first().minutes_json
     assert js == '[{"2024-01-05 09:00":1}]'
+
+
+def test_sliding_windows_with_uneven_slide_fall_back_to_window(spark):
+    from martlens.params import AdParams
+
+    c = _clicks(spark, [("2024-01-05 10:00:00", "c", 1, 1), ("2024-01-05 10:00:07", "c", 1, 1)])
+    p = AdParams(sliding_window="10 seconds", sliding_slide="3 seconds")
+    got = ads.ad_sliding_counts(c, p).collect()
+    plain = c.groupBy("ad_id", F.window("ts", "10 seconds", "3 seconds")).count().count()
+    assert len(got) == plain and sum(r.clicks for r in got) > 0
