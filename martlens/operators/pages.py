@@ -4,12 +4,14 @@ IDs: F4 (visits of flow pages), A10 (denominator per page), W5 (next page within
 W6 (flow pairs), F5 (keep flow pairs), A11 (numerator per pair), J6 (pair -> denominator, default
 0), A12/G1 (one-decimal percentage).
 
-Next-page computation (W5), split so that a long session never lands in one task whole:
-1. ``lead`` within (session, time bucket) gives every transition inside a bucket;
-2. the first and last action of each bucket are kept (at most two rows per bucket), and a
-   ``lead`` over those per session links each bucket's last action to the next bucket's first.
-Together these are exactly the consecutive pairs in (action_time, action_id) order. The flow
-filter is a literal predicate applied before the pair count's shuffle.
+Next-page computation (W5), split so that a big session never lands in one task whole:
+1. ``lead`` within (session, minute) gives every transition inside a minute;
+2. the first and last action of each minute are kept (at most two rows per active minute), and
+   a ``lead`` over those per session links each minute's last action to the next minute's first.
+Together these are exactly the consecutive pairs in (action_time, action_id) order. Step 2 holds
+at most two rows per active minute of a session: bounded by the session's time span, not by its
+number of actions - and a session can only hold a large share of the data by being dense in
+time. The flow filter is a literal predicate applied before the pair count's shuffle.
 """
 
 from __future__ import annotations

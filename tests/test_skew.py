@@ -165,3 +165,37 @@ def test_partial_limits_present_on_registered_top_k(spark, key):
     df = registry.QUERIES[key](spark, SF_MID)
     df.collect()
     assert exchange_below_partial_limit(df)
+
+
+def _shuffles(df):
+    """(first line of the exchange, bytes per reducer partition) for every shuffle stage of a run plan."""
+    out = []
+    for n in _walk(_final_plan(df)):
+        if n.nodeName() == "ShuffleQueryStage" and n.mapStats().isDefined():
+            out.append((n.plan().toString().splitlines()[0], list(n.mapStats().get().bytesByPartitionId())))
+    return out
+
+
+def test_hot_dense_session_is_spread_over_minutes(spark):
+    """A third of all actions in one session, within one hour (the only way a session gets that big).
+    The per-(session, minute) shuffle spreads it; the linking shuffle per session carries at most two
+    rows per active minute (bounded by the session's time span, not by its number of actions)."""
+    from martlens.operators import pages
+
+    v = registry._filtered(spark, SF_MID)
+    hot_rows = F.col("action_id") % 3 == 0
+    skewed = v.withColumn("session_id", F.when(hot_rows, F.lit("hot")).otherwise(F.col("session_id"))).withColumn(
+        "action_time",
+        F.when(hot_rows, F.concat(F.lit("2024-01-10 10:"), F.substring("action_time", 15, 5))).otherwise(
+            F.col("action_time")),
+    )
+    with conf(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        steps = pages.page_steps(skewed)
+        n = steps.count()
+        steps.collect()
+        shuffles = _shuffles(steps)
+    assert n == skewed.count() - skewed.select("session_id").distinct().count()  # sum(steps - 1)
+    by_minute = [b for head, b in shuffles if "hashpartitioning(session_id" in head and "bucket" in head]
+    linking = [b for head, b in shuffles if "hashpartitioning(session_id" in head and "bucket" not in head]
+    assert by_minute and max(by_minute[0]) < 0.25 * sum(by_minute[0])  # the hot third is spread
+    assert linking and sum(linking[0]) < 0.8 * sum(by_minute[0])  # boundary rows only
