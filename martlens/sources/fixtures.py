@@ -302,7 +302,8 @@ def materialize_catalog(tables: ShopTables, database: str, buckets: int | None =
     With ``buckets``, ``user_visit_action`` (also partitioned by ``date``) and ``user_info`` are
     bucketed and sorted by ``user_id`` into the same number of buckets: the visit filter's join
     then reads matching buckets side by side, a sort-merge join without an exchange on either
-    side, instead of shuffling the fact table.
+    side, instead of shuffling the fact table. A bucket cannot be split below one user: with a
+    user holding a large share of the rows, leave ``buckets`` unset and let AQE split the shuffle.
     """
     spark = tables.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
