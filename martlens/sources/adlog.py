@@ -87,10 +87,17 @@ def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def read_kafka_lines(
-    spark: SparkSession, servers: str, topic: str, group_id: str | None = None, starting: str = "latest"
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    group_id: str | None = None,
+    starting: str = "latest",
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """IO4: the log topic as lines. Offsets live in the query checkpoint (exactly-once with the
     idempotent sinks), not in consumer-group auto-commit; ``group_id`` only names the consumer.
+    ``min_partitions`` splits the offset ranges of big topic partitions over more tasks, so one
+    hot topic partition does not become one task per micro-batch.
 
     Needs the Spark Kafka connector on the classpath (not bundled with PySpark).
     """
@@ -102,4 +109,6 @@ def read_kafka_lines(
     )
     if group_id:
         reader = reader.option("kafka.group.id", group_id)
+    if min_partitions:
+        reader = reader.option("minPartitions", str(int(min_partitions)))
     return reader.load().select(F.col("value").cast("string").alias("value"))
