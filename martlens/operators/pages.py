@@ -90,8 +90,13 @@ def page_transitions(visits: DataFrame, flow: PageFlow) -> DataFrame:
 
 
 def flow_pairs(spark: SparkSession, flow: PageFlow) -> DataFrame:
-    """The distinct consecutive pairs of the flow parameter (a handful of rows)."""
-    return spark.createDataFrame(list(flow.pairs), "from_page BIGINT, to_page BIGINT")
+    """The distinct consecutive pairs of the flow parameter (a handful of rows), built from
+    literals on the JVM side (a Python-side frame would need Python workers to scan it)."""
+    pairs = [
+        F.struct(F.lit(a).cast("bigint").alias("from_page"), F.lit(b).cast("bigint").alias("to_page"))
+        for a, b in flow.pairs
+    ]
+    return spark.range(1).select(F.inline(F.array(*pairs)))
 
 
 def page_conversion(visits: DataFrame, flow: PageFlow) -> DataFrame:

@@ -180,7 +180,9 @@ def start_blacklist(
 def read_blacklist(spark: SparkSession, blacklist_sink: SnapshotTable) -> DataFrame:
     """Distinct listed users with the batch that first listed them (IO11; never expires)."""
     if not blacklist_sink.exists(spark):
-        return spark.createDataFrame([], "user_id BIGINT, listed_batch BIGINT")
+        return spark.range(0).select(
+            F.col("id").alias("user_id"), F.col("id").alias("listed_batch")
+        )
     raw = blacklist_sink.raw(spark)
     return raw.groupBy("user_id").agg(F.min("batch_id").cast("bigint").alias("listed_batch"))
 

@@ -54,3 +54,10 @@ def test_scan_reads_only_needed_columns(spark):
 def test_city_dimension_is_broadcast(spark):
     p = plan(registry.QUERIES["area_product_clicks"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p and "BuildRight" in p
+
+
+@pytest.mark.parametrize("key", BATCH_KEYS)
+def test_no_python_side_data_in_plan(spark, key):
+    """Parameter frames are built from literals on the JVM side, not from Python-side RDDs."""
+    df = registry.QUERIES[key](spark, SF_SMALL)
+    assert "ExistingRDD" not in plan(df), key
