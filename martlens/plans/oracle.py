@@ -512,3 +512,20 @@ def ad_clicks_clean_fields(threshold: int) -> str:
 SELECT c.ts, c.area, c.city, c.user_id, c.ad_id FROM ad_clicks c LEFT JOIN blacklist b ON c.user_id = b.user_id
 WHERE b.user_id IS NULL OR c.ts < b.blacklisted_at
    OR (c.ts = b.blacklisted_at AND c.event_id <= b.blacklisted_event_id)"""
+
+
+def ad_minute_trend_by_minutes_json(window: str = "1 hour") -> str:
+    """The stream's view: whole minutes within ``window`` of the newest minute, as JSON per ad."""
+    return f"""{ADS},
+per_min AS (
+  SELECT ad_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute, count(*) AS clicks FROM ad_clicks GROUP BY 1, 2
+),
+recent AS (
+  SELECT * FROM per_min
+  WHERE strptime(minute, '%Y-%m-%d %H:%M')
+        > (SELECT max(strptime(minute, '%Y-%m-%d %H:%M')) FROM per_min) - INTERVAL '{window}'
+)
+SELECT ad_id,
+       '[' || string_agg('{{"' || minute || '":' || CAST(clicks AS VARCHAR) || '}}', ',' ORDER BY minute)
+           || ']' AS minutes_json
+FROM recent GROUP BY ad_id"""

@@ -216,6 +216,10 @@ def _stream_ad_daily_area_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.read_daily_area_top(spark, st.top_ads_table(f"{base}/top"))
 
 
+def _stream_ad_daily_area_top3_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_daily_area_top_json(_stream_ad_daily_area_top3(spark, sf_dir))
+
+
 def _stream_ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _stream_run(
         spark, sf_dir, "blacklist",
@@ -255,6 +259,15 @@ def _stream_ad_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.minute_counts_table(f"{base}/minutes").latest(spark)
 
 
+def _stream_ad_minute_trend_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _stream_run(
+        spark, sf_dir, "trend",
+        lambda c, b, o: st.start_minute_counts(c, st.minute_counts_table(f"{b}/minutes"), o, AD),
+    )
+    trend = st.read_minute_trend(spark, st.minute_counts_table(f"{base}/minutes"), AD.trend_window)
+    return ads.ad_minute_trend_json(trend)
+
+
 def _stream_ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _stream_run(
         spark, sf_dir, "sliding",
@@ -293,10 +306,12 @@ _QUERIES: dict[str, QueryFn] = {
     "ad_sliding_counts": _ad_sliding_counts,
     "stream_ad_daily_city_counts": _stream_ad_daily_city_counts,
     "stream_ad_daily_area_top3": _stream_ad_daily_area_top3,
+    "stream_ad_daily_area_top3_json": _stream_ad_daily_area_top3_json,
     "stream_ad_blacklist": _stream_ad_blacklist,
     "stream_ad_blacklist_exact": _stream_ad_blacklist_exact,
     "stream_ad_clicks_clean": _stream_ad_clicks_clean,
     "stream_ad_minute_counts": _stream_ad_minute_counts,
+    "stream_ad_minute_trend_json": _stream_ad_minute_trend_json,
     "stream_ad_sliding_counts": _stream_ad_sliding_counts,
 }
 
@@ -347,9 +362,11 @@ def oracle_sql() -> dict[str, str]:
         # A drained stream must equal its batch query.
         "stream_ad_daily_city_counts": o.ad_daily_city_counts(),
         "stream_ad_daily_area_top3": o.ad_daily_area_top(AD.top_ads),
+        "stream_ad_daily_area_top3_json": o.ad_daily_area_top_json(AD.top_ads),
         "stream_ad_blacklist": o.ad_blacklist_users(AD.blacklist_threshold),
         "stream_ad_blacklist_exact": o.ad_blacklist_moments(AD.blacklist_threshold),
         "stream_ad_clicks_clean": o.ad_clicks_clean_fields(AD.blacklist_threshold),
         "stream_ad_minute_counts": o.ad_minute_counts(),
+        "stream_ad_minute_trend_json": o.ad_minute_trend_by_minutes_json(AD.trend_window),
         "stream_ad_sliding_counts": o.ad_sliding_counts(),
     }
