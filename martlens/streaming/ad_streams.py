@@ -5,13 +5,15 @@ One decode + quarantine step (F12/T2) feeds every stream. Aggregations group by
 (grouping by a derived day column would keep state for ever). Update mode emits only the
 changed keys each batch; ``foreachBatch`` writes them with the snapshot protocol, so a replayed
 batch overwrites itself. Per-batch second levels (the top ads of the days a batch touched, the
-blacklist) run inside ``foreachBatch`` on the batch's rows and the snapshot, never by collecting
-to the driver: the touched days reach the snapshot through a semi-join on its ``day`` partition
-column (dynamic partition pruning).
-
-Differences from batch that are inherent to micro-batching: a user is blacklisted at the end of
-the batch that holds their (threshold+1)-th click, so only the final blacklist is compared with
-the batch query, not the set of dropped clicks.
+blacklist) run inside ``foreachBatch`` as DataFrame jobs over the batch's rows and the snapshot;
+only the handful of days a batch touched (bounded by the watermark plus the batch span) come to
+the driver, as a literal filter on the snapshot's ``day`` partitions so that the read is pruned.
+
+Two blacklist streams: ``start_blacklist`` keeps running (user, ad, day) counts in streaming
+state and lists a user at the end of the batch whose count passes the threshold (the final list
+equals the batch query; which clicks are dropped depends on batching, as in the original), and
+``start_exact_blacklist`` applies the batch query's closed form per micro-batch, so the listing
+moments and the accepted clicks equal the batch answers when clicks arrive in time order.
 """
 
 from __future__ import annotations
