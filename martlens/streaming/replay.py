@@ -3,8 +3,9 @@
 Producers hand files to a file-source stream by writing them elsewhere and renaming them into
 the watched folder (a rename is atomic, so the stream never sees half a file). ``land`` does
 that for one Spark-written chunk. ``run_in_drops`` splits lines into ``n`` time ranges (bounds
-from two scalar aggregates, no collect), lands them one by one and drains the given stream after
-each drop from the same checkpoint: every drop is a restart of the query from its checkpoint.
+from one scalar aggregate, no collect), writes all ranges in one job, then renames them into the
+watched folder one range at a time and drains the given stream after each drop from the same
+checkpoint: every drop is a restart of the query from its checkpoint.
 """
 
 from __future__ import annotations
