@@ -46,15 +46,19 @@ def main() -> None:
 
     warm: dict[str, float] = {}
     cold: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for key in only or HEADLINE:
-        t0 = time.perf_counter()
-        df = registry.QUERIES[key](spark, sf_dir)
-        cold[key] = round(time.perf_counter() - t0 + _run(df), 3)
-        if key.startswith("stream_"):
-            warm[key] = cold[key]
-            continue
-        warm[key] = round(statistics.median(_run(df) for _ in range(repeat)), 3)
-    print(json.dumps({
+        try:
+            t0 = time.perf_counter()
+            df = registry.QUERIES[key](spark, sf_dir)
+            cold[key] = round(time.perf_counter() - t0 + _run(df), 3)
+            if key.startswith("stream_"):
+                warm[key] = cold[key]
+                continue
+            warm[key] = round(statistics.median(_run(df) for _ in range(repeat)), 3)
+        except Exception as e:  # report and go on: one failure must not hide the other timings
+            failed[key] = f"{type(e).__name__}: {str(e)[:200]}"
+    out = {
         "metric": "sum_of_median_warm_query_seconds",
         "value": round(sum(warm.values()), 3),
         "unit": "sec",
@@ -62,7 +66,10 @@ def main() -> None:
         "sf": sf,
         "cold_total": round(sum(cold.values()), 3),
         "cold": cold,
-    }))
+    }
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
