@@ -27,6 +27,8 @@ def spark():
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.checkpoint.dir", ckpt)
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="martlens-test-wh-"))
+        # embedded Derby (JDBC sink tests) logs to the test's temp folder, not the working directory
+        .config("spark.driver.extraJavaOptions", f"-Dderby.stream.error.file={ckpt}/derby.log")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
