@@ -17,7 +17,7 @@ from martlens.operators import areas, categories, pages, sessions, visits
 from martlens.params import PageFlow, ReportConfig
 from martlens.session import scratch_path
 from martlens.sources.condition import parse_condition
-from martlens.sources.fixtures import ShopTables
+from martlens.sources.fixtures import USER_VISIT_ACTION, ShopTables
 from martlens.sources.sinks import new_task_id, with_task
 
 Sink = Callable[[str, DataFrame], None]
@@ -79,7 +79,7 @@ def offline_reports(
     task_id = task_id or new_task_id()
     path = scratch_path(spark, "offline", task_id, "visits")
     visits.visits_filtered(tables.visits, tables.users, flt).write.mode("overwrite").partitionBy("date").parquet(path)
-    v = spark.read.parquet(path).select(*tables.visits.columns)
+    v = spark.read.schema(USER_VISIT_ACTION).parquet(path).select(*USER_VISIT_ACTION.fieldNames())
     top = categories.category_top(v, cfg.top_categories)
     return {
         SESSION_STAT_TABLE: with_task(
