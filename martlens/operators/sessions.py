@@ -5,15 +5,18 @@ R1 ``session_stage_ratio`` (A1-A5, F11, G1): share of short/long sessions by dur
 R2 ``session_hour_quota`` / ``session_sample`` (A7, W8): a seeded sample spread over day-hours.
 
 Scale notes
-* Session stats are ``min/max/count`` aggregates: partial aggregation before the shuffle
-  collapses a hot session to one row per map task, so no task ever holds a whole session.
+* Session stats are ``min/max/count`` aggregates over epoch seconds (BIGINT, so hash-based):
+  partial aggregation before the shuffle collapses a hot session to one row per map task, so
+  no task ever holds a whole session.
 * The ordered lists are built in two levels: per (session, minute) the actions are collected
-  and sorted, then per session only the per-minute pieces (at most one per minute) are
-  concatenated in minute order. Sorting work spreads over (session, minute) keys.
+  and sorted, then per session only the per-minute pieces (at most one per active minute:
+  bounded by the session's time span) are concatenated in minute order. Sorting work spreads
+  over (session, minute) keys.
 * The sample keeps at most ``size`` sessions in total; ``row_number() <= size`` is a literal
   bound, so Catalyst inserts a partial ``WindowGroupLimit`` before the day-hour shuffle and a
-  hot hour ships at most ``size`` rows per map task. The exact per-hour quota is applied after.
-  Lists are built only for the sampled sessions (a broadcast semi-join bounded by ``size``).
+  hot hour ships at most ``size`` rows per map task. The exact per-hour quota is applied after;
+  the quota's total is summed over the per-hour frame (24 rows per day of data). Lists are
+  built only for the sampled sessions (a broadcast semi-join bounded by ``size``).
 """
 
 from __future__ import annotations
