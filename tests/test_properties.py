@@ -14,7 +14,7 @@ from martlens.params import AdParams, SampleParams
 from martlens.plans import registry
 from martlens.sources.fixtures import CITY_INFO, USER_VISIT_ACTION
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 T0 = datetime(2024, 1, 5, 10, 0, 0)
 
 action = st.tuples(
