@@ -332,6 +332,16 @@ def start_sliding_counts(
     return _start(sliding_counts_stream(clicks, params), sink.write_batch, opts)
 
 
+def rows_dropped_late(query: StreamingQuery) -> int:
+    """Rows the query's state operators dropped as later than the watermark, over its recent
+    progress reports (late data is dropped by Spark; this makes the amount visible)."""
+    return sum(
+        op.get("numRowsDroppedByWatermark", 0)
+        for p in query.recentProgress
+        for op in p.get("stateOperators", [])
+    )
+
+
 def drain(query: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query to finish; surface its error if it failed."""
     query.awaitTermination()
@@ -342,6 +352,6 @@ def drain(query: StreamingQuery) -> None:
 __all__ = [
     "StreamOptions", "click_stream", "drain", "path_exists",
     "start_blacklist", "start_clean_clicks", "start_daily_area_top", "start_daily_city_counts",
-    "start_minute_counts", "start_sliding_counts",
+    "start_minute_counts", "start_sliding_counts", "rows_dropped_late",
     "read_blacklist", "read_daily_area_top", "read_minute_trend",
 ]

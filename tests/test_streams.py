@@ -123,11 +123,13 @@ def test_late_file_beyond_watermark_is_dropped(spark, scratch):
 
     def drop(rows, tag):
         replay.land(spark, spark.createDataFrame(rows, adlog.AD_LINE_SCHEMA), staging, watched, tag)
-        st.drain(st.start_daily_city_counts(st.click_stream(spark, watched), sink, opts, params))
+        q = st.start_daily_city_counts(st.click_stream(spark, watched), sink, opts, params)
+        st.drain(q)
+        return st.rows_dropped_late(q)
 
-    drop([line(t0 + 1000), line(t0 + 2000)], "a")
-    drop([line(t0 + 3 * day)], "b")  # moves the watermark to day 3
-    drop([line(t0 + 5000)], "c")  # late: its day-0 window is closed, the row is dropped
+    assert drop([line(t0 + 1000), line(t0 + 2000)], "a") == 0
+    assert drop([line(t0 + 3 * day)], "b") == 0  # moves the watermark to day 3
+    assert drop([line(t0 + 5000)], "c") == 1  # late: its day-0 window is closed, the row is dropped
     got = {r.day: r.clicks for r in sink.latest(spark).collect()}
     assert got == {"2024-01-01": 2, "2024-01-04": 1}
 
