@@ -282,6 +282,13 @@ def start_exact_blacklist(
 
 def read_exact_blacklist(spark: SparkSession, blacklist_sink: SnapshotTable) -> DataFrame:
     """user_id, blacklisted_at, ad_id, day of every listed user (each is listed once)."""
+    if not blacklist_sink.exists(spark):
+        return spark.range(0).select(
+            F.col("id").alias("user_id"),
+            F.lit(None).cast("timestamp").alias("blacklisted_at"),
+            F.col("id").alias("ad_id"),
+            F.lit(None).cast("string").alias("day"),
+        )
     return blacklist_sink.raw(spark).select(
         "user_id", F.col("at_ts").alias("blacklisted_at"), "ad_id", "day"
     )

@@ -281,3 +281,9 @@ def test_processing_time_trigger_while_files_arrive(spark, scratch, small):
         q.stop()
     cols = ["day", "area", "city", "ad_id", "clicks"]
     assert _rows(sink.latest(spark), cols) == _rows(ads.ad_daily_city_counts(clicks), cols)
+
+
+def test_reading_blacklists_before_any_batch(spark, scratch):
+    assert st.read_blacklist(spark, st.blacklist_table(f"{scratch}/none")).count() == 0
+    empty = st.read_exact_blacklist(spark, st.blacklist_table(f"{scratch}/none2"))
+    assert empty.count() == 0 and empty.columns == ["user_id", "blacklisted_at", "ad_id", "day"]
