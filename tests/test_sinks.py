@@ -29,6 +29,10 @@ def test_condition_parsing():
     assert flow == PageFlow((1, 2, 3)) and flow.pairs == ((1, 2), (2, 3))
     flt, flow = parse_condition(json.dumps({"endDate": "", "professionals": []}))
     assert flt == VisitFilter() and flow is None  # empty = no predicate (X2)
+    flt, _ = parse_condition(json.dumps({"professionals": "'BUILDING','AUTOMOBILE'"}))  # SQL-style quoted list
+    assert flt.professionals == ("BUILDING", "AUTOMOBILE")
+    flt, flow = parse_condition(json.dumps({"professionals": ["MACHINERY"], "targetPageFlow": [1, 2]}))
+    assert flt.professionals == ("MACHINERY",) and flow.pairs == ((1, 2),)
 
 
 def test_unfiltered_keeps_only_known_users(spark):
