@@ -76,13 +76,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a fresh folder is made and set,
     so that ``DataFrame.checkpoint()`` and written intermediate tables land somewhere shared.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="martlens-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
