@@ -5,14 +5,16 @@ the only bounded part, beyond it more rows do not change the size of the model):
 
 1. the terms of the examples' texts (words, and the first 4 to 6 letters of longer words, so that inflected
    and compound forms meet) are counted by label, each distinct text once;
-2. the ``TERMS`` terms that speak most clearly for label 1 are kept: a term is kept only if, with
-   smoothed counts, it is ``ODDS`` times likelier in texts of label 1;
+2. the ``TERMS`` terms that speak most clearly for label 1 are kept: a term is kept only if it is in
+   ``SUPPORT`` of the texts of label 1 (so that the words of one much-copied text are not), and, by the
+   lower end of the 90 % interval of its smoothed odds ratio, ``ODDS`` times likelier there;
 3. document frequencies of these terms are counted over all documents;
 4. examples become unit TF-IDF vectors over them. Their inverted index holds, for each term, its
    weights by blocks of ``BLOCK`` examples and each block's largest weight.
 
 Scoring: a text's vector is compared with the blocks in the order of their upper bounds, until no
-block can change its ``NEIGHBOURS`` nearest. Their labels vote with their cosines as weights,
+block can change its ``NEIGHBOURS`` nearest. Their labels vote with their cosines as weights (times
+the number of labelled rows that an example of its label stands for),
 ``PRIOR`` votes of the base rate are added, and so the score is a smoothed share of label 1 among
 texts alike. Texts without a kept term have no direction; all such examples are equally near, and
 the score is the smoothed share of label 1 among them. A text's score depends on its text and the
@@ -41,7 +43,8 @@ from martlens.llm.common import mapped, text_slices
 SAMPLE = 8_000
 TERMS = 4_096
 LEAST_TEXTS = 3
-ODDS = 8.0
+SUPPORT = 0.02
+ODDS = 6.0
 BLOCK = 64
 NEIGHBOURS = 25
 PRIOR = 1.0
@@ -79,6 +82,7 @@ class Model:
     numbers: dict[str, int]
     idf: np.ndarray
     labels: np.ndarray  # of examples that have a vector
+    stands: tuple[float, float]  # labelled rows per example of label 0 and 1
     ids: np.ndarray  # their document ids, as evidence
     without: float  # share of label 1 among examples that have none
     base: float
@@ -120,7 +124,8 @@ class Model:
             return self.without, []
         near, numbers = self.nearest(query)
         votes = self.labels[numbers]
-        score = (float(near @ votes) + PRIOR * self.base) / (float(near.sum()) + PRIOR)
+        weight = near * np.where(votes == 1, *self.stands[::-1])
+        score = (float(weight @ votes) + PRIOR * self.base) / (float(weight.sum()) + PRIOR)
         return score, [int(i) for i in self.ids[numbers[votes == (score >= self.base)]][:5]]
 
 
@@ -129,6 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     spark = docs.sparkSession
     usable = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
     order = F.md5(F.col("__key").cast("string").cast("binary"))
+    usable_rows = dict(usable.groupBy("__label").count().collect())
     sample = usable.filter("__label = 0").orderBy(order, "__key").limit(SAMPLE).union(usable.filter("__label = 1").orderBy(order, "__key").limit(SAMPLE))
     rows = sample.collect()  # at most 2 x SAMPLE pairs of an id and a label
     examples = spark.createDataFrame([(r["__key"], r["__label"]) for r in rows], "__key long, __label int")
@@ -150,8 +156,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     totals = dict(texts.groupBy("label").count().collect())
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     counted = mapped(texts.select("label", "text"), by_label, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    odds = (F.col("n1") + 0.5) / (n1 + 1.0) / ((F.col("n0") + 0.5) / (n0 + 1.0))
-    clear = counted.filter((F.col("n1") >= LEAST_TEXTS) & (odds >= ODDS)).orderBy(F.desc(F.log(odds) * F.sqrt("n1")), "term").limit(TERMS)
+    odds = F.log((F.col("n1") + 0.5) / (n1 + 1.0) / ((F.col("n0") + 0.5) / (n0 + 1.0)))
+    sure = odds - 1.645 * F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
+    clear = counted.filter((F.col("n1") >= max(LEAST_TEXTS, math.ceil(SUPPORT * n1))) & (sure >= math.log(ODDS))).orderBy(F.desc(odds * F.sqrt("n1")), "term").limit(TERMS)
     numbers = {r["term"]: i for i, r in enumerate(clear.collect())}  # at most TERMS
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +180,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([list(c.keys()) for c in got], pa.list_(pa.int64())), pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], ["id", "label", "terms", "counts"])
 
     rows = mapped(texts.select("id", "label", "text"), vectors, "id long, label int, terms array<long>, counts array<long>").collect()
-    model = Model(numbers, idf, np.zeros(0), np.zeros(0, np.int64), 0.0, n1 / (n0 + n1) if n0 + n1 else 0.0, {})
+    all0, all1 = usable_rows.get(0, 0), usable_rows.get(1, 0)
+    stands = (max(1.0, all0 / SAMPLE), max(1.0, all1 / SAMPLE))
+    model = Model(numbers, idf, np.zeros(0), stands, np.zeros(0, np.int64), 0.0, all1 / (all0 + all1) if all0 + all1 else 0.0, {})
     lists: dict[int, list[tuple[int, float]]] = {}
     kept, without = [], [0, 0]
     for r in sorted(rows, key=lambda r: (r["id"], r["label"])):
@@ -184,7 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
             lists.setdefault(t, []).append((len(kept), w))
         kept.append((r["id"], r["label"]))
     model.ids, model.labels = np.array([i for i, _ in kept], np.int64), np.array([y for _, y in kept], float)
-    model.without = (without[1] + PRIOR * model.base) / (sum(without) + PRIOR) if n0 + n1 else 0.0
+    alike = [n * s for n, s in zip(without, stands)]
+    model.without = (alike[1] + PRIOR * model.base) / (sum(alike) + PRIOR)
     for t, got in lists.items():
         examples, weights = np.array([i for i, _ in got]), np.array([w for _, w in got])
         starts = np.unique(examples // BLOCK, return_index=True)
