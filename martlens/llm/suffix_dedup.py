@@ -39,11 +39,11 @@ LENGTH = 100
 GRAM = 32
 WINDOW = LENGTH - GRAM + 1
 PART = 4096
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 LONG_BYTES = 4 << 20
 PLACE_BITS = 24
-HELD = 1_000_000
-ANCHORS_PER_BUCKET = 250_000
+HELD = 400_000
+ANCHORS_PER_BUCKET = 64_000
 BROADCAST_IDS = 1_000_000
 NO_ID = -(2**63)
 BASE = 0x9E3779B97F4A7C15 | 1
