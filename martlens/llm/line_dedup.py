@@ -68,19 +68,18 @@ def join_keys(max_edits: int) -> tuple[Column, Column]:
 
 
 def within(a: Column, b: Column, max_edits: int) -> Column:
-    """Whether the edit distance of ``a`` and ``b`` (no shorter than ``a``, by ``max_edits`` at most) is small enough.
+    """Whether the edit distance of character arrays ``a`` and ``b`` (as long, or longer by ``max_edits`` at most) is small enough.
 
     Bit d of word e: the prefixes of ``a`` and of ``b`` that end on diagonal d - ``max_edits`` are within e edits.
     """
     width = 2 * max_edits + 1
     mask = (1 << width) - 1
-    p, t = F.split(a, ""), F.split(b, "")
     start = F.array(*(F.lit(sum(1 << (max_edits + d) for d in range(e + 1))).cast("long") for e in range(max_edits + 1)))
 
     def step(words: Column, i: Column) -> Column:
         equal = F.lit(0).cast("long")
         for d in range(-max_edits, max_edits + 1):
-            equal = equal.bitwiseOR(F.when(F.get(p, i) == F.get(t, i + d), F.lit(1 << (max_edits + d)).cast("long")).otherwise(F.lit(0).cast("long")))
+            equal = equal.bitwiseOR(F.when(F.get(a, i) == F.get(b, i + d), F.lit(1 << (max_edits + d)).cast("long")).otherwise(F.lit(0).cast("long")))
         out = [F.get(words, F.lit(0)).bitwiseAND(equal)]
         for e in range(1, max_edits + 1):
             before, now = F.get(words, F.lit(e - 1)), F.get(words, F.lit(e))
@@ -88,9 +87,9 @@ def within(a: Column, b: Column, max_edits: int) -> Column:
             out.append(kept.bitwiseOR(F.shiftleft(out[-1], 1)).bitwiseAND(mask))  # or put into b
         return F.array(*out)
 
-    last = F.aggregate(F.sequence(F.lit(0), F.length(a) - 1), start, step)
+    last = F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), start, step)
     ends = F.array(*(F.lit(1 << (max_edits + d)).cast("long") for d in range(max_edits + 1)))
-    return F.get(last, F.lit(max_edits)).bitwiseAND(F.get(ends, F.length(b) - F.length(a))) != 0
+    return F.get(last, F.lit(max_edits)).bitwiseAND(F.get(ends, F.size(b) - F.size(a))) != 0
 
 
 def earliest(rows: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
@@ -110,10 +109,11 @@ def earliest(rows: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     ids = written(firsts.select("__doc", "__row").distinct(), "line-docs")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     sources = rows.join(F.broadcast(ids) if few else ids, ["__doc", "__row"], "left_semi").distinct()
-    texts = lines(sources, min_chars).join(firsts.select(F.col("first").alias("at")), "at", "left_semi").select("h", "line").distinct()
-    texts = written(texts, "line-texts")
-    verified = (pairs.join(texts.select(F.col("h").alias("h1"), F.col("line").alias("a")), "h1")
-                .join(texts.select(F.col("h").alias("h2"), F.col("line").alias("b")), "h2")
+    texts = lines(sources, min_chars).join(firsts.select(F.col("first").alias("at")), "at", "left_semi").dropDuplicates(["h"])
+    # as arrays of characters, made once and not in each step of the automaton
+    texts = written(texts.select("h", F.split("line", "").alias("chars")), "line-texts")
+    verified = (pairs.join(texts.select(F.col("h").alias("h1"), F.col("chars").alias("a")), "h1")
+                .join(texts.select(F.col("h").alias("h2"), F.col("chars").alias("b")), "h2")
                 .filter(within(F.col("a"), F.col("b"), max_edits)).select("h1", "h2"))
     links = written(verified.select(F.col("h1").alias("h"), F.col("h2").alias("other")).union(verified.select("h2", "h1")).distinct(), "line-links")
     near = links.join(classes.select(F.col("h").alias("other"), "first"), "other").groupBy("h").agg(F.min("first").alias("near"))
