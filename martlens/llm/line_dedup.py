@@ -10,7 +10,8 @@ the longer one, shifted by no more edits than stand on either side. So each text
 per segment (its length, the segment's number and hash) and probes, for each length difference, the
 few substrings that the multi-match rule leaves. Pairs that share a row are verified with a
 bit-parallel automaton over the 2 x ``max_edits`` + 1 diagonals of the band: a bit per diagonal, one word per
-number of edits, one step per character.
+number of edits, one step per character. Its steps are interpreted lambda calls, so Spark's compiled
+``levenshtein`` with the same threshold (banded too) discards most pairs before it.
 
 Shuffles carry hashes. Copies of a line are merged by a combinable ``min`` before anything is
 joined, index rows are distinct, and probe rows of a hot line are split by AQE's skew join.
@@ -111,9 +112,10 @@ def earliest(rows: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     sources = rows.join(F.broadcast(ids) if few else ids, ["__doc", "__row"], "left_semi").distinct()
     texts = lines(sources, min_chars).join(firsts.select(F.col("first").alias("at")), "at", "left_semi").dropDuplicates(["h"])
     # as arrays of characters, made once and not in each step of the automaton
-    texts = written(texts.select("h", F.split("line", "").alias("chars")), "line-texts")
-    verified = (pairs.join(texts.select(F.col("h").alias("h1"), F.col("chars").alias("a")), "h1")
-                .join(texts.select(F.col("h").alias("h2"), F.col("chars").alias("b")), "h2")
+    texts = written(texts.select("h", "line", F.split("line", "").alias("chars")), "line-texts")
+    verified = (pairs.join(texts.select(F.col("h").alias("h1"), F.col("chars").alias("a"), F.col("line").alias("line1")), "h1")
+                .join(texts.select(F.col("h").alias("h2"), F.col("chars").alias("b"), F.col("line").alias("line2")), "h2")
+                .filter(F.levenshtein("line1", "line2", max_edits) >= 0)
                 .filter(within(F.col("a"), F.col("b"), max_edits)).select("h1", "h2"))
     links = written(verified.select(F.col("h1").alias("h"), F.col("h2").alias("other")).union(verified.select("h2", "h1")).distinct(), "line-links")
     near = links.join(classes.select(F.col("h").alias("other"), "first"), "other").groupBy("h").agg(F.min("first").alias("near"))
