@@ -109,8 +109,9 @@ def test_materialized_tables_prune_dates_and_match(spark, scratch):
     f = registry.FILTER
     df = visits_filtered(stored.visits, stored.users, f)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    scan = [line for line in plan.splitlines() if "user_visit_action" in line][0]
-    assert "PartitionFilters: [isnotnull(date" in scan and "2024-01-03" in scan
+    # a plan cuts long locations, so the scan is found by the filters that it must have
+    scan = [line for line in plan.splitlines() if "PartitionFilters: [isnotnull(date" in line]
+    assert scan and "2024-01-03" in scan[0]
     a = sessions.session_stage_ratio(sessions.session_stats(df)).first()
     b = registry.QUERIES["session_stage_ratio"](spark, SF_SMALL).first()
     assert a == b
