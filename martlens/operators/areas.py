@@ -4,7 +4,7 @@ IDs: J2 (visits x cities), A13 (clicks per area x product), A14/U1 (the city rem
 the original, built here from built-ins), W4 (top cities inside the remark), G2/G3 (remainder
 share and text), W1/F7 (rank per area), J3 (product names after the rank filter), U2 (task id).
 
-Plan shape: scan(visits) -> broadcast join city dimension -> partial+final aggregate on
+Plan shape: scan(visits) -> join city dimension (broadcast where its size allows) -> partial+final aggregate on
 (area, product, city) -> small final aggregate on (area, product) whose ``collect_list`` holds
 at most one entry per city of the area (bounded by the city dimension, not by the data) ->
 ``rank()`` with a literal bound, which Catalyst turns into a ``WindowGroupLimit`` before the
@@ -67,9 +67,8 @@ def area_product_clicks(
     clicks = visits.select("city_id", F.col("click_product_id").alias("product_id"))
     if not keep_no_click:
         clicks = clicks.filter(F.col("product_id") != NO_CLICK)
-    # The city dimension has one row per city (25 here): a bounded broadcast.
     per_city = (
-        clicks.join(F.broadcast(cities), "city_id")
+        clicks.join(cities, "city_id")
         .groupBy("area", "product_id", "city_name")
         .agg(F.count(F.lit(1)).alias("city_clicks"))
     )

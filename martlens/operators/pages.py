@@ -11,15 +11,12 @@ Next-page computation (W5), split so that a big session never lands in one task
 Together these are exactly the consecutive pairs in (action_time, action_id) order. Step 2 holds
 at most two rows per active minute of a session: bounded by the session's time span, not by its
 number of actions - and a session can only hold a large share of the data by being dense in
-time. The flow filter is a literal predicate applied before the pair count's shuffle.
+time. The flow filter is a semi-join with the flow's own pairs, applied before the pair count's shuffle.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlens.functions.scalars import pct_ratio_first
@@ -37,12 +34,6 @@ def page_visits(visits: DataFrame, flow: PageFlow) -> DataFrame:
     )
 
 
-def _is_flow_pair(flow: PageFlow) -> Column:
-    return reduce(
-        or_, [(F.col("from_page") == F.lit(a)) & (F.col("to_page") == F.lit(b)) for a, b in flow.pairs]
-    )
-
-
 def page_steps(visits: DataFrame, bucket_prefix: int = MINUTE_PREFIX) -> DataFrame:
     """All consecutive (from_page, to_page) steps of every session, in action order."""
     acts = visits.select(
@@ -83,7 +74,7 @@ def page_transitions(visits: DataFrame, flow: PageFlow) -> DataFrame:
     """from_page, to_page, transitions for the flow's pairs that were taken."""
     return (
         page_steps(visits)
-        .filter(_is_flow_pair(flow))
+        .join(F.broadcast(flow_pairs(visits.sparkSession, flow)), ["from_page", "to_page"], "left_semi")
         .groupBy("from_page", "to_page")
         .agg(F.count(F.lit(1)).alias("transitions"))
     )
@@ -91,12 +82,14 @@ def page_transitions(visits: DataFrame, flow: PageFlow) -> DataFrame:
 
 def flow_pairs(spark: SparkSession, flow: PageFlow) -> DataFrame:
     """The distinct consecutive pairs of the flow parameter (a handful of rows), built from
-    literals on the JVM side (a Python-side frame would need Python workers to scan it)."""
+    literals on the JVM side (a Python-side frame would need Python workers to scan it). A flow
+    of one page has no pairs."""
     pairs = [
         F.struct(F.lit(a).cast("bigint").alias("from_page"), F.lit(b).cast("bigint").alias("to_page"))
         for a, b in flow.pairs
     ]
-    return spark.range(1).select(F.inline(F.array(*pairs)))
+    none = F.array().cast("array<struct<from_page:bigint,to_page:bigint>>")
+    return spark.range(1).select(F.inline(F.array(*pairs) if pairs else none))
 
 
 def page_conversion(visits: DataFrame, flow: PageFlow) -> DataFrame:

@@ -297,7 +297,7 @@ def read_exact_blacklist(spark: SparkSession, blacklist_sink: SnapshotTable) ->
 # ---------------------------------------------------------------- R10: per-minute trend, sliding windows
 def minute_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
     agg = (
-        clicks.withWatermark("ts", params.trend_window)
+        clicks.withWatermark("ts", params.watermark)
         .groupBy("ad_id", F.window("ts", "1 minute").alias("w"))
         .agg(F.count(F.lit(1)).alias("clicks"))
     )
@@ -323,7 +323,7 @@ def read_minute_trend(spark: SparkSession, sink: SnapshotTable, window: str = "1
 
 def sliding_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
     w = F.window("ts", params.sliding_window, params.sliding_slide)
-    agg = clicks.withWatermark("ts", params.sliding_window).groupBy("ad_id", w.alias("w")).agg(
+    agg = clicks.withWatermark("ts", params.watermark).groupBy("ad_id", w.alias("w")).agg(
         F.count(F.lit(1)).alias("clicks")
     )
     return agg.select("ad_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks")

@@ -7,10 +7,10 @@ failure rewrites the same partition, so the sink is idempotent. Readers take, pe
 of the newest batch (``max_by``), or, for tables where a group owns several rows (the top ads of
 a day and area), all rows of the newest batch that wrote the group.
 
-``compact`` folds old batches into one base partition: the folded rows are first written
-reliably (``checkpoint()`` into the shared ``spark.checkpoint.dir``), then written as the
-partition of the newest folded batch, and only then are the older partitions dropped. A reader
-at any moment sees either the parts or the base (or both; the newest batch still wins).
+``compact`` folds old batches into the partition of the newest of them without ever deleting rows
+that exist nowhere else: the fold is written to a hidden folder, published by one rename, and only
+then replaces the folded partitions. Whoever opens the table next finishes a replacement that was
+broken off; a fold that failed before its rename is ignored and written anew.
 """
 
 from __future__ import annotations
@@ -23,10 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martlens.session import checkpoint_dir
-
 BATCH_COL = "batch_id"
-SCHEMA_FILE = "_schema.json"  # leading underscore: never listed as data
+# a leading underscore: never listed as data
+SCHEMA_FILE = "_schema.json"
+FOLD = "_fold-"  # being written
+READY = "_ready-"  # complete, about to replace what it folds
 
 
 def _fs(spark: SparkSession, path: str):
@@ -40,10 +41,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _finish_folds(spark: SparkSession, path: str) -> None:
+    """Put each published fold in the place of the partitions that it holds; safe to repeat."""
+    fs, p = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    for base in sorted(int(n[len(READY):]) for n in names if n.startswith(READY)):
+        for name in names:
+            batch = name.removeprefix(f"{BATCH_COL}=")
+            if batch != name and batch.isdigit() and int(batch) <= base:
+                fs.delete(_fs(spark, f"{path}/{name}")[1], True)
+        if not fs.rename(_fs(spark, f"{path}/{READY}{base}")[1], _fs(spark, f"{path}/{BATCH_COL}={base}")[1]):
+            raise OSError(f"cannot put fold {base} of {path} in place")
+
+
 def _batch_ids(spark: SparkSession, path: str) -> list[int]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
+    _finish_folds(spark, path)
     ids = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
@@ -108,24 +123,27 @@ class SnapshotTable:
         """Overwrite partition ``batch_id`` with this batch's rows (idempotent on replay)."""
         self._save_schema(df.sparkSession, df.schema)
         if self.partition_by:
-            # Update rows are bounded by the key count; one writer per partition value keeps
-            # the file count per batch at one per touched day instead of one per task and day.
-            df = df.repartition(*self.partition_by)
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+            # Rows of a day meet in few files; AQE splits a day that is too large for one writer.
+            df = df.hint("rebalance", *self.partition_by)
+        self._write(df, f"{BATCH_COL}={int(batch_id)}")
         if self.compact_every and batch_id > 1 and batch_id % self.compact_every == 0:
             # Only committed batches (< batch_id) are folded: a replay of this batch rewrites
             # its own partition and can never overwrite folded rows.
             self.compact(df.sparkSession, upto=batch_id - 1, group=self.groups)
 
+    def _write(self, df: DataFrame, folder: str) -> None:
+        w = df.write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(f"{self.path}/{folder}")
+
     # ---------------------------------------------------------------- reading
     def exists(self, spark: SparkSession) -> bool:
         return bool(_batch_ids(spark, self.path))
 
     def raw(self, spark: SparkSession) -> DataFrame:
         """All batch rows, read with the recorded schema (partition columns keep their types)."""
+        _finish_folds(spark, self.path)
         schema = self.schema(spark)
         if schema is not None:
             full = StructType([*schema.fields, StructField(BATCH_COL, LongType())])
@@ -171,7 +189,6 @@ class SnapshotTable:
         if len(ids) < 2:
             return ids[-1] if ids else None
         base = ids[-1]
-        checkpoint_dir(spark)  # a shared folder for the reliable checkpoint below
         raw = self.raw(spark).filter(F.col(BATCH_COL) <= F.lit(base))
         if group:
             newest = F.max(BATCH_COL).over(Window.partitionBy(*group))
@@ -181,9 +198,10 @@ class SnapshotTable:
             folded = raw.groupBy(*self.keys).agg(
                 F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("v")
             ).select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])
-        folded = folded.drop(BATCH_COL).checkpoint(eager=True)
-        self.write_batch(folded, base)
-        for i in ids[:-1]:
-            fs, p = _fs(spark, f"{self.path}/{BATCH_COL}={i}")
-            fs.delete(p, True)
+        folded = folded.drop(BATCH_COL)
+        self._write(folded.hint("rebalance", *self.partition_by) if self.partition_by else folded, f"{FOLD}{base}")
+        fs, fold = _fs(spark, f"{self.path}/{FOLD}{base}")
+        if not fs.rename(fold, _fs(spark, f"{self.path}/{READY}{base}")[1]):
+            raise OSError(f"cannot publish fold {base} of {self.path}")
+        _finish_folds(spark, self.path)
         return base

@@ -287,3 +287,48 @@ def test_reading_blacklists_before_any_batch(spark, scratch):
     assert st.read_blacklist(spark, st.blacklist_table(f"{scratch}/none")).count() == 0
     empty = st.read_exact_blacklist(spark, st.blacklist_table(f"{scratch}/none2"))
     assert empty.count() == 0 and empty.columns == ["user_id", "blacklisted_at", "ad_id", "day"]
+
+
+def test_failed_fold_loses_nothing_and_a_broken_off_one_is_finished(spark, scratch, monkeypatch):
+    from martlens.streaming import snapshot
+
+    t = snapshot.SnapshotTable(f"{scratch}/t", keys=["k"], partition_by=["day"])
+    for b in range(3):
+        rows = spark.range(10 * b, 10 * b + 10).selectExpr("id AS k", "'2024-01-01' AS day", f"{b} AS v")
+        t.write_batch(rows, b)
+
+    def fails(self, df, folder):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr(snapshot.SnapshotTable, "_write", fails)
+        with pytest.raises(OSError):
+            t.compact(spark)
+    assert t.latest(spark).count() == 30
+    with monkeypatch.context() as m:
+        m.setattr(snapshot, "_finish_folds", lambda spark, path: None)
+        t.compact(spark)  # published, but ends before anything is replaced
+    assert t.latest(spark).count() == 30 and snapshot._batch_ids(spark, t.path) == [2]
+    assert t.latest(spark).count() == 30
+
+
+def test_one_day_batch_is_split_between_writers(spark, scratch):
+    from martlens.streaming.snapshot import SnapshotTable
+
+    rows = spark.range(0, 2_000_000, 1, 8).selectExpr("id AS k", "'2024-01-01' AS day", "uuid() AS v")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    try:
+        SnapshotTable(f"{scratch}/t", keys=["k"], partition_by=["day"]).write_batch(rows, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(spark.read.parquet(f"{scratch}/t").inputFiles()) > 1
+
+
+def test_flow_of_one_page_has_no_rows(spark):
+    from martlens import PageFlow
+    from martlens.operators import pages
+
+    visits = fixtures.load(spark, SF_SMALL).visits
+    assert pages.page_transitions(visits, PageFlow((1,))).count() == 0
+    assert pages.page_conversion(visits, PageFlow((1,))).count() == 0
