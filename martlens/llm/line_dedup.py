@@ -111,12 +111,13 @@ def earliest(rows: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     sources = rows.join(F.broadcast(ids) if few else ids, ["__doc", "__row"], "left_semi").distinct()
     texts = lines(sources, min_chars).join(firsts.select(F.col("first").alias("at")), "at", "left_semi").dropDuplicates(["h"])
+    texts = written(texts, "line-texts")
+    close = (pairs.join(texts.select(F.col("h").alias("h1"), F.col("line").alias("line1")), "h1")
+             .join(texts.select(F.col("h").alias("h2"), F.col("line").alias("line2")), "h2")
+             .filter(F.levenshtein("line1", "line2", max_edits) >= 0))
     # as arrays of characters, made once and not in each step of the automaton
-    texts = written(texts.select("h", "line", F.split("line", "").alias("chars")), "line-texts")
-    verified = (pairs.join(texts.select(F.col("h").alias("h1"), F.col("chars").alias("a"), F.col("line").alias("line1")), "h1")
-                .join(texts.select(F.col("h").alias("h2"), F.col("chars").alias("b"), F.col("line").alias("line2")), "h2")
-                .filter(F.levenshtein("line1", "line2", max_edits) >= 0)
-                .filter(within(F.col("a"), F.col("b"), max_edits)).select("h1", "h2"))
+    close = written(close.select("h1", "h2", F.split("line1", "").alias("a"), F.split("line2", "").alias("b")), "line-close")
+    verified = close.filter(within(F.col("a"), F.col("b"), max_edits)).select("h1", "h2")
     links = written(verified.select(F.col("h1").alias("h"), F.col("h2").alias("other")).union(verified.select("h2", "h1")).distinct(), "line-links")
     near = links.join(classes.select(F.col("h").alias("other"), "first"), "other").groupBy("h").agg(F.min("first").alias("near"))
     out = classes.join(near, "h", "left").filter("n > 1 OR near IS NOT NULL")
