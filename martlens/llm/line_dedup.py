@@ -8,9 +8,7 @@ Distinct texts are joined as follows. The shorter of two texts is cut into ``max
 segments of fixed places; if the texts are within ``max_edits``, one segment stands unchanged in
 the longer one, shifted by no more edits than stand on either side. So each text gives an index row
 per segment (its length, the segment's number and hash) and probes, for each length difference, the
-few substrings that the multi-match rule leaves. That rule also bounds the edits on either side of
-the segment, so the longer side is cut again by its own bound: rows carry hashes of those pieces as
-marks, and a pair that shares a row but no mark is no candidate. Pairs are verified with a
+few substrings that the multi-match rule leaves. Pairs that share a row are verified with a
 bit-parallel automaton over the 2 x ``max_edits`` + 1 diagonals of the band: a bit per diagonal, one word per
 number of edits, one step per character. Its steps are interpreted lambda calls, so Spark's compiled
 ``levenshtein`` with the same threshold (banded too) discards most pairs before it.
@@ -54,28 +52,19 @@ def segments(length: Column, count: int) -> list[tuple[Column, Column]]:
 
 
 def join_keys(max_edits: int) -> tuple[Column, Column]:
-    """Arrays of (key, marks): the index rows of a line, and the rows that it probes in texts as long or shorter.
-
-    Two rows of one key are a candidate pair only if they share a mark as well.
-    """
-    n = F.length("line")
-
-    def shifts(i: int, less: int, edits: int) -> range:  # i edits can stand before segment i, the others after it
-        return range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
-
-    def row(length: Column, less: int, i: int, shift: int, start: Column, size: Column) -> Column:
-        """Row of segment i of a text of ``length``, found ``shift`` later in one longer by ``less``; marks lie in the longer side of the rest."""
-        key = F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start + shift, size))
-        right = 2 * i <= max_edits
-        place, rest = (start + size + shift, length - start - size + 1) if right else (F.lit(1), start - 1)
-        edits, longer = (max_edits - i, less - shift) if right else (i, shift)
-        marks = [F.hash(F.lit(j), F.substring(F.col("line"), place + p - 1 + s, m))
-                 for j, (p, m) in enumerate(segments(rest, edits + 1)) for s in shifts(j, longer, edits)]
-        return F.struct(key.alias("key"), F.array(*marks).alias("marks"))
-
-    index = [row(n, 0, i, 0, p, size) for i, (p, size) in enumerate(segments(n, max_edits + 1))]
-    probes = [row(n - less, less, i, shift, p, size)
-              for less in range(max_edits + 1) for i, (p, size) in enumerate(segments(n - less, max_edits + 1)) for shift in shifts(i, less, max_edits)]
+    """Index rows of a line of ``len`` characters, and its probes of texts that are as long (even) or shorter."""
+    n = F.col("len")
+
+    def key(length: Column, i: int, start: Column, size: Column) -> Column:
+        return F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start, size))
+
+    index = [key(n, i, p, size) for i, (p, size) in enumerate(segments(n, max_edits + 1))]
+    probes = []
+    for less in range(max_edits + 1):
+        for i, (p, size) in enumerate(segments(n - less, max_edits + 1)):
+            left, right = i, max_edits - i  # edits that can stand before and after the segment
+            for shift in range(max(-left, less - right), min(left, less + right) + 1):
+                probes.append(F.struct(key(n - less, i, p + shift, size).alias("key"), F.lit(not less).alias("even")))
     return F.array(*index), F.array(*probes)
 
 
@@ -111,11 +100,12 @@ def earliest(rows: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     if not max_edits:
         return classes.filter("n > 1").select("h", "first")
     index, probes = join_keys(max_edits)
-    keyed = every.select("h", F.length("line").alias("len"), index.alias("index"), probes.alias("probes"))
-    shorter = keyed.select(F.col("h").alias("h1"), F.explode("index").alias("row")).select("h1", "row.key", F.col("row.marks").alias("marks1")).distinct()
-    longer = keyed.select(F.col("h").alias("h2"), F.explode("probes").alias("row")).select("h2", "row.key", F.col("row.marks").alias("marks2"))
-    candidates = shorter.join(longer, "key").filter((F.col("h1") != F.col("h2")) & F.arrays_overlap("marks1", "marks2"))
-    pairs = written(candidates.select("h1", "h2").distinct(), "line-pairs")
+    keyed = every.select("h", "line", F.length("line").alias("len"))  # counted once, not in each key
+    shorter = keyed.select(F.col("h").alias("h1"), F.explode(index).alias("key")).distinct()
+    longer = keyed.select(F.col("h").alias("h2"), F.explode(probes).alias("probe"))
+    longer = longer.select("h2", "probe.key", "probe.even")
+    # texts as long as each other would meet both ways round
+    pairs = written(shorter.join(longer, "key").filter("h1 < h2 OR NOT even").select("h1", "h2").distinct(), "line-pairs")
 
     wanted = pairs.select(F.col("h1").alias("h")).union(pairs.select("h2")).distinct()
     firsts = classes.join(wanted, "h").select("first.__doc", "first.__row", "first").distinct()
