@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 from martlens.llm.common import U64, mapped, text_slices
 
 MATRIX_BYTES = 256
-CACHE_PIECES = 300_000
+MATRIX_CELLS = 1 << 18
+CACHE_PIECES = 100_000
 SLICE_BYTES = 1 << 20
 NONE = np.int32(2**31 - 1)
 
@@ -75,14 +76,20 @@ class PairTable:
         return out
 
 
+def ranked(path: str) -> Iterator[tuple[bytes, int]]:
+    """(token, rank) of each line of a rank file (base64 token, rank)."""
+    with open(path, "rb") as lines:
+        for line in lines:
+            if line.strip():
+                token, rank = line.split()
+                yield base64.b64decode(token), int(rank)
+
+
 class Vocabulary:
-    """Token bytes by id and the merge ranks of a rank file (base64 token, rank per line)."""
+    """Ids by token bytes and the merge ranks of a rank file."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            rows = [line.split() for line in lines if line.strip()]
-        self.ids = {base64.b64decode(token): int(rank) for token, rank in rows}
-        self.tokens = {rank: token for token, rank in self.ids.items()}
+        self.ids = dict(ranked(path))
         self.byte_ids = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.pairs: dict[int, int] = {}
         for token, rank in self.ids.items():
@@ -105,8 +112,8 @@ class Vocabulary:
             else:
                 buckets.setdefault(max(4, 1 << (len(piece) - 1).bit_length()), []).append(i)
         for width, rows in buckets.items():
-            for k in range(0, len(rows), (1 << 20) // width):
-                self._merge_matrix(pieces, rows[k : k + (1 << 20) // width], width, out)
+            for k in range(0, len(rows), MATRIX_CELLS // width):
+                self._merge_matrix(pieces, rows[k : k + MATRIX_CELLS // width], width, out)
         return out
 
     def _merge_matrix(self, pieces: list[bytes], rows: list[int], width: int, out: list[bytes]) -> None:
@@ -171,6 +178,12 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """Token bytes by id: all that decoding needs. Loaded once per Python worker."""
+    return {rank: token for token, rank in ranked(path)}
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``ids``: the packed token ids (binary, little-endian uint32) of ``text``."""
 
@@ -196,7 +209,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...] = (
     """``keep`` columns and ``decoded``: the bytes that the packed ``ids`` stand for (null: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = vocabulary(path).tokens.__getitem__
+        token = token_bytes(path).__getitem__
         for batch in text_slices(batches, "__ids", 4 * SLICE_BYTES):
             out = [b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], [*batch.schema.names[:-1], "decoded"])
