@@ -14,7 +14,7 @@ number of edits, one step per character. Its steps are interpreted lambda calls,
 ``levenshtein`` with the same threshold (banded too) discards most pairs before it.
 
 Shuffles carry hashes. Copies of a line are merged by a combinable ``min`` before anything is
-joined, index rows are distinct, and probe rows of a hot line are split by AQE's skew join.
+joined, and index and probe rows are distinct, so a line probes once however often it occurs.
 The texts of candidates are read again by the ids of their documents: behind a check of their
 number these are broadcast, beyond it joined. What links gives is the earliest line near each
 text, so no chain of links is followed and no group is gathered.
@@ -103,7 +103,7 @@ def earliest(rows: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     keyed = every.select("h", "line", F.length("line").alias("len"))  # counted once, not in each key
     shorter = keyed.select(F.col("h").alias("h1"), F.explode(index).alias("key")).distinct()
     longer = keyed.select(F.col("h").alias("h2"), F.explode(probes).alias("probe"))
-    longer = longer.select("h2", "probe.key", "probe.even")
+    longer = longer.select("h2", "probe.key", "probe.even").distinct()  # copies of a line probe once
     # texts as long as each other would meet both ways round
     pairs = written(shorter.join(longer, "key").filter("h1 < h2 OR NOT even").select("h1", "h2").distinct(), "line-pairs")
 
