@@ -4,7 +4,9 @@ Vectors are padded to a power of two and turned by pseudo-random rotations: thre
 flips and a fast Hadamard transform. A table's bucket is the nearest signed axis of the turned
 unit vector. Every vector is put in its bucket of each table; a query probes, in each table, the
 buckets of its ``probes`` nearest signed axes. All candidates of a bucket are scored exactly, in
-double precision on the vectors as given.
+double precision on the vectors as given. Queries that find fewer than ``k`` ask again with ``WIDER``
+times as many axes, and so on up to all axes of one table, which hold every vector; so a query gets
+``k`` rows, or all there are.
 
 Spark deals vectors and queries by (table, bucket, part). A bucket of more than ``PART_ROWS`` rows
 is cut into parts and its queries go to each, so no task holds a hot bucket; the bucket counts that
@@ -30,6 +32,7 @@ from martlens.llm.common import mapped, partitions, written
 
 PART_ROWS = 8192
 QUERY_ROWS = 256
+WIDER = 4
 NEAR = "query_id long, vec_id long, score double"
 
 
@@ -85,7 +88,7 @@ def clean(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, int, str]:
     return mapped(rows, run, "vec_id long, vec binary"), dim, kind
 
 
-def nearest(df: DataFrame, is_query: Column, k: int = 20, tables: int = 16, probes: int = 5, key: str = "vec_id", vector: str = "embedding", seed: int = 0) -> DataFrame:
+def nearest(df: DataFrame, is_query: Column, k: int = 20, tables: int = 16, probes: int = 8, key: str = "vec_id", vector: str = "embedding", seed: int = 0) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` found with the largest inner product, ties to smaller ids.
 
     ``is_query`` is a condition on ``vec_id``.
@@ -95,7 +98,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, tables: int = 16, prob
     same = Window.partitionBy("vec").orderBy("vec_id")
     base = vectors.distinct().withColumn("copy", F.row_number().over(same)).filter(f"copy <= {k + 1}").select("vec_id", "vec")
 
-    def hashed(n: int):
+    def hashed(n: int, tables: int = tables):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if not batch.num_rows:
@@ -113,11 +116,8 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, tables: int = 16, prob
     placed = written(mapped(base, hashed(1), schema), "ann-tables")
     # at most tables x 2 x width rows, whatever the size of the input
     parts = placed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
-    asked = mapped(vectors.filter(is_query).distinct(), hashed(probes), schema).join(parts, ["table", "bucket"])
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(1))
     there = placed.join(parts, ["table", "bucket"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int")).withColumn("asks", F.lit(0))
     columns = ["table", "bucket", "part", "asks", "vec_id", "vec"]
-    dealt = there.select(columns).union(asked.select(columns)).repartition(partitions(spark), "table", "bucket", "part").sortWithinPartitions("table", "bucket", "part", "asks")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def answers(ids: list[int], vecs: list[bytes]) -> pa.RecordBatch:
@@ -157,6 +157,26 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, tables: int = 16, prob
         if ids:
             yield answers(ids, vecs)
 
-    found = mapped(dealt, search, NEAR).distinct()
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
+    def answered(queries: DataFrame, tables: int, n: int) -> DataFrame:
+        asked = mapped(queries, hashed(n, tables), schema).join(parts, ["table", "bucket"])
+        asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(1))
+        rows = there.filter(F.col("table") < tables).select(columns).union(asked.select(columns))
+        dealt = rows.repartition(partitions(spark), "table", "bucket", "part").sortWithinPartitions("table", "bucket", "part", "asks")
+        found = mapped(dealt, search, NEAR).distinct()
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return written(found.withColumn("rank", rank).filter(f"rank <= {k}").select("query_id", "rank", "vec_id", "score"), "ann-answers")
+
+    queries, every = vectors.filter(is_query).distinct(), 2 << max(0, dim - 1).bit_length()
+    out, n = None, min(probes, every)
+    while True:
+        last = n == every
+        now = answered(queries, 1 if last else tables, n)
+        full = now.groupBy("query_id").count().filter(f"count >= {k}").select(F.col("query_id").alias("vec_id"))
+        done = now if last else now.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi")
+        out = done if out is None else out.union(done)
+        if last:
+            return out
+        queries = written(queries.join(full, "vec_id", "left_anti"), "ann-short")
+        if queries.isEmpty():
+            return out
+        n = min(n * WIDER, every)

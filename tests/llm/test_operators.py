@@ -264,6 +264,31 @@ def test_ann_recall_ties_and_rows_that_take_no_part(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_ann_gives_k_or_all_of_a_small_table(spark):
+    x = np.random.default_rng(3).normal(size=(31, 64))
+    for n in (12, 31):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:n])], "vec_id long, embedding array<double>")
+        got = ann.nearest(df, F.col("vec_id") < 5).collect()
+        for q in range(5):
+            s = x[:n] @ x[q]
+            s[q] = -np.inf
+            found = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+            assert len(found) == min(20, n - 1) and (n > 21 or found == np.argsort(-s)[: n - 1].tolist())
+
+
+def test_ann_recall_on_the_small_given_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [r for r in df.collect() if r["embedding"] is not None]
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
+    got, hits, n = ann.nearest(df, F.col("vec_id") % 20 == 0).collect(), 0, 0
+    for q in ids[ids % 20 == 0]:
+        s = x @ x[ids == q][0]
+        s[ids == q] = -np.inf
+        hits += len({r["vec_id"] for r in got if r["query_id"] == q} & set(ids[np.lexsort((ids, -s))[:20]].tolist()))
+        n += 20
+    assert hits >= 0.92 * n
+
+
 def test_connected_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (100, 90)], "a long, b long")
     got = dict(common.connected_components(edges).collect())
