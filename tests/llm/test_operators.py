@@ -289,6 +289,16 @@ def test_ann_recall_on_the_small_given_table(spark):
     assert hits >= 0.92 * n
 
 
+def test_toxicity_keeps_terms_of_a_rare_kind_but_not_of_a_copied_text(spark):
+    rng = random.Random(8)
+    copied = words(rng, 60, 5000) + " copyword"
+    texts = [words(rng, 40) + " vileword" for _ in range(400)] + [words(rng, 40) + " rareword" for _ in range(7)]
+    texts += [f"{copied} tail{i}" for i in range(30)] + [words(rng, 40) for _ in range(2400)]
+    labels = spark.createDataFrame([(i, int(i < 437)) for i in range(len(texts))], "doc_id long, toxic int")
+    numbers = toxicity.fit(table(spark, texts), labels).numbers
+    assert {"vileword", "rareword"} <= set(numbers) and "copyword" not in numbers
+
+
 def test_connected_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (100, 90)], "a long, b long")
     got = dict(common.connected_components(edges).collect())
