@@ -222,6 +222,15 @@ def test_fingerprints_and_next(spark, empty):
     assert fingerprints.with_next(empty.select("doc_id", "text"), "doc_id", ["text"]).count() == 0
 
 
+def test_fingerprint_cosines_are_near_the_exact_ones(spark):
+    rng = random.Random(9)
+    lines = [[f"line {rng.randrange(10**9)}" for _ in range(20)] for _ in range(200)]
+    rows = [("\n".join(a), "\n".join(b[:10] + a[:10])) for a, b in zip(lines, lines[1:])]
+    df = fingerprints.with_words(fingerprints.with_words(spark.createDataFrame(rows, "a string, b string"), "a", "x"), "b", "y")
+    near = [r["near"] for r in fingerprints.with_likeness(df, "x", {"near": "y"}).collect()]
+    assert np.sqrt(np.mean((np.array(near) - 0.5) ** 2)) < 0.065
+
+
 def test_mixing_meets_its_budgets(spark, empty):
     rng = random.Random(2)
     rows = [(i, rng.randrange(1, 50), "big" if i % 3 else ("mid" if i % 2 else None), 0.5) for i in range(600)]
