@@ -11,7 +11,8 @@ per segment (its length, the segment's number and hash) and probes, for each len
 few substrings that the multi-match rule leaves. Pairs that share a row are verified with a
 bit-parallel automaton over the 2 x ``max_edits`` + 1 diagonals of the band: a bit per diagonal, one word per
 number of edits, one step per character. Its steps are interpreted lambda calls, so Spark's compiled
-``levenshtein`` with the same threshold (banded too) discards most pairs before it.
+``levenshtein`` with the same threshold (banded too) runs before it. That is the same exact predicate, so
+``levenshtein`` verifies, and the automaton only checks the pairs that it accepts.
 
 Shuffles carry hashes. Copies of a line are merged by a combinable ``min`` before anything is
 joined, and index and probe rows are distinct, so a line probes once however often it occurs.
