@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlens.llm import ann, bpe, fingerprints, line_dedup, mixing, ngram_join, suffix_dedup, token_counts, toxicity, warc
+from martlens.llm import (
+    ann, bpe, fingerprints, line_dedup, merkle, mixing, ngram_join, secrets, suffix_dedup, token_counts, toxicity, warc, whitening,
+)
 from martlens.llm.common import read, written
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -111,6 +113,75 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", F.round("weight", 9).alias("weight"), "turn", "block", "place", "n_tokens")
 
 
+#: Fields of a document's leaf, in this order.
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(*LEAF_FIELDS)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.when(tampered, F.try_add(F.col("n_chars"), F.lit(1))).otherwise(F.col("n_chars"))
+    now = merkle.leaf_digest([n_chars if c == "n_chars" else F.col(c) for c in LEAF_FIELDS])
+    rows = merkle.proofs(docs, merkle.leaf_digest([F.col(c) for c in LEAF_FIELDS]), "lang", "doc_id",
+                         {"doc_id": F.col("doc_id"), "now": F.when(tampered & F.col("n_chars").isNotNull(), F.unhex(now))})
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce(merkle.hex_of(F.col("now")), "leaf"), F.col("proof")))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(F.encode(merkle.siblings(F.col("proof")), "UTF-8"), 256).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _sql_leaf(n_chars: str) -> str:
+    values = ["doc_id", "source", "lang", n_chars, "text"]
+    return "sha256(" + " || ".join(f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR) END" for v in values) + ")"
+
+
+#: crc32 bit by bit: its reflected polynomial over the digits of the id.
+_SQL_CRC = """xor(4294967295::UBIGINT, list_reduce(
+    list_concat([4294967295::UBIGINT], list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1), lambda i: ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::UBIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                      lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)))"""
+
+OP11_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, leaf, CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL THEN changed ELSE leaf END AS now,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, n_chars, {_sql_leaf("n_chars")} AS leaf, {_sql_leaf("(n_chars + 1)")} AS changed, {_SQL_CRC} AS crc FROM documents)),
+low AS (
+  SELECT lang, 0 AS l, p AS i, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT lang, l + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY lang, l, i // 2),
+langs AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p, count(*) OVER () AS n, max(l) OVER () AS deepest, l AS depth FROM low WHERE n = 1),
+top AS (
+  SELECT 0 AS l, p AS i, n, h FROM langs
+  UNION ALL
+  SELECT l + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY l, i // 2),
+steps AS (
+  SELECT rid, low.l AS l, (p >> low.l) AS at, s.h AS h
+  FROM leaves JOIN low ON low.lang IS NOT DISTINCT FROM leaves.lang AND low.i = (p >> low.l) AND low.n > 1
+  LEFT JOIN low s ON s.lang IS NOT DISTINCT FROM leaves.lang AND s.l = low.l AND s.i = xor(p >> low.l, 1)
+  UNION ALL
+  SELECT rid, depth + top.l, (langs.p >> top.l), s.h
+  FROM leaves JOIN langs ON langs.lang IS NOT DISTINCT FROM leaves.lang JOIN top ON top.i = (langs.p >> top.l) AND top.n > 1
+  LEFT JOIN top s ON s.l = top.l AND s.i = xor(langs.p >> top.l, 1)),
+folds AS (
+  SELECT rid, 0 AS l, now AS h FROM leaves
+  UNION ALL
+  SELECT f.rid, f.l + 1, sha256(CASE WHEN s.at % 2 = 0 THEN f.h || coalesce(s.h, '') ELSE s.h || f.h END) FROM folds f JOIN steps s ON s.rid = f.rid AND s.l = f.l),
+folded AS (SELECT rid, arg_max(h, l) AS folded_root FROM folds GROUP BY rid),
+proofs AS (SELECT rid, sha256(coalesce(string_agg(h, '' ORDER BY l), '')) AS proof_sha256 FROM steps GROUP BY rid)
+SELECT doc_id, leaf, langs.h AS subroot, top.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = top.h AS verified
+FROM leaves JOIN langs ON langs.lang IS NOT DISTINCT FROM leaves.lang JOIN top ON top.n = 1 JOIN folded USING (rid) LEFT JOIN proofs USING (rid)
+"""
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_bpe": op2_bpe,
@@ -122,5 +193,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,
+    "op11_merkle": op11_merkle,
+    "op12_secrets": op12_secrets,
+    "op13_whitening": op13_whitening,
 }
-ORACLE_SQL: dict[str, str] = {"op8_warc": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_warc": OP8_SQL, "op11_merkle": OP11_SQL}
