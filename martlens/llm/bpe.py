@@ -16,6 +16,7 @@ columns other than those named are passed on or ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
@@ -184,34 +185,66 @@ def token_bytes(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in ranked(path)}
 
 
+class Encoder:
+    """Packed ids of whole texts, with the ids of pieces seen lately."""
+
+    def __init__(self, path: str, pattern: str):
+        import regex
+
+        self.vocabulary, self.split = vocabulary(path), regex.compile(pattern).findall
+        self.cache: dict[str, bytes] = {}
+
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        found = [self.split(t) if t else [] for t in texts]
+        if len(self.cache) > CACHE_PIECES:
+            self.cache.clear()
+        new = list({p for pieces in found for p in pieces}.difference(self.cache))
+        self.cache.update(zip(new, self.vocabulary.encode_pieces([p.encode() for p in new])))
+        return [b"".join(map(self.cache.__getitem__, pieces)) for pieces in found]
+
+
+def decoded(packed: bytes | None, token: dict[int, bytes]) -> bytes:
+    return b"".join(map(token.__getitem__, np.frombuffer(packed or b"", "<u4").tolist()))
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``ids``: the packed token ids (binary, little-endian uint32) of ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        vocab, split = vocabulary(path), regex.compile(pattern).findall
-        cache: dict[str, bytes] = {}
+        encoder = Encoder(path, pattern)
         for batch in text_slices(batches, "__text", SLICE_BYTES):
-            found = [split(t) if t else [] for t in batch.column(batch.num_columns - 1).to_pylist()]
-            if len(cache) > CACHE_PIECES:
-                cache.clear()
-            new = list({p for pieces in found for p in pieces}.difference(cache))
-            cache.update(zip(new, vocab.encode_pieces([p.encode() for p in new])))
-            ids = pa.array([b"".join(map(cache.__getitem__, pieces)) for pieces in found], pa.binary())
+            ids = pa.array(encoder.packed(batch.column(batch.num_columns - 1).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*batch.schema.names[:-1], "ids"])
 
     rows = df.select(*keep, F.col(text).cast("string").alias("__text"))
     return mapped(rows, run, T.StructType([*rows.schema.fields[:-1], T.StructField("ids", T.BinaryType())]))
 
 
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, the packed ``ids`` of ``text`` and ``decoded_sha256``, the digest of what those ids decode to.
+
+    One pass: ids are decoded where they were made, a slice at a time, so no task holds texts and
+    decoded bytes of a whole batch.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, token = Encoder(path, pattern), token_bytes(path)
+        for batch in text_slices(batches, "__text", SLICE_BYTES):
+            ids = encoder.packed(batch.column(batch.num_columns - 1).to_pylist())
+            digests = pa.array([hashlib.sha256(decoded(x, token)).hexdigest() for x in ids], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary()), digests], [*batch.schema.names[:-1], "ids", "decoded_sha256"])
+
+    rows = df.select(*keep, F.col(text).cast("string").alias("__text"))
+    return mapped(rows, run, T.StructType([*rows.schema.fields[:-1], T.StructField("ids", T.BinaryType()), T.StructField("decoded_sha256", T.StringType())]))
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``decoded``: the bytes that the packed ``ids`` stand for (null: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = token_bytes(path).__getitem__
+        token = token_bytes(path)
         for batch in text_slices(batches, "__ids", 4 * SLICE_BYTES):
-            out = [b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            out = [decoded(x, token) for x in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], [*batch.schema.names[:-1], "decoded"])
 
     rows = df.select(*keep, F.col(ids).alias("__ids"))

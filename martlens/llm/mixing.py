@@ -9,8 +9,10 @@ pass in a permutation of its own, and the last pass ends where the budget does.
 A permutation is the order of a digest of seed, pass and key; the first ``BLOCK_DIGITS`` hex
 digits are the block. The cut of the last pass is found from token sums per block (at most 4,096
 rows a source) and then inside the one block that holds it, so no task ever orders a source,
-however many rows it has. What reaches the rows is one line per source, joined without moving
-the texts.
+however many rows it has. What reaches the rows is one line per source. Those lines are written, their
+bytes are summed, and up to ``BROADCAST_BYTES`` they are broadcast, so rows stay where they were read;
+beyond that (very many sources) rows and lines meet by source and one of ``SALTS`` salts of the key, so no
+source is ever one task's.
 
 Tokens are whole numbers; by default a text counts a quarter of its bytes, rounded up, and 1 at
 least. Null sources form one source "". Rows with equal keys have equal places in a permutation and
@@ -19,14 +21,17 @@ are taken or left together. An empty table gives an empty mix.
 
 from __future__ import annotations
 
-
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlens.llm.common import written
+
 BLOCK_DIGITS = 3
 PLACE_DIGITS = 16
 STEPS = 60
+#: Bytes of the lines per source that a join may broadcast.
+BROADCAST_BYTES = 8 << 20
+SALTS = 32
 
 
 def default_tokens(text: str = "text") -> Column:
@@ -86,6 +91,15 @@ def source_weights(totals: DataFrame, max_repeats: float | None = None, target_e
     return rows.select("source", "tokens", "exponent", "weight", F.round(F.col("whole") * F.col("weight")).cast("long").alias("source_budget"))
 
 
+def _with_plan(rows: DataFrame, plan: DataFrame, source: str, key: str) -> DataFrame:
+    """``rows`` joined with ``plan`` (a written table, one line a source named like ``source``)."""
+    size = plan.agg(F.sum(F.octet_length(source) + 64 + 8 * len(plan.columns))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(plan), source)
+    salted = plan.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")).join(salted, [source, "__salt"]).drop("__salt")
+
+
 def mix(df: DataFrame, key: str, source: str = "source", tokens: Column | None = None, seed: int = 0, **targets) -> DataFrame:
     """The rows of ``df``, each once per pass it is part of, with weight, tokens, pass, block and place.
 
@@ -97,9 +111,9 @@ def mix(df: DataFrame, key: str, source: str = "source", tokens: Column | None =
     narrow = rows.select(F.col("__source").alias("source"), F.col("__tokens").alias("tokens"), F.col("__key").alias("key"))
     plan = source_weights(narrow.groupBy("source").agg(F.sum("tokens").alias("tokens")), **targets)
     plan = plan.withColumn("turns", F.floor(F.col("source_budget") / F.col("tokens")).cast("long"))
-    plan = plan.withColumn("rest", F.col("source_budget") - F.col("turns") * F.col("tokens"))
+    plan = written(plan.withColumn("rest", F.col("source_budget") - F.col("turns") * F.col("tokens")), "mix-sources")
 
-    last = narrow.join(plan.select("source", "turns", "rest"), "source").withColumn("place", place(seed, F.col("turns"), F.col("key")))
+    last = _with_plan(narrow, plan.select("source", "turns", "rest"), "source", "key").withColumn("place", place(seed, F.col("turns"), F.col("key")))
     last = last.withColumn("block", F.substring("place", 1, BLOCK_DIGITS))
     blocks = last.groupBy("source", "block").agg(F.sum("tokens").alias("tokens"), F.first("rest").alias("rest"))
     blocks = blocks.withColumn("upto", F.sum("tokens").over(Window.partitionBy("source").orderBy("block")))
@@ -111,7 +125,7 @@ def mix(df: DataFrame, key: str, source: str = "source", tokens: Column | None =
     # without a row inside the cut block that fits, the cut is where the block begins
     plan = plan.select(F.col("source").alias("__source"), "weight", "exponent", "turns", F.coalesce("cut_place", "cut_block").alias("__cut"))
 
-    out = rows.join(plan, "__source")
+    out = _with_plan(rows, written(plan, "mix-plan"), "__source", "__key")
     taken = F.when(place(seed, F.col("turns"), F.col("__key")) <= F.col("__cut"), F.col("turns")).otherwise(F.col("turns") - 1)
     out = out.withColumn("turn", F.explode(F.when(taken >= 0, F.sequence(F.lit(0).cast("long"), taken)).otherwise(F.array().cast("array<bigint>"))))
     out = out.withColumn("place", place(seed, F.col("turn"), F.col("__key"))).withColumn("block", F.substring("place", 1, BLOCK_DIGITS))
