@@ -33,4 +33,6 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.columns == ["area", "product_id", "product_name", "click_count", "city_remark", "rk"]
     assert df.count() >= 0
-    assert set(e.queries()) == set(e.oracle_sql())
+    # only training-data queries may lack SQL; tests/llm names a brute-force test for each of those
+    assert set(e.oracle_sql()) <= set(e.queries())
+    assert set(e.queries()) - set(e.oracle_sql()) <= set(e.LLM_QUERIES)
