@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from martlens.llm.common import U64, mapped, text_slices
 
 MATRIX_BYTES = 256
-MATRIX_CELLS = 1 << 18
-CACHE_PIECES = 100_000
+MATRIX_CELLS = 1 << 16
+CACHE_PIECES = 50_000
 SLICE_BYTES = 1 << 20
 NONE = np.int32(2**31 - 1)
 
