@@ -15,6 +15,8 @@ most threshold+1 rows per map task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,30 +140,65 @@ def _seconds(interval: str) -> int | None:
     return int(parts[0]) * mult[parts[1].rstrip("s")]
 
 
+#: Seconds of a segment of an ad's timeline; no window group is longer.
+SEGMENT_SECONDS = 6 * 3600
+
+
+def bucket_seconds(params: AdParams) -> int | None:
+    """Width of the buckets that every window is made of whole, or None if the intervals aren't plain."""
+    win, slide = _seconds(params.sliding_window), _seconds(params.sliding_slide)
+    return math.gcd(win, slide) if win and slide else None
+
+
+def bucket_start(seconds: int) -> Column:
+    """Epoch second at which the bucket of ``ts`` starts (BIGINT, so it is counted by a hash aggregate)."""
+    return (F.floor(F.unix_seconds("ts") / seconds) * seconds).cast("bigint")
+
+
+def windows_of_buckets(buckets: DataFrame, params: AdParams = AdParams()) -> DataFrame:
+    """ad_id, window_start, window_end, clicks from counts per bucket (ad_id, bucket, clicks).
+
+    By differences: a bucket adds its clicks at its first window and takes them away after its
+    last one, and a running sum over an ad's changes gives the count between two changes. So a
+    bucket costs two rows however many windows it is part of, and windows are only unfolded where
+    the result has them. Changes are cut at the ends of ``SEGMENT_SECONDS``: a segment's running
+    sum starts from nothing, so no task holds an ad's whole timeline.
+    """
+    win, slide = _seconds(params.sliding_window), _seconds(params.sliding_slide)
+    size = -(-max(SEGMENT_SECONDS, win) // slide) * slide  # a segment holds whole slides and reaches over one window
+    start = lambda x: F.floor(x / slide) * slide
+    # the windows of a bucket: multiples of the slide in (bucket - win, bucket]
+    rows = buckets.select("ad_id", "clicks", (start(F.col("bucket") - win) + slide).alias("first"), (start(F.col("bucket")) + slide).alias("after"))
+    rows = rows.filter("first < after").withColumn("s0", F.floor(F.col("first") / size)).withColumn("s1", F.floor((F.col("after") - slide) / size))
+
+    def change(segment: str, at: Column, by: Column) -> Column:
+        return F.struct(F.col(segment).alias("segment"), at.cast("bigint").alias("at"), by.alias("by"))
+
+    n, crosses = F.col("clicks"), F.col("s1") > F.col("s0")
+    inside = F.array(change("s0", F.col("first"), n), change("s0", F.col("after"), -n))
+    split = F.array(change("s0", F.col("first"), n), change("s1", F.col("s1") * size, n), change("s1", F.col("after"), -n))
+    changes = rows.select("ad_id", F.inline(F.when(crosses, split).otherwise(inside)))
+    w = Window.partitionBy("ad_id", "segment").orderBy("at")
+    # rows of one moment share the running sum (a range frame); only the last of them reaches on
+    steps = changes.select(
+        "ad_id", "at", F.sum("by").over(w).alias("clicks"),
+        F.least(F.lead("at").over(w), (F.col("segment") + 1) * size).alias("until"),
+    ).filter("clicks > 0 AND until > at")
+    out = steps.select("ad_id", "clicks", F.explode(F.sequence("at", F.col("until") - slide, F.lit(slide).cast("bigint"))).alias("s"))
+    return out.select("ad_id", F.timestamp_seconds("s").alias("window_start"), F.timestamp_seconds(F.col("s") + win).alias("window_end"), "clicks")
+
+
 def ad_sliding_counts(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
     """ad_id, window_start, window_end, clicks over sliding event-time windows (T5).
 
-    Every click of one slide-aligned bucket belongs to the same windows, so clicks are first
-    counted per (ad, bucket) (partial aggregation before any shuffle) and only the bucket
-    counts are expanded into their ``window / slide`` windows and summed. The result equals
-    ``groupBy(window(ts, window, slide))`` exactly; the expansion shrinks from one per click to
-    one per busy bucket.
+    Clicks are counted per bucket (partial aggregation before the shuffle), then
+    :func:`windows_of_buckets` unfolds the counts. Equals ``groupBy(window(ts, window, slide))``.
     """
-    win, slide = _seconds(params.sliding_window), _seconds(params.sliding_slide)
-    if not win or not slide or win % slide:
+    width = bucket_seconds(params)
+    if width is None:
         w = F.window("ts", params.sliding_window, params.sliding_slide)
         return clicks.groupBy("ad_id", w.alias("w")).agg(F.count(F.lit(1)).alias("clicks")).select(
             "ad_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks"
         )
-    per_bucket = clicks.groupBy("ad_id", F.window("ts", params.sliding_slide).start.alias("b")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    step = F.expr(f"INTERVAL {slide} SECONDS")
-    first = F.col("b") - F.expr(f"INTERVAL {win - slide} SECONDS")
-    starts = per_bucket.select("ad_id", "n", F.explode(F.sequence(first, F.col("b"), step)).alias("window_start"))
-    return starts.groupBy("ad_id", "window_start").agg(F.sum("n").alias("clicks")).select(
-        "ad_id",
-        "window_start",
-        (F.col("window_start") + F.expr(f"INTERVAL {win} SECONDS")).alias("window_end"),
-        "clicks",
-    )
+    buckets = clicks.groupBy("ad_id", bucket_start(width).alias("bucket")).agg(F.count(F.lit(1)).alias("clicks"))
+    return windows_of_buckets(buckets, params)

@@ -4,22 +4,20 @@ IDs: F4 (visits of flow pages), A10 (denominator per page), W5 (next page within
 W6 (flow pairs), F5 (keep flow pairs), A11 (numerator per pair), J6 (pair -> denominator, default
 0), A12/G1 (one-decimal percentage).
 
-Next-page computation (W5), split so that a big session never lands in one task whole:
-1. ``lead`` within (session, minute) gives every transition inside a minute;
-2. the first and last action of each minute are kept (at most two rows per active minute), and
-   a ``lead`` over those per session links each minute's last action to the next minute's first.
-Together these are exactly the consecutive pairs in (action_time, action_id) order. Step 2 holds
-at most two rows per active minute of a session: bounded by the session's time span, not by its
-number of actions - and a session can only hold a large share of the data by being dense in
-time. The flow filter is a semi-join with the flow's own pairs, applied before the pair count's shuffle.
+The next page (W5) is found without ever putting a big session in one task: the rows of a (session,
+minute) are one group, a hot minute is cut into ordered segments (``operators.segments``), ``lead``
+runs inside each piece, and the first and last row of every piece link neighbouring pieces. The
+second step holds two rows per piece: bounded by a session's time span, not by its number of
+actions. The flow filter is a semi-join with the flow's own pairs, applied before the pair count's shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlens.functions.scalars import pct_ratio_first
+from martlens.functions.scalars import parse_second, pct_ratio_first
+from martlens.operators.segments import next_in_order, with_segments
 from martlens.params import PageFlow
 
 MINUTE_PREFIX = 16  # bucket = 'yyyy-MM-dd HH:mm' prefix of action_time
@@ -34,7 +32,7 @@ def page_visits(visits: DataFrame, flow: PageFlow) -> DataFrame:
     )
 
 
-def page_steps(visits: DataFrame, bucket_prefix: int = MINUTE_PREFIX) -> DataFrame:
+def page_steps(visits: DataFrame, bucket_prefix: int = MINUTE_PREFIX, **segments) -> DataFrame:
     """All consecutive (from_page, to_page) steps of every session, in action order."""
     acts = visits.select(
         "session_id",
@@ -43,31 +41,9 @@ def page_steps(visits: DataFrame, bucket_prefix: int = MINUTE_PREFIX) -> DataFra
         "action_id",
         F.substring("action_time", 1, bucket_prefix).alias("bucket"),
     )
-    order = (F.col("action_time"), F.col("action_id"))
-    w_bucket = Window.partitionBy("session_id", "bucket").orderBy(*order)
-    marked = acts.select(
-        "session_id",
-        "page_id",
-        "action_time",
-        "action_id",
-        F.lead("page_id").over(w_bucket).alias("next_page"),
-        F.lead(F.lit(1)).over(w_bucket).isNull().alias("is_last"),
-        F.lag(F.lit(1)).over(w_bucket).isNull().alias("is_first"),
-    )
-    inside = marked.filter(~F.col("is_last")).select(
-        F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page")
-    )
-    w_session = Window.partitionBy("session_id").orderBy(*order)
-    edges = marked.filter(F.col("is_first") | F.col("is_last")).select(
-        "page_id",
-        "is_last",
-        F.lead("page_id").over(w_session).alias("next_page"),
-        F.lead(F.lit(1)).over(w_session).isNotNull().alias("has_next"),
-    )
-    across = edges.filter(F.col("is_last") & F.col("has_next")).select(
-        F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page")
-    )
-    return inside.unionByName(across)
+    acts = with_segments(acts, ["session_id", "bucket"], F.unix_seconds(parse_second("action_time")), F.col("action_id"), **segments)
+    steps = next_in_order(acts, ["session_id"], ["bucket", "segment"], ["action_time", "action_id"], "page_id")
+    return steps.select(F.col("page_id").alias("from_page"), F.col("next").alias("to_page"))
 
 
 def page_transitions(visits: DataFrame, flow: PageFlow) -> DataFrame:

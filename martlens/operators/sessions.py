@@ -8,10 +8,10 @@ Scale notes
 * Session stats are ``min/max/count`` aggregates over epoch seconds (BIGINT, so hash-based):
   partial aggregation before the shuffle collapses a hot session to one row per map task, so
   no task ever holds a whole session.
-* The ordered lists are built in two levels: per (session, minute) the actions are collected
-  and sorted, then per session only the per-minute pieces (at most one per active minute:
-  bounded by the session's time span) are concatenated in minute order. Sorting work spreads
-  over (session, minute) keys.
+* The ordered lists are built in two levels: per (session, minute, segment) the actions are
+  collected and sorted, then per session only the pieces (one per active minute, more for a hot
+  minute, which ``operators.segments`` cuts into ordered ranges) are concatenated in order.
+  Sorting work spreads over the pieces, whatever share of all actions one minute holds.
 * The sample keeps at most ``size`` sessions in total; ``row_number() <= size`` is a literal
   bound, so Catalyst inserts a partial ``WindowGroupLimit`` before the day-hour shuffle and a
   hot hour ships at most ``size`` rows per map task. The exact per-hour quota is applied after;
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from martlens.functions.scalars import (
     SECOND_FMT, day_hour_of_text, millis_between, nonempty_join, parse_second, pct_scaled_first,
 )
+from martlens.operators.segments import with_segments
 from martlens.params import SampleParams, SessionEdges
 
 KINDS = ("search", "click", "order", "pay")
@@ -114,13 +115,8 @@ def _joined_pieces(kind: str) -> Column:
     return F.coalesce(F.array_join(F.transform("pieces", lambda p: p[kind]), ","), F.lit(""))
 
 
-def session_summary(visits: DataFrame) -> DataFrame:
-    """Per session: start/end text, steps, duration in ms and four comma lists in action order.
-
-    Actions are ordered by (action_time, action_id); an absent item (a pay action without ids)
-    is skipped rather than rendered as text.
-    """
-    acts = visits.select(
+def _actions(visits: DataFrame) -> DataFrame:
+    return visits.select(
         "session_id",
         "action_time",
         "action_id",
@@ -128,7 +124,17 @@ def session_summary(visits: DataFrame) -> DataFrame:
         _action_kind().alias("kind"),
         _action_item().alias("item"),
     )
-    per_minute = acts.groupBy("session_id", "minute").agg(
+
+
+def session_summary(visits: DataFrame, counted: DataFrame | None = None, **segments) -> DataFrame:
+    """Per session: start/end text, steps, duration in ms and four comma lists in action order.
+
+    Actions are ordered by (action_time, action_id); an absent item (a pay action without ids)
+    is skipped rather than rendered as text. ``counted``: see :func:`with_segments`.
+    """
+    acts = with_segments(_actions(visits), ["session_id", "minute"], F.unix_seconds(parse_second("action_time")), F.col("action_id"),
+                         counted=None if counted is None else _actions(counted), **segments)
+    per_minute = acts.groupBy("session_id", "minute", "segment").agg(
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("steps"),
@@ -139,7 +145,7 @@ def session_summary(visits: DataFrame) -> DataFrame:
         "start_time",
         "end_time",
         "steps",
-        F.struct(F.col("minute"), *[_items_of(k).alias(k) for k in KINDS]).alias("piece"),
+        F.struct(F.col("minute"), F.col("segment"), *[_items_of(k).alias(k) for k in KINDS]).alias("piece"),
     )
     per_session = pieces.groupBy("session_id").agg(
         F.min("start_time").alias("start_time"),
@@ -197,5 +203,5 @@ def session_sample(visits: DataFrame, sample: SampleParams = SampleParams()) ->
     picked = ranked.join(quota, "day_hour").filter(F.col("sample_rank") <= F.col("quota"))
     # At most ``sample.size`` rows by construction: a bounded broadcast.
     chosen = visits.join(F.broadcast(picked.select("session_id")), "session_id", "left_semi")
-    summary = session_summary(chosen)
+    summary = session_summary(chosen, counted=visits)  # hot minutes are looked for without drawing the sample twice
     return summary.select(day_hour_of_text("start_time").alias("day_hour"), *summary.columns)

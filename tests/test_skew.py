@@ -199,3 +199,69 @@ def test_hot_dense_session_is_spread_over_minutes(spark):
     linking = [b for head, b in shuffles if "hashpartitioning(session_id" in head and "bucket" not in head]
     assert by_minute and max(by_minute[0]) < 0.25 * sum(by_minute[0])  # the hot third is spread
     assert linking and sum(linking[0]) < 0.8 * sum(by_minute[0])  # boundary rows only
+
+
+def _hot_minute(spark):
+    """Visits of which a third stand in one minute of one session, many of them in one second."""
+    visits = fixtures.load(spark, SF_MID).visits
+    hot_row = F.col("action_id") % 3 == 0
+    second = F.when(F.col("action_id") % 2 == 0, F.lit("07")).otherwise(F.lpad((F.col("action_id") % 60).cast("string"), 2, "0"))
+    return visits.withColumn("session_id", F.when(hot_row, F.lit("hot")).otherwise(F.col("session_id"))).withColumn(
+        "action_time", F.when(hot_row, F.concat(F.lit("2024-01-15 10:30:"), second)).otherwise(F.col("action_time"))).persist()
+
+
+def _largest_share(df, keys):
+    """Largest group of the pieces as a share of all rows."""
+    n = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return n[0] / n[1]
+
+
+def test_hot_session_minute_is_cut_into_ordered_segments(spark):
+    from martlens.operators import pages, segments
+
+    visits = _hot_minute(spark)
+    total = visits.count()
+    minute = visits.withColumn("bucket", F.substring("action_time", 1, 16))
+    args = ["session_id", "bucket"], F.unix_seconds(F.to_timestamp("action_time")), F.col("action_id")
+    cut = segments.with_segments(minute, *args, hot_rows=total // 10)
+    assert _largest_share(minute, ["session_id", "bucket"]) > 0.3
+    assert _largest_share(cut, ["session_id", "bucket", "segment"]) < 0.02
+    # segments ascend along the order
+    w = Window.partitionBy("session_id", "bucket").orderBy("action_time", "action_id")
+    assert cut.withColumn("before", F.lag("segment").over(w)).filter("before > segment").count() == 0
+    # the results are those of one plain window over whole sessions
+    plain = visits.select(F.col("page_id").alias("from_page"), F.lead("page_id").over(Window.partitionBy("session_id").orderBy("action_time", "action_id")).alias("to_page"))
+    counted = lambda df: sorted(map(tuple, df.filter("to_page IS NOT NULL").groupBy("from_page", "to_page").count().collect()))
+    assert counted(pages.page_steps(visits, hot_rows=total // 10)) == counted(plain)
+    assert counted(pages.page_steps(visits)) == counted(plain)
+    # the lists of a session are the same, cut or not
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(sessions.session_summary(visits, hot_rows=total // 10)) == rows(sessions.session_summary(visits))
+
+
+def test_no_task_gets_a_hot_session_minute(spark):
+    from martlens.operators import pages
+
+    visits = _hot_minute(spark)
+    total = visits.count()
+    with conf(spark, **{"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        from martlens.operators.segments import with_segments
+
+        acts = with_segments(visits.withColumn("bucket", F.substring("action_time", 1, 16)), ["session_id", "bucket"],
+                             F.unix_seconds(F.to_timestamp("action_time")), F.col("action_id"), hot_rows=total // 10)
+        per_task = acts.repartition("session_id", "bucket", "segment").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert per_task < 0.16 * total
+        assert pages.page_steps(visits, hot_rows=total // 10).count() > 0
+
+
+def test_segments_of_empty_and_null_rows(spark):
+    from martlens.operators import segments
+
+    schema = "session_id string, bucket string, s long, t long"
+    cut = lambda rows: segments.with_segments(spark.createDataFrame(rows, schema), ["session_id", "bucket"], F.col("s"), F.col("t"), hot_rows=2, pieces=4)
+    assert cut([]).count() == 0
+    rows = [("a", "m", 5, i) for i in range(9)] + [("a", "m", None, None), (None, None, 1, 1), (None, None, 1, 1), ("b", "m", 1, None)]
+    got = cut(rows).collect()
+    assert len(got) == len(rows) and len({r["segment"] for r in got if r["session_id"] == "a"}) > 1
+    order = sorted((r["t"], r["segment"]) for r in got if r["session_id"] == "a" and r["t"] is not None)
+    assert [s for _, s in order] == sorted(s for _, s in order)
