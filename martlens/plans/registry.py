@@ -181,8 +181,8 @@ def _ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_DROPS = 3
 
 
-def _stream_run(spark: SparkSession, sf_dir: str, name: str, start, keep_line: bool = False) -> str:
-    """Replays the ad lines of ``sf_dir`` into a fresh folder in time-ordered drops."""
+def _stream_run(spark: SparkSession, sf_dir: str, name: str, start, keep_line: bool = False, newest_first: bool = False) -> str:
+    """Replays the ad lines of ``sf_dir`` into a fresh folder in time-ordered drops, or in the opposite order."""
     base = scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
     lines = fixtures.load(spark, sf_dir).ad_lines(keep_event_id=False)
     ckpt = f"{base}/checkpoint"
@@ -194,7 +194,7 @@ def _stream_run(spark: SparkSession, sf_dir: str, name: str, start, keep_line: b
         )
         return start(clicks, base, opts)
 
-    replay.run_in_drops(spark, lines, base, STREAM_DROPS, run)
+    replay.run_in_drops(spark, lines, base, STREAM_DROPS, run, newest_first)
     return base
 
 
@@ -203,7 +203,22 @@ def _stream_ad_daily_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "city_counts",
         lambda c, b, o: st.start_daily_city_counts(c, st.city_counts_table(f"{b}/city_counts"), o, AD),
     )
-    return st.city_counts_table(f"{base}/city_counts").latest(spark)
+    return st.read_counts(spark, st.city_counts_table(f"{base}/city_counts"))
+
+
+def _stream_ad_daily_city_counts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest drop comes first, so whole days arrive after they were closed."""
+    base = _stream_run(
+        spark, sf_dir, "city_counts_late",
+        lambda c, b, o: st.start_daily_city_counts(c, st.city_counts_table(f"{b}/city_counts"), o, AD), newest_first=True,
+    )
+    return st.read_counts(spark, st.city_counts_table(f"{base}/city_counts"))
+
+
+def _stream_ad_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = lambda b: st.SnapshotTable(f"{b}/user_counts", ["user_id", "ad_id", "day"], partition_by=["day"])
+    base = _stream_run(spark, sf_dir, "user_counts", lambda c, b, o: st.start_blacklist(c, sink(b), st.blacklist_table(f"{b}/blacklist"), o, AD))
+    return st.read_counts(spark, sink(base)).select("day", "user_id", "ad_id", "clicks")
 
 
 def _stream_ad_daily_area_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,24 +246,39 @@ def _stream_ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.read_blacklist(spark, st.blacklist_table(f"{base}/blacklist")).select("user_id")
 
 
-def _exact_blacklist_run(spark: SparkSession, sf_dir: str) -> str:
+def _exact_blacklist_run(spark: SparkSession, sf_dir: str, newest_first: bool = False) -> str:
     return _stream_run(
         spark, sf_dir, "exact_blacklist",
         lambda c, b, o: st.start_exact_blacklist(
             c, st.user_counts_table(f"{b}/user_counts"), st.blacklist_table(f"{b}/blacklist"), f"{b}/clean", o, AD
         ),
-        keep_line=True,
+        keep_line=True, newest_first=newest_first,
     )
 
 
+def _exact_blacklist(spark: SparkSession, base: str) -> DataFrame:
+    return st.read_exact_blacklist(spark, st.blacklist_table(f"{base}/blacklist")).drop("at_line")
+
+
+def _exact_clean(spark: SparkSession, base: str) -> DataFrame:
+    return st.read_clean_clicks(spark, f"{base}/clean").select("ts", "area", "city", "user_id", "ad_id")
+
+
 def _stream_ad_blacklist_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _exact_blacklist_run(spark, sf_dir)
-    return st.read_exact_blacklist(spark, st.blacklist_table(f"{base}/blacklist"))
+    return _exact_blacklist(spark, _exact_blacklist_run(spark, sf_dir))
 
 
 def _stream_ad_clicks_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _exact_blacklist_run(spark, sf_dir)
-    return spark.read.parquet(f"{base}/clean").select("ts", "area", "city", "user_id", "ad_id")
+    return _exact_clean(spark, _exact_blacklist_run(spark, sf_dir))
+
+
+def _stream_ad_blacklist_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest drop comes first: every listing moment has to move back."""
+    return _exact_blacklist(spark, _exact_blacklist_run(spark, sf_dir, newest_first=True))
+
+
+def _stream_ad_clicks_clean_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exact_clean(spark, _exact_blacklist_run(spark, sf_dir, newest_first=True))
 
 
 def _stream_ad_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +286,7 @@ def _stream_ad_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "minutes",
         lambda c, b, o: st.start_minute_counts(c, st.minute_counts_table(f"{b}/minutes"), o, AD),
     )
-    return st.minute_counts_table(f"{base}/minutes").latest(spark)
+    return st.read_counts(spark, st.minute_counts_table(f"{base}/minutes")).select("ad_id", "minute", "clicks")
 
 
 def _stream_ad_minute_trend_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,9 +301,9 @@ def _stream_ad_minute_trend_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _stream_run(
         spark, sf_dir, "sliding",
-        lambda c, b, o: st.start_sliding_counts(c, st.sliding_counts_table(f"{b}/sliding"), o, AD),
+        lambda c, b, o: st.start_sliding_counts(c, st.bucket_counts_table(f"{b}/sliding"), o, AD),
     )
-    return st.sliding_counts_table(f"{base}/sliding").latest(spark)
+    return st.read_sliding_counts(spark, st.bucket_counts_table(f"{base}/sliding"), AD)
 
 
 _QUERIES: dict[str, QueryFn] = {
@@ -313,6 +343,10 @@ _QUERIES: dict[str, QueryFn] = {
     "stream_ad_minute_counts": _stream_ad_minute_counts,
     "stream_ad_minute_trend_json": _stream_ad_minute_trend_json,
     "stream_ad_sliding_counts": _stream_ad_sliding_counts,
+    "stream_ad_user_counts": _stream_ad_user_counts,
+    "stream_ad_daily_city_counts_late": _stream_ad_daily_city_counts_late,
+    "stream_ad_blacklist_any_order": _stream_ad_blacklist_any_order,
+    "stream_ad_clicks_clean_any_order": _stream_ad_clicks_clean_any_order,
 }
 
 
@@ -369,4 +403,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_ad_minute_counts": o.ad_minute_counts(),
         "stream_ad_minute_trend_json": o.ad_minute_trend_by_minutes_json(AD.trend_window),
         "stream_ad_sliding_counts": o.ad_sliding_counts(),
+        "stream_ad_user_counts": o.ad_user_counts(),
+        # Nor does the order of arrival change a result.
+        "stream_ad_daily_city_counts_late": o.ad_daily_city_counts(),
+        "stream_ad_blacklist_any_order": o.ad_blacklist_moments(AD.blacklist_threshold),
+        "stream_ad_clicks_clean_any_order": o.ad_clicks_clean_fields(AD.blacklist_threshold),
     }

@@ -1,26 +1,31 @@
 """Structured Streaming versions of R7-R10 (T1-T9), drained into ``SnapshotTable`` sinks.
 
-One decode + quarantine step (F12/T2) feeds every stream. Aggregations group by an event-time
-``window`` under a watermark, so their state is evicted once a window can no longer change
-(grouping by a derived day column would keep state for ever). Update mode emits only the
-changed keys each batch; ``foreachBatch`` writes them with the snapshot protocol, so a replayed
-batch overwrites itself. Per-batch second levels (the top ads of the days a batch touched, the
-blacklist) run inside ``foreachBatch`` as DataFrame jobs over the batch's rows and the snapshot;
-only the handful of days a batch touched (bounded by the watermark plus the batch span) come to
-the driver, as a literal filter on the snapshot's ``day`` partitions so that the read is pruned.
-
-Two blacklist streams: ``start_blacklist`` keeps running (user, ad, day) counts in streaming
-state and lists a user at the end of the batch whose count passes the threshold (the final list
-equals the batch query; which clicks are dropped depends on batching, as in the original), and
-``start_exact_blacklist`` applies the batch query's closed form per micro-batch, so the listing
-moments and the accepted clicks equal the batch answers when clicks arrive in time order.
+One decode + quarantine step (F12/T2) feeds every stream. Running counts (R7-R10) share one form,
+``start_counts``: each micro-batch is counted by key (partial aggregation before the shuffle) and
+added to the totals that *committed* batches left for the days it touches; the new totals are
+written to the batch's own partition, so a replayed batch rewrites itself and nothing is added
+twice. What a batch reads is bounded by its days (``day`` partitions), not by the history.
+
+Nothing vanishes behind a watermark. Every query keeps an event-time frontier (the newest event of
+its committed batches); a row whose day ended longer than the watermark before it is late: it is
+written to the query's late table instead of reopening a closed day's totals, and ``read_counts``
+adds late rows to the totals. ``close_days`` merges both into a table of whole days, an ordinary job.
+
+The forms ending in ``_stream`` give the same counts as state-store aggregates over event-time
+windows, which evict closed days and drop late rows; they are for callers that want that.
+
+The blacklist does not depend on the order in which clicks arrive. Per (user, ad, day) the state
+is the threshold + 1 smallest (time, line) pairs, which merge whatever the order; a user's moment is
+the least of the last of full lists, so it can only move back. When it does, clicks that were accepted
+too early are retracted: accepted rows less retracted rows are the batch query's clean clicks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,6 +83,103 @@ def _start(df: DataFrame, fn, opts: StreamOptions, mode: str = "update") -> Stre
         spark.conf.set(key, before)
 
 
+# ---------------------------------------------------------------- running counts, late rows kept
+def late_path(sink: SnapshotTable) -> str:
+    return f"{sink.path}_late"
+
+
+def _frontier_path(sink: SnapshotTable) -> str:
+    return f"{sink.path}_frontier"
+
+
+def _frontier(spark: SparkSession, sink: SnapshotTable, batch_id: int) -> int | None:
+    """Newest event (epoch microseconds) of the batches before ``batch_id``: one number."""
+    path = _frontier_path(sink)
+    if not path_exists(spark, path):
+        return None
+    rows = spark.read.schema("newest BIGINT, batch_id BIGINT").option("basePath", path).parquet(path)
+    return rows.filter(F.col("batch_id") < F.lit(int(batch_id))).agg(F.max("newest")).first()[0]
+
+
+def _move_frontier(spark: SparkSession, sink: SnapshotTable, batch_id: int, newest: int | None) -> None:
+    one = spark.range(1).select(F.lit(newest).cast("bigint").alias("newest"))
+    one.write.mode("overwrite").parquet(f"{_frontier_path(sink)}/batch_id={int(batch_id)}")
+
+
+def _closed(frontier: int | None, delay: str) -> Column:
+    """Whether a row's ``day`` ended before the frontier less the delay."""
+    if frontier is None:
+        return F.lit(False)
+    return F.to_timestamp("day", DAY_FMT) + F.expr("INTERVAL 1 DAY") <= F.timestamp_micros(F.lit(frontier)) - F.expr(f"INTERVAL {delay}")
+
+
+def start_counts(
+    clicks: DataFrame,
+    sink: SnapshotTable,
+    opts: StreamOptions,
+    params: AdParams = AdParams(),
+    derived: dict[str, Column] | None = None,
+    then: Callable[[SparkSession, int, list[str]], None] | None = None,
+) -> StreamingQuery:
+    """Running totals ``clicks`` per ``sink.keys`` (T4, T7, T9); late rows go to ``late_path(sink)``.
+
+    ``derived``: keys that are not columns of ``clicks`` (``day`` is always there). ``then`` runs after
+    a batch's rows are written, with the days that it touched.
+    """
+    keys = sink.keys
+    columns = {"day": F.date_format("ts", DAY_FMT), **(derived or {})}
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.withColumns(columns).persist()
+        try:
+            frontier = _frontier(spark, sink, batch_id)
+            closed = _closed(frontier, params.watermark)
+            # one row: the newest event, whether rows are late, and the batch's days (bounded by the calendar)
+            seen = batch.agg(F.max(F.unix_micros("ts")).alias("newest"), F.count_if(closed).alias("late"),
+                             F.collect_set(F.when(~closed, F.col("day"))).alias("open"), F.collect_set("day").alias("days")).first()
+            if seen["late"]:
+                batch.filter(closed).write.mode("overwrite").parquet(f"{late_path(sink)}/batch_id={int(batch_id)}")
+            counts = batch.filter(~closed).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            if sink.exists(spark):
+                prior = sink.latest(spark, where=(F.col("batch_id") < F.lit(int(batch_id))) & F.col("day").isin(seen["open"]))
+                counts = counts.join(prior, keys, "left").withColumn("n", F.col("n") + F.coalesce("clicks", F.lit(0)))
+            sink.write_batch(counts.select(*keys, F.col("n").alias("clicks")), batch_id)
+            newest = max((x for x in (frontier, seen["newest"]) if x is not None), default=None)
+            _move_frontier(spark, sink, batch_id, newest)
+            if then is not None and seen["days"]:
+                then(spark, batch_id, seen["days"])
+        finally:
+            batch.unpersist()
+
+    return _start(clicks, on_batch, opts, mode="append")
+
+
+def read_late(spark: SparkSession, sink: SnapshotTable) -> DataFrame | None:
+    """Rows that came after their day was closed, whole, with the batch that brought them."""
+    path = late_path(sink)
+    return spark.read.option("basePath", path).parquet(path) if path_exists(spark, path) else None
+
+
+def read_counts(spark: SparkSession, sink: SnapshotTable, where: Column | None = None) -> DataFrame:
+    """Totals per ``sink.keys``, late rows included."""
+    totals = sink.latest(spark, where=where).select(*sink.keys, "clicks")
+    late = read_late(spark, sink)
+    if late is None:
+        return totals
+    late = late if where is None else late.filter(where)
+    more = late.groupBy(*sink.keys).agg(F.count(F.lit(1)).alias("clicks"))
+    return totals.unionByName(more).groupBy(*sink.keys).agg(F.sum("clicks").alias("clicks"))
+
+
+def close_days(spark: SparkSession, sink: SnapshotTable, out_path: str, before: str) -> DataFrame:
+    """Writes the whole totals of the days before ``before`` (``yyyy-MM-dd``), late rows merged, to a
+    new table ``out_path`` partitioned by day: an ordinary batch job that changes nothing it reads."""
+    closed = read_counts(spark, sink, where=F.col("day") < F.lit(before))
+    closed.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(out_path)
+    return spark.read.schema(closed.schema).parquet(out_path)
+
+
 # ---------------------------------------------------------------- R8: running day x area x city x ad
 def daily_city_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
     """Update rows (day, area, city, ad_id, clicks) of a per-day running count."""
@@ -96,7 +198,7 @@ def city_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
 def start_daily_city_counts(
     clicks: DataFrame, sink: SnapshotTable, opts: StreamOptions, params: AdParams = AdParams()
 ) -> StreamingQuery:
-    return _start(daily_city_counts_stream(clicks, params), sink.write_batch, opts)
+    return start_counts(clicks, sink, opts, params)
 
 
 # ---------------------------------------------------------------- R9: top ads per day x area
@@ -113,25 +215,13 @@ def start_daily_area_top(
     opts: StreamOptions,
     params: AdParams = AdParams(),
 ) -> StreamingQuery:
-    """Keeps the city snapshot and, per batch, re-ranks the days that batch touched (T6, IO9)."""
+    """Keeps the city totals and, per batch, re-ranks the days that it touched, late ones too (T6, IO9)."""
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()  # T8: the batch feeds two writes
-        try:
-            city_sink.write_batch(batch, batch_id)
-            # The days this batch touched: rows behind the watermark are dropped, so a batch
-            # spans at most the watermark delay plus its own span (one to three days).
-            days = [r.day for r in batch.select("day").distinct().collect()]
-            if not days:
-                return
-            current = city_sink.latest(spark, where=F.col("day").isin(days))
-            top = ads.ad_daily_area_top(current, params.top_ads)
-            top_sink.write_batch(top, batch_id)
-        finally:
-            batch.unpersist()
+    def rank(spark: SparkSession, batch_id: int, days: list[str]) -> None:
+        current = read_counts(spark, city_sink, where=F.col("day").isin(days))
+        top_sink.write_batch(ads.ad_daily_area_top(current, params.top_ads), batch_id)
 
-    return _start(daily_city_counts_stream(clicks, params), on_batch, opts)
+    return start_counts(clicks, city_sink, opts, params, then=rank)
 
 
 def read_daily_area_top(spark: SparkSession, top_sink: SnapshotTable) -> DataFrame:
@@ -162,21 +252,16 @@ def start_blacklist(
 ) -> StreamingQuery:
     """Running (user, ad, day) counts; users whose count passes the threshold join the list (A15, F8, IO10)."""
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            counts_sink.write_batch(batch, batch_id)
-            listed = batch.filter(F.col("clicks") > F.lit(int(params.blacklist_threshold)))
-            blacklist_sink.write_batch(
-                listed.groupBy("user_id").agg(F.min(F.struct("day", "ad_id")).alias("first")).select(
-                    "user_id", F.col("first.day").alias("day"), F.col("first.ad_id").alias("ad_id")
-                ),
-                batch_id,
-            )
-        finally:
-            batch.unpersist()
+    def list_users(spark: SparkSession, batch_id: int, days: list[str]) -> None:
+        listed = read_counts(spark, counts_sink, where=F.col("day").isin(days)).filter(F.col("clicks") > F.lit(int(params.blacklist_threshold)))
+        blacklist_sink.write_batch(
+            listed.groupBy("user_id").agg(F.min(F.struct("day", "ad_id")).alias("first")).select(
+                "user_id", F.col("first.day").alias("day"), F.col("first.ad_id").alias("ad_id")
+            ),
+            batch_id,
+        )
 
-    return _start(user_ad_counts_stream(clicks, params), on_batch, opts)
+    return start_counts(clicks, counts_sink, opts, params, then=list_users)
 
 
 def read_blacklist(spark: SparkSession, blacklist_sink: SnapshotTable) -> DataFrame:
@@ -212,86 +297,113 @@ def start_exact_blacklist(
     opts: StreamOptions,
     params: AdParams = AdParams(),
 ) -> StreamingQuery:
-    """R7 with the batch query's exact semantics, one micro-batch at a time (F6, F8, W9, IO8-IO11).
-
-    ``clicks`` must carry ``line`` (``click_stream(..., keep_line=True)``). Per batch: clicks of
-    users already listed are dropped; for the others the prior count of each (user, ad, day)
-    comes from the counts snapshot of *committed* batches (``batch_id < n``, pruned to the days
-    the batch touched), the batch's clicks are numbered on top of it in (ts, line) order, and a
-    user is listed at the first click whose number passes the threshold. The batch's accepted
-    clicks (those not after that moment), the new counts and the newly listed users are written
-    to partition ``batch_id=n`` of their tables, so a replayed batch rewrites exactly its own
-    output. With clicks arriving in time order across batches this equals ``ads.ad_blacklist``
-    and ``ads.ad_clicks_clean`` on the whole log. ``row_number() <= threshold + 1`` is a literal
-    bound: a hot (user, ad, day) ships at most threshold + 1 rows per map task.
+    """R7 with the batch query's semantics, in whatever order clicks arrive (F6, F8, W9, IO8-IO11).
+
+    ``clicks`` must carry ``line`` (``click_stream(..., keep_line=True)``). Per batch:
+
+    1. ``counts_sink``: per (user, ad, day) the clicks so far and ``firsts``, the threshold + 1
+       smallest (ts, line). ``row_number() <= threshold + 1`` is a literal bound, so a hot key ships at most
+       that many rows per map task; clicks after their user's moment can't move it and are left out.
+    2. ``blacklist_sink``: users whose moment (the least last entry of a full list) is new or moved back.
+    3. ``clean_path``: the batch's clicks up to their user's moment, by day.
+    4. ``retracted_path(clean_path)``: accepted clicks of earlier batches that lie after a moved moment. With
+       clicks in time order no moment lies before an earlier batch's newest click, and nothing is read for it.
+
+    All four write partition ``batch_id=n`` from committed batches (``batch_id < n``) and the batch itself, so
+    a replayed batch rewrites exactly its own output. :func:`read_clean_clicks` and
+    :func:`read_exact_blacklist` equal ``ads.ad_clicks_clean`` and ``ads.ad_blacklist`` on all lines.
     """
     n_max = int(params.blacklist_threshold) + 1
     keys = ["user_id", "ad_id", "day"]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        plain = [c for c in batch.columns if c != "day"]
         batch = batch.withColumn("day", F.date_format("ts", DAY_FMT)).persist()
+        now, committed = F.col("batch_id") == F.lit(int(batch_id)), F.col("batch_id") < F.lit(int(batch_id))
         try:
-            days = [r.day for r in batch.select("day").distinct().collect()]  # bounded by the batch span
-            committed = F.col("batch_id") < F.lit(int(batch_id))
-            fresh = batch
-            if blacklist_sink.exists(spark):
-                listed = blacklist_sink.raw(spark).filter(committed).select("user_id")
-                fresh = batch.join(listed, "user_id", "left_anti")
-            prior = None
-            if days and counts_sink.exists(spark):
-                prior = counts_sink.latest(spark, where=committed & F.col("day").isin(days)).persist()
-                fresh = fresh.join(prior.withColumnRenamed("clicks", "c0"), keys, "left")
-            else:
-                fresh = fresh.withColumn("c0", F.lit(None).cast("bigint"))
-            fresh = fresh.withColumn("c0", F.coalesce("c0", F.lit(0).cast("bigint")))
-            w = Window.partitionBy(*keys).orderBy("ts", "line")
-            trips = (
-                fresh.withColumn("rn", F.row_number().over(w))
-                .filter(F.col("rn") <= F.lit(n_max))
-                .filter(F.col("c0") + F.col("rn") == F.lit(n_max))
-                .groupBy("user_id")
-                .agg(F.min(F.struct("ts", "line", "ad_id", "day")).alias("t"))
-                .select("user_id", F.col("t.ts").alias("at_ts"), F.col("t.line").alias("at_line"),
-                        F.col("t.ad_id").alias("ad_id"), F.col("t.day").alias("day"))
-                .persist()  # one row per newly listed user; feeds two writes
-            )
-            at = F.struct("ts", "line") <= F.struct("at_ts", "at_line")
-            accepted = (
-                fresh.join(trips.select("user_id", "at_ts", "at_line"), "user_id", "left")
-                .filter(F.col("at_ts").isNull() | at)
-                .select(*[c for c in batch.columns if c != "day"])
-            )
-            accepted.write.mode("overwrite").parquet(f"{clean_path}/batch_id={int(batch_id)}")
-            counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-            if prior is not None:
-                counts = counts.join(prior, keys, "left").select(
-                    *keys, (F.col("n") + F.coalesce("clicks", F.lit(0))).alias("clicks"))
+            seen = batch.agg(F.max(F.unix_micros("ts")).alias("newest"), F.collect_set("day").alias("days")).first()  # days: bounded by the calendar
+            frontier = _frontier(spark, counts_sink, batch_id)
+            old = read_exact_blacklist(spark, blacklist_sink, where=committed).select(
+                "user_id", F.struct(F.col("blacklisted_at").alias("ts"), F.col("at_line").alias("line")).alias("old_at"))
+            place = F.struct("ts", "line")
+            rows = batch.join(old, "user_id", "left")
+            first = rows.filter(F.col("old_at").isNull() | (place <= F.col("old_at"))).withColumn(
+                "rn", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "line"))).filter(F.col("rn") <= F.lit(n_max))
+            first = first.groupBy(*keys).agg(F.collect_list(place).alias("more"))
+            state = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).join(first, keys, "left")
+            none = F.array().cast("array<struct<ts:timestamp,line:string>>")
+            if counts_sink.exists(spark):
+                prior = counts_sink.latest(spark, where=committed & F.col("day").isin(seen["days"]))
+                state = state.join(prior, keys, "left")
             else:
-                counts = counts.withColumnRenamed("n", "clicks")
-            counts_sink.write_batch(counts, batch_id)
-            blacklist_sink.write_batch(trips.select("user_id", "at_ts", "ad_id", "day"), batch_id)
-            trips.unpersist()
-            if prior is not None:
-                prior.unpersist()
+                state = state.withColumn("clicks", F.lit(0)).withColumn("firsts", none)
+            merged = F.slice(F.array_sort(F.concat(F.coalesce("firsts", none), F.coalesce("more", none))), 1, n_max)
+            state = state.select(*keys, (F.col("n") + F.coalesce("clicks", F.lit(0))).alias("clicks"), merged.alias("firsts"))
+            counts_sink.write_batch(state, batch_id)
+
+            full = counts_sink.raw(spark).filter(now & (F.size("firsts") == F.lit(n_max)))
+            last = F.element_at("firsts", n_max)
+            moved = full.groupBy("user_id").agg(F.min(F.struct(last.ts.alias("ts"), last.line.alias("line"), "ad_id", "day")).alias("t"))
+            moved = moved.join(old, "user_id", "left").filter(F.col("old_at").isNull() | (F.struct("t.ts", "t.line") < F.col("old_at")))
+            blacklist_sink.write_batch(
+                moved.select("user_id", F.col("t.ts").alias("at_ts"), F.col("t.line").alias("at_line"), F.col("t.ad_id").alias("ad_id"), F.col("t.day").alias("day"), "old_at"),
+                batch_id)
+
+            new = blacklist_sink.raw(spark).filter(now).select("user_id", F.struct(F.col("at_ts").alias("ts"), F.col("at_line").alias("line")).alias("new_at"), "old_at")
+            at = F.coalesce("new_at", "old_at")
+            accepted = rows.join(new.drop("old_at"), "user_id", "left").filter(at.isNull() | (place <= at)).select(*plain, "day")
+            accepted.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{clean_path}/batch_id={int(batch_id)}")
+
+            least = new.agg(F.min(F.unix_micros("new_at.ts")), F.date_format(F.min("new_at.ts"), DAY_FMT)).first()
+            if frontier is not None and least[0] is not None and least[0] <= frontier:
+                earlier = _accepted(spark, clean_path).filter(committed & (F.col("day") >= F.lit(least[1])))
+                back = earlier.join(new, "user_id").filter((place > F.col("new_at")) & (F.col("old_at").isNull() | (place <= F.col("old_at"))))
+                back.select("user_id", "ts", "line").write.mode("overwrite").parquet(f"{retracted_path(clean_path)}/batch_id={int(batch_id)}")
+            newest = max((x for x in (frontier, seen["newest"]) if x is not None), default=None)
+            _move_frontier(spark, counts_sink, batch_id, newest)
         finally:
             batch.unpersist()
 
     return _start(clicks, on_batch, opts, mode="append")
 
 
-def read_exact_blacklist(spark: SparkSession, blacklist_sink: SnapshotTable) -> DataFrame:
-    """user_id, blacklisted_at, ad_id, day of every listed user (each is listed once)."""
+def retracted_path(clean_path: str) -> str:
+    return f"{clean_path}_retracted"
+
+
+CLEAN_COLUMNS = {"ts": "timestamp", "area": "string", "city": "string", "user_id": "bigint", "ad_id": "bigint", "line": "string", "day": "string"}
+
+
+def _empty(spark: SparkSession, columns: dict[str, str]) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in columns.items()])
+
+
+def _accepted(spark: SparkSession, clean_path: str) -> DataFrame:
+    schema = ", ".join(f"{c} {t}" for c, t in {**CLEAN_COLUMNS, "batch_id": "bigint"}.items())
+    return spark.read.schema(schema).option("basePath", clean_path).parquet(clean_path)
+
+
+def read_clean_clicks(spark: SparkSession, clean_path: str) -> DataFrame:
+    """Accepted clicks less retracted ones: the batch query's clean clicks, whatever the arrival order."""
+    if not path_exists(spark, clean_path):
+        return _empty(spark, CLEAN_COLUMNS)
+    rows = _accepted(spark, clean_path).drop("batch_id")
+    gone = retracted_path(clean_path)
+    if not path_exists(spark, gone):
+        return rows
+    back = spark.read.schema("user_id BIGINT, ts TIMESTAMP, line STRING").parquet(gone).distinct()
+    return rows.join(back, ["user_id", "ts", "line"], "left_anti")
+
+
+def read_exact_blacklist(spark: SparkSession, blacklist_sink: SnapshotTable, where: Column | None = None) -> DataFrame:
+    """user_id, blacklisted_at, ad_id, day and at_line of every listed user: the least moment of all batches."""
     if not blacklist_sink.exists(spark):
-        return spark.range(0).select(
-            F.col("id").alias("user_id"),
-            F.lit(None).cast("timestamp").alias("blacklisted_at"),
-            F.col("id").alias("ad_id"),
-            F.lit(None).cast("string").alias("day"),
-        )
-    return blacklist_sink.raw(spark).select(
-        "user_id", F.col("at_ts").alias("blacklisted_at"), "ad_id", "day"
-    )
+        return _empty(spark, {"user_id": "bigint", "blacklisted_at": "timestamp", "ad_id": "bigint", "day": "string", "at_line": "string"})
+    raw = blacklist_sink.raw(spark)
+    raw = raw if where is None else raw.filter(where)
+    first = raw.groupBy("user_id").agg(F.min(F.struct("at_ts", "at_line", "ad_id", "day")).alias("t"))
+    return first.select("user_id", F.col("t.at_ts").alias("blacklisted_at"), F.col("t.ad_id").alias("ad_id"), F.col("t.day").alias("day"), F.col("t.at_line").alias("at_line"))
 
 
 # ---------------------------------------------------------------- R10: per-minute trend, sliding windows
@@ -305,38 +417,45 @@ def minute_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> Da
 
 
 def minute_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
-    return SnapshotTable(path, ["ad_id", "minute"], compact_every=compact_every)
+    return SnapshotTable(path, ["day", "ad_id", "minute"], partition_by=["day"], compact_every=compact_every)
 
 
 def start_minute_counts(
     clicks: DataFrame, sink: SnapshotTable, opts: StreamOptions, params: AdParams = AdParams()
 ) -> StreamingQuery:
-    return _start(minute_counts_stream(clicks, params), sink.write_batch, opts)
+    return start_counts(clicks, sink, opts, params, derived={"minute": F.date_format("ts", MINUTE_FMT)})
 
 
 def read_minute_trend(spark: SparkSession, sink: SnapshotTable, window: str = "1 hour") -> DataFrame:
-    """ad_id, minute, clicks for minutes within ``window`` of the newest minute seen."""
-    snap = sink.latest(spark).withColumn("m", F.to_timestamp("minute", MINUTE_FMT))
-    newest = snap.select(F.max("m")).scalar()
-    return snap.filter(F.col("m") > newest - F.expr(f"INTERVAL {window}")).select("ad_id", "minute", "clicks")
-
+    """ad_id, minute, clicks for minutes within ``window`` of the newest minute seen.
 
-def sliding_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
-    w = F.window("ts", params.sliding_window, params.sliding_slide)
-    agg = clicks.withWatermark("ts", params.watermark).groupBy("ad_id", w.alias("w")).agg(
-        F.count(F.lit(1)).alias("clicks")
-    )
-    return agg.select("ad_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks")
+    The newest minute is looked up first (a scalar); the counts are read from its days' partitions alone.
+    """
+    newest = sink.raw(spark).agg(F.to_timestamp(F.max("minute"), MINUTE_FMT).alias("m")).select(
+        F.col("m") - F.expr(f"INTERVAL {window}"), F.date_format(F.col("m") - F.expr(f"INTERVAL {window}"), DAY_FMT)).first()
+    recent = read_counts(spark, sink, where=F.col("day") >= F.lit(newest[1]))
+    after = sink.raw(spark).agg(F.max("minute")).scalar()
+    edge = F.to_timestamp(after, MINUTE_FMT) - F.expr(f"INTERVAL {window}")
+    return recent.filter(F.to_timestamp("minute", MINUTE_FMT) > edge).select("ad_id", "minute", "clicks")
 
 
-def sliding_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
-    return SnapshotTable(path, ["ad_id", "window_start", "window_end"], compact_every=compact_every)
+def bucket_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
+    return SnapshotTable(path, ["day", "ad_id", "bucket"], partition_by=["day"], compact_every=compact_every)
 
 
 def start_sliding_counts(
     clicks: DataFrame, sink: SnapshotTable, opts: StreamOptions, params: AdParams = AdParams()
 ) -> StreamingQuery:
-    return _start(sliding_counts_stream(clicks, params), sink.write_batch, opts)
+    """Counts per (ad, bucket): one row where the sliding windows would be ``window / slide`` of them."""
+    width = ads.bucket_seconds(params)
+    if width is None:
+        raise ValueError("sliding windows need a length and a slide in seconds, minutes, hours or days")
+    return start_counts(clicks, sink, opts, params, derived={"bucket": ads.bucket_start(width)})
+
+
+def read_sliding_counts(spark: SparkSession, sink: SnapshotTable, params: AdParams = AdParams(), where: Column | None = None) -> DataFrame:
+    """ad_id, window_start, window_end, clicks: the windows, unfolded when they are read."""
+    return ads.windows_of_buckets(read_counts(spark, sink, where), params)
 
 
 def rows_dropped_late(query: StreamingQuery) -> int:

@@ -49,7 +49,7 @@ class RealtimeTables:
 
     @property
     def sliding_counts(self) -> SnapshotTable:
-        return st.sliding_counts_table(f"{self.base}/ads_click_sliding")
+        return st.bucket_counts_table(f"{self.base}/ads_click_sliding")
 
     @property
     def clean_clicks(self) -> str:

@@ -56,8 +56,9 @@ def run_in_drops(
     base: str,
     n: int,
     start: Callable[[str], StreamingQuery],
+    newest_first: bool = False,
 ) -> None:
-    """Land ``lines`` in ``n`` time-ordered drops under ``base``; after each, ``start(watched)``
+    """Land ``lines`` in ``n`` time-ordered drops under ``base`` (``newest_first``: in the opposite order); after each, ``start(watched)``
     must return an ``availableNow`` query, which is drained before the next drop.
 
     All drops are written by one job (partitioned by drop number); each drop is then handed to
@@ -66,7 +67,7 @@ def run_in_drops(
     watched = f"{base}/incoming"
     staging = f"{base}/staging"
     time_chunk(lines, n).select("value", "chunk").write.mode("overwrite").partitionBy("chunk").text(staging)
-    for i in range(n):
+    for i in reversed(range(n)) if newest_first else range(n):
         src = f"{staging}/chunk={i}"
         if path_exists(spark, src):
             _move_parts(spark, src, watched, f"drop{i:04d}-{uuid.uuid4().hex[:8]}")

@@ -92,10 +92,12 @@ def test_minute_and_sliding_streams(spark, scratch, small):
     want = per_min.filter(F.col("m") > F.lit(newest) - F.expr("INTERVAL 1 HOUR"))
     assert _rows(trend, ["ad_id", "minute", "clicks"]) == _rows(want, ["ad_id", "minute", "clicks"])
 
-    sliding = st.sliding_counts_table(f"{scratch}/s")
+    sliding = st.bucket_counts_table(f"{scratch}/s")
     _drain(spark, lines, f"{scratch}/b", 2, lambda c, o: st.start_sliding_counts(c, sliding, o, AD))
     cols = ["ad_id", "window_start", "window_end", "clicks"]
-    assert _rows(sliding.latest(spark), cols) == _rows(ads.ad_sliding_counts(clicks, AD), cols)
+    assert _rows(st.read_sliding_counts(spark, sliding, AD), cols) == _rows(ads.ad_sliding_counts(clicks, AD), cols)
+    # what the stream keeps is a thirtieth of the windows where buckets don't share them
+    assert sliding.latest(spark).count() * 20 < ads.ad_sliding_counts(clicks, AD).count()
 
 
 def test_rerun_finished_checkpoint_adds_nothing(spark, scratch, small):
@@ -110,7 +112,7 @@ def test_rerun_finished_checkpoint_adds_nothing(spark, scratch, small):
     assert sorted(before) == sorted(sink.latest(spark).collect())
 
 
-def test_late_file_beyond_watermark_is_dropped(spark, scratch):
+def test_late_file_beyond_watermark_is_kept(spark, scratch):
     def line(ms, user=1):
         return (f"{ms} AREA city {user} 1",)
 
@@ -123,15 +125,23 @@ def test_late_file_beyond_watermark_is_dropped(spark, scratch):
 
     def drop(rows, tag):
         replay.land(spark, spark.createDataFrame(rows, adlog.AD_LINE_SCHEMA), staging, watched, tag)
-        q = st.start_daily_city_counts(st.click_stream(spark, watched), sink, opts, params)
-        st.drain(q)
-        return st.rows_dropped_late(q)
+        st.drain(st.start_daily_city_counts(st.click_stream(spark, watched), sink, opts, params))
+        late = st.read_late(spark, sink)
+        return 0 if late is None else late.count()
 
     assert drop([line(t0 + 1000), line(t0 + 2000)], "a") == 0
-    assert drop([line(t0 + 3 * day)], "b") == 0  # moves the watermark to day 3
-    assert drop([line(t0 + 5000)], "c") == 1  # late: its day-0 window is closed, the row is dropped
-    got = {r.day: r.clicks for r in sink.latest(spark).collect()}
-    assert got == {"2024-01-01": 2, "2024-01-04": 1}
+    assert drop([line(t0 + 3 * day)], "b") == 0  # moves the frontier to day 3
+    assert drop([line(t0 + 5000), line(t0 + 6000, 2), line(t0 + 3 * day + 1)], "c") == 2  # day 0 is closed: to the late table
+    assert drop([line(t0 + 2 * day + day - 1)], "d") == 2  # day 2 ended less than the delay before the frontier
+    closed = {r.day: r.clicks for r in sink.latest(spark).collect()}
+    assert closed == {"2024-01-01": 2, "2024-01-03": 1, "2024-01-04": 2}
+    want = {"2024-01-01": 4, "2024-01-03": 1, "2024-01-04": 2}
+    assert {r.day: r.clicks for r in st.read_counts(spark, sink).collect()} == want  # nothing vanishes
+    lines = adlog.decode_clicks(spark.read.schema(adlog.AD_LINE_SCHEMA).text(watched))
+    cols = ["day", "area", "city", "ad_id", "clicks"]
+    assert _rows(st.read_counts(spark, sink), cols) == _rows(ads.ad_daily_city_counts(lines), cols)
+    whole = st.close_days(spark, sink, f"{scratch}/closed", before="2024-01-04")
+    assert {r.day: r.clicks for r in whole.collect()} == {"2024-01-01": 4, "2024-01-03": 1}
 
 
 def test_snapshot_replay_is_idempotent_and_compaction_keeps_latest(spark, scratch):
@@ -203,6 +213,41 @@ def test_exact_stream_blacklist_equals_batch(spark, scratch, small, drops):
     assert _rows(st.read_exact_blacklist(spark, bl), cols) == _rows(want_bl, cols)
     cc = ["ts", "area", "city", "user_id", "ad_id"]
     assert _rows(spark.read.parquet(clean), cc) == _rows(ads.ad_clicks_clean(clicks, want_bl), cc)
+    assert _rows(st.read_clean_clicks(spark, clean), cc) == _rows(ads.ad_clicks_clean(clicks, want_bl), cc)
+    # clicks in time order are never retracted, and nothing is read to find that out
+    assert not st.path_exists(spark, st.retracted_path(clean))
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_exact_stream_in_any_order_equals_batch(spark, scratch, seed):
+    """Lines dealt to drops at random: moments move back, early acceptances are retracted."""
+    import random
+
+    rng = random.Random(seed)
+    t0 = 1_704_067_200_000
+    lines = [f"{t0 + rng.randrange(3 * 86_400) * 1000} AREA c{rng.randrange(2)} {rng.randrange(12)} {rng.randrange(3)}" for _ in range(400)]
+    lines += rng.choices(lines, k=40)  # repeated lines count as clicks of their own
+    rng.shuffle(lines)
+    counts, bl, clean = st.user_counts_table(f"{scratch}/uc"), st.blacklist_table(f"{scratch}/bl"), f"{scratch}/clean"
+
+    def start():
+        return st.start_exact_blacklist(st.click_stream(spark, f"{scratch}/in", keep_line=True), counts, bl, clean,
+                                        st.StreamOptions(checkpoint=f"{scratch}/ck", available_now=True), AD)
+
+    for i in range(4):
+        part = spark.createDataFrame([(x,) for x in lines[i::4]], adlog.AD_LINE_SCHEMA)
+        replay.land(spark, part, f"{scratch}/stage", f"{scratch}/in", f"d{i}")
+        st.drain(start())
+    clicks = adlog.decode_clicks(spark.createDataFrame([(x, x) for x in lines], "value string, line string"))
+    want = ads.ad_blacklist(clicks, AD.blacklist_threshold, tiebreak="line")
+    cols = ["user_id", "blacklisted_at", "ad_id", "day"]
+    assert _rows(st.read_exact_blacklist(spark, bl), cols) == _rows(want, cols)
+    cc = ["ts", "area", "city", "user_id", "ad_id"]
+    assert _rows(st.read_clean_clicks(spark, clean), cc) == _rows(ads.ad_clicks_clean(clicks, want, tiebreak="line"), cc)
+    assert spark.read.parquet(st.retracted_path(clean)).count() > 0
+    totals = ads.ad_user_counts(clicks)
+    key = ["user_id", "ad_id", "day", "clicks"]
+    assert _rows(counts.latest(spark), key) == _rows(totals, key)
 
 
 def test_exact_stream_replayed_batch_rewrites_itself(spark, scratch, small):
@@ -286,7 +331,8 @@ def test_processing_time_trigger_while_files_arrive(spark, scratch, small):
 def test_reading_blacklists_before_any_batch(spark, scratch):
     assert st.read_blacklist(spark, st.blacklist_table(f"{scratch}/none")).count() == 0
     empty = st.read_exact_blacklist(spark, st.blacklist_table(f"{scratch}/none2"))
-    assert empty.count() == 0 and empty.columns == ["user_id", "blacklisted_at", "ad_id", "day"]
+    assert empty.count() == 0 and empty.columns == ["user_id", "blacklisted_at", "ad_id", "day", "at_line"]
+    assert st.read_clean_clicks(spark, f"{scratch}/none3").count() == 0
 
 
 def test_failed_fold_loses_nothing_and_a_broken_off_one_is_finished(spark, scratch, monkeypatch):
