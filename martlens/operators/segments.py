@@ -12,6 +12,9 @@ segment) and only the ends of segments meet again:
 3. Rows are tagged with the range they fall in, by a broadcast of one line per hot group
    (``TOP`` at most, which is the bound). Other groups are one segment, 0.
 
+An input whose files hold less than ``LEAST_BYTES`` together is not searched: no group of it is
+more than one task's work, and the search would cost more than it saves. Results are the same.
+
 Ranges are monotone in the order whatever the quantiles' error, so results don't depend on it. Rows
 of equal place stay together: only rows with one second and one id can't be told apart.
 """
@@ -27,16 +30,26 @@ from pyspark.sql import functions as F
 TRACKED, TOP = 8192, 512
 #: Rows from which a group is cut, and ranges it is cut into.
 HOT_ROWS, PIECES = 200_000, 64
+#: Bytes of input (as stored) from which hot groups are looked for.
+LEAST_BYTES = 64 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Stored size of all that ``df`` reads, as Spark knows it; very large where it doesn't."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
 
 
 def with_segments(df: DataFrame, group: Sequence[str], second: Column, tie: Column, hot_rows: int = HOT_ROWS, pieces: int = PIECES,
-                  counted: DataFrame | None = None) -> DataFrame:
+                  counted: DataFrame | None = None, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """``df`` with ``segment``: ascending along (second, tie) within each ``group``.
 
     ``second`` (epoch seconds) and ``tie`` (a number) must order rows as the caller does. ``counted``:
     where to look for hot groups and split points, if ``df`` is costly and its groups stand there too.
     """
     counted = df if counted is None else counted
+    if input_bytes(counted) < least_bytes:
+        return df.withColumn("segment", F.lit(0))
     key = F.xxhash64(*group)  # two groups of one hash are cut at the same points, each still in order
     found = counted.select(key.alias("k")).agg(F.expr(f"approx_top_k(k, {TOP}, {TRACKED})").alias("top")).first()["top"] or []
     hot = [r["item"] for r in found if r["count"] >= hot_rows and r["item"] is not None]

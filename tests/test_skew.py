@@ -223,7 +223,7 @@ def test_hot_session_minute_is_cut_into_ordered_segments(spark):
     total = visits.count()
     minute = visits.withColumn("bucket", F.substring("action_time", 1, 16))
     args = ["session_id", "bucket"], F.unix_seconds(F.to_timestamp("action_time")), F.col("action_id")
-    cut = segments.with_segments(minute, *args, hot_rows=total // 10)
+    cut = segments.with_segments(minute, *args, hot_rows=total // 10, least_bytes=0)
     assert _largest_share(minute, ["session_id", "bucket"]) > 0.3
     assert _largest_share(cut, ["session_id", "bucket", "segment"]) < 0.02
     # segments ascend along the order
@@ -232,11 +232,11 @@ def test_hot_session_minute_is_cut_into_ordered_segments(spark):
     # the results are those of one plain window over whole sessions
     plain = visits.select(F.col("page_id").alias("from_page"), F.lead("page_id").over(Window.partitionBy("session_id").orderBy("action_time", "action_id")).alias("to_page"))
     counted = lambda df: sorted(map(tuple, df.filter("to_page IS NOT NULL").groupBy("from_page", "to_page").count().collect()))
-    assert counted(pages.page_steps(visits, hot_rows=total // 10)) == counted(plain)
+    assert counted(pages.page_steps(visits, hot_rows=total // 10, least_bytes=0)) == counted(plain)
     assert counted(pages.page_steps(visits)) == counted(plain)
     # the lists of a session are the same, cut or not
     rows = lambda df: sorted(map(tuple, df.collect()), key=str)
-    assert rows(sessions.session_summary(visits, hot_rows=total // 10)) == rows(sessions.session_summary(visits))
+    assert rows(sessions.session_summary(visits, hot_rows=total // 10, least_bytes=0)) == rows(sessions.session_summary(visits))
 
 
 def test_no_task_gets_a_hot_session_minute(spark):
@@ -248,17 +248,17 @@ def test_no_task_gets_a_hot_session_minute(spark):
         from martlens.operators.segments import with_segments
 
         acts = with_segments(visits.withColumn("bucket", F.substring("action_time", 1, 16)), ["session_id", "bucket"],
-                             F.unix_seconds(F.to_timestamp("action_time")), F.col("action_id"), hot_rows=total // 10)
+                             F.unix_seconds(F.to_timestamp("action_time")), F.col("action_id"), hot_rows=total // 10, least_bytes=0)
         per_task = acts.repartition("session_id", "bucket", "segment").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
         assert per_task < 0.16 * total
-        assert pages.page_steps(visits, hot_rows=total // 10).count() > 0
+        assert pages.page_steps(visits, hot_rows=total // 10, least_bytes=0).count() > 0
 
 
 def test_segments_of_empty_and_null_rows(spark):
     from martlens.operators import segments
 
     schema = "session_id string, bucket string, s long, t long"
-    cut = lambda rows: segments.with_segments(spark.createDataFrame(rows, schema), ["session_id", "bucket"], F.col("s"), F.col("t"), hot_rows=2, pieces=4)
+    cut = lambda rows: segments.with_segments(spark.createDataFrame(rows, schema), ["session_id", "bucket"], F.col("s"), F.col("t"), hot_rows=2, pieces=4, least_bytes=0)
     assert cut([]).count() == 0
     rows = [("a", "m", 5, i) for i in range(9)] + [("a", "m", None, None), (None, None, 1, 1), (None, None, 1, 1), ("b", "m", 1, None)]
     got = cut(rows).collect()
