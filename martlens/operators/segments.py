@@ -37,7 +37,7 @@ LEAST_BYTES = 64 << 20
 def input_bytes(df: DataFrame) -> int:
     """Stored size of all that ``df`` reads, as Spark knows it; very large where it doesn't."""
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def with_segments(df: DataFrame, group: Sequence[str], second: Column, tie: Column, hot_rows: int = HOT_ROWS, pieces: int = PIECES,
