@@ -53,17 +53,8 @@ def city_remark(leaders: Column, n_cities: Column, top: int = 2, other_label: st
     return F.when(n_cities > top, F.concat_ws(",", named, other)).otherwise(named)
 
 
-def area_product_clicks(
-    visits: DataFrame,
-    cities: DataFrame,
-    keep_no_click: bool = False,
-    remark_cities: int = 2,
-    other_label: str = OTHER_CITIES_LABEL,
-) -> DataFrame:
-    """One row per (area, clicked product): click_count and city_remark.
-
-    ``keep_no_click`` keeps the no-click pseudo product -1 as the original SQL does.
-    """
+def _product_cities(visits: DataFrame, cities: DataFrame, keep_no_click: bool) -> DataFrame:
+    """area, product_id, click_count and the product's clicks per city (one entry a city)."""
     clicks = visits.select("city_id", F.col("click_product_id").alias("product_id"))
     if not keep_no_click:
         clicks = clicks.filter(F.col("product_id") != NO_CLICK)
@@ -72,23 +63,32 @@ def area_product_clicks(
         .groupBy("area", "product_id", "city_name")
         .agg(F.count(F.lit(1)).alias("city_clicks"))
     )
-    per_product = per_city.groupBy("area", "product_id").agg(
+    return per_city.groupBy("area", "product_id").agg(
         F.sum("city_clicks").alias("click_count"),
         F.collect_list(F.struct("city_clicks", "city_name")).alias("cities"),
     )
-    ranked = per_product.select(
-        "area",
-        "product_id",
-        "click_count",
-        F.size("cities").alias("n_cities"),
-        rank_cities(F.col("cities"), F.col("click_count"), remark_cities).alias("leaders"),
-    )
-    return ranked.select(
-        "area",
-        "product_id",
-        "click_count",
-        city_remark(F.col("leaders"), F.col("n_cities"), remark_cities, other_label).alias("city_remark"),
-    )
+
+
+def _with_remark(products: DataFrame, remark_cities: int, other_label: str = OTHER_CITIES_LABEL) -> DataFrame:
+    """``cities`` replaced by ``city_remark``."""
+    leaders = rank_cities(F.col("cities"), F.col("click_count"), remark_cities)
+    named = products.withColumn("leaders", leaders).withColumn("n_cities", F.size("cities"))
+    remark = city_remark(F.col("leaders"), F.col("n_cities"), remark_cities, other_label)
+    return named.withColumn("city_remark", remark).drop("cities", "leaders", "n_cities")
+
+
+def area_product_clicks(
+    visits: DataFrame,
+    cities: DataFrame,
+    keep_no_click: bool = False,
+    remark_cities: int = 2,
+    other_label: str = OTHER_CITIES_LABEL,
+) -> DataFrame:
+    """One row per (area, clicked product): click_count and city_remark.
+
+    ``keep_no_click`` keeps the no-click pseudo product -1 as the original SQL does.
+    """
+    return _with_remark(_product_cities(visits, cities, keep_no_click), remark_cities, other_label)
 
 
 def area_product_top(
@@ -102,16 +102,13 @@ def area_product_top(
     """Products ranked ``<= top`` by clicks within each area (``rank()``: ties all kept).
 
     With ``keep_no_click=True, top=4`` this is the original SQL as written: the no-click
-    pseudo product takes a rank and then vanishes in the product join.
+    pseudo product takes a rank and then vanishes in the product join. Remarks are written for the
+    products that are left.
     """
-    ranked = area_product_clicks(visits, cities, keep_no_click, remark_cities).withColumn(
+    ranked = _product_cities(visits, cities, keep_no_click).withColumn(
         "rk", F.rank().over(Window.partitionBy("area").orderBy(F.desc("click_count")))
     ).filter(F.col("rk") <= top)
-    return ranked.join(products.select("product_id", "product_name"), "product_id").select(
+    named = ranked.join(products.select("product_id", "product_name"), "product_id")
+    return _with_remark(named, remark_cities).select(
         "area", "product_id", "product_name", "click_count", "city_remark", "rk"
     )
-
-
-def with_task_id(df: DataFrame, task_id: str) -> DataFrame:
-    """Result tables start with the run's task id (a parameter, so results stay testable)."""
-    return df.select(F.lit(task_id).alias("task_id"), *df.columns)
