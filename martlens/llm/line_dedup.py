@@ -136,7 +136,9 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", max_edit
     gone = gone.groupBy("__doc", "__row").agg(F.collect_set("pos").alias("__gone"))
     out = df.withColumn("__doc", F.coalesce(F.col(key), F.lit(NO_ID))).withColumn("__row", F.xxhash64(body))
     out = out.join(gone, ["__doc", "__row"], "left").withColumn("__lines", F.split(body, "\n", -1))
-    kept = F.filter("__lines", lambda x, i: ~F.array_contains("__gone", i))
+    # positions that stay by a hash set, so the work grows with the lines and not with lines times removed lines
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__gone")
+    kept = F.transform(stay, lambda i: F.get("__lines", i))
     out = out.withColumn("n_lines", F.size("__lines").cast("long")).withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
     out = out.withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
     return out.withColumn("n_removed", F.greatest("n_removed", F.lit(0).cast("long"))).drop("__doc", "__row", "__lines", "__gone")
