@@ -1,7 +1,7 @@
 """Batch sinks (IO3, IO5, IO6, IO7) and result-row decoration.
 
-* ``replace_table``: atomic replace of a catalog table or a parquet folder (the original drops
-  and recreates a Hive table, then previews 100 rows).
+* ``replace_table``: replace of a catalog table or a parquet folder, written beside it first (the
+  original drops and recreates a Hive table, then previews 100 rows).
 * ``append_jdbc``: DataFrame JDBC append; executors write their partitions, one connection per
   partition, ``batchsize`` rows per round trip. The original's single and batched prepared
   inserts (which printed and swallowed errors) are the same call: errors propagate here.
@@ -36,17 +36,74 @@ def replace_table(
     path: str | None = None,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
-) -> None:
-    """Replace a catalog table (``name``) or a folder (``path``) with ``df`` in one write."""
-    w = df.write.mode("overwrite").format(fmt)
+    preview: int = 100,
+) -> DataFrame:
+    """Replace a catalog table (``name``) or a folder (``path``) with ``df``; returns its first ``preview`` rows as a frame.
+
+    The rows are written beside the old ones first and take their place by renames when all are
+    there, so a write that fails leaves the old rows, and ``df`` may read what it replaces. A run that dies between
+    the two renames leaves the old rows under ``<name>__old_<id>``. One writer at a time.
+    """
+    if bool(name) == bool(path):
+        raise ValueError("replace_table needs a table name or a path")
+    w = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    spark, run = df.sparkSession, uuid.uuid4().hex[:12]
+    target = name or path.rstrip("/")
+    new, old = f"{target}__new_{run}", f"{target}__old_{run}"
     if name:
-        w.saveAsTable(name)
-    elif path:
-        w.save(path)
-    else:
-        raise ValueError("replace_table needs a table name or a path")
+        _replace_named(spark, w, target, new, old, bool(partition_by))
+        return spark.table(target).limit(preview)
+    _replace_folder(spark, w, target, new, old)
+    return spark.read.format(fmt).load(target).limit(preview)
+
+
+# While it is false, the catalog notes no partitions of a new table.
+_NOTE_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
+
+
+def _replace_named(spark, writer, target: str, new: str, old: str, partitioned: bool) -> None:
+    """Partitions are noted by their absolute place, which a rename changes, so they are noted after it."""
+    noting = spark.conf.get(_NOTE_PARTITIONS)
+    spark.conf.set(_NOTE_PARTITIONS, "false")
+    try:
+        writer.saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    finally:
+        spark.conf.set(_NOTE_PARTITIONS, noting)
+    replaced = spark.catalog.tableExists(target)
+    if replaced:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
+    if partitioned:
+        spark.sql(f"MSCK REPAIR TABLE {target}")
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
+
+
+def _replace_folder(spark, writer, target: str, new: str, old: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(target).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def rename(source: str, to: str) -> None:
+        if not fs.rename(at(source), at(to)):
+            raise OSError(f"cannot rename {source} to {to}")
+
+    try:
+        writer.save(new)
+    except Exception:
+        fs.delete(at(new), True)
+        raise
+    replaced = fs.exists(at(target))
+    if replaced:
+        rename(target, old)
+    rename(new, target)
+    if replaced:
+        fs.delete(at(old), True)
+    spark.catalog.refreshByPath(target)
 
 
 def append_jdbc(

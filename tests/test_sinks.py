@@ -62,6 +62,79 @@ def test_replace_table_is_a_replace(spark, scratch):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_failed_replace_leaves_the_old_rows(spark, scratch):
+    failing = spark.range(4).select(F.raise_error(F.lit("no")).cast("long").alias("k"))
+    path = f"{scratch}/kept"
+    sinks.replace_table(spark.range(3).toDF("k"), path=path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS ml_replace")
+    name = "ml_replace.kept"
+    sinks.replace_table(spark.range(3).toDF("k"), name=name)
+    for where in ({"path": path}, {"name": name}):
+        with pytest.raises(Exception, match="no"):
+            sinks.replace_table(failing, **where)
+    assert spark.read.parquet(path).count() == 3 and spark.table(name).count() == 3
+    # what is replaced may be read by the replacement; columns may change; the preview is bounded
+    bigger = spark.table(name).select("k", F.explode(F.sequence(F.lit(1), F.lit(50))).alias("j"))
+    shown = sinks.replace_table(bigger, name=name, partition_by=["j"])
+    assert spark.table(name).count() == 150 and spark.table(name).filter("j = 7").count() == 3 and shown.count() == 100 and set(shown.columns) == {"k", "j"}
+    grown = spark.read.parquet(path)
+    assert sinks.replace_table(grown.unionByName(grown), path=path, preview=5).count() == 5
+    assert spark.read.parquet(path).count() == 6
+    assert [t.name for t in spark.catalog.listTables("ml_replace")] == ["kept"]
+    import os
+
+    assert sorted(os.listdir(scratch)) == ["kept"]
+    with pytest.raises(ValueError):
+        sinks.replace_table(grown)
+
+
+def test_sql_report_leaves_no_names_behind(spark):
+    from martlens.plans import sql_reports
+
+    t = fixtures.load(spark, SF_SMALL)
+    before = {x.name for x in spark.catalog.listTables()}
+    rows = sql_reports.area_product_top_sql(spark, t).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, registry.QUERIES["area_product_top3"](spark, SF_SMALL).collect()))
+    assert {x.name for x in spark.catalog.listTables()} == before
+    assert not spark.catalog.functionExists(sql_reports.CITY_REMARK)
+
+
+def test_sql_functions(spark):
+    from martlens.operators import categories
+    from martlens.plans import sql_reports
+
+    t = fixtures.load(spark, SF_SMALL)
+    with sql_reports.sql_functions(spark, other_label="it's rest"):
+        counts = spark.sql(f"""
+            SELECT a.category_id, count_if(a.kind = 'click') AS click_count, count_if(a.kind = 'order') AS order_count,
+                   count_if(a.kind = 'pay') AS pay_count
+            FROM {{visits}} v, LATERAL {sql_reports.CATEGORY_ACTIONS}(v.click_category_id, v.order_category_ids, v.pay_category_ids) a
+            GROUP BY a.category_id""", visits=t.visits)
+        city = "named_struct('city_clicks', {}L, 'city_name', '{}')"
+        arrays = [f"array({', '.join(city.format(n, c) for n, c in cities)})" for cities in
+                  ([(1, "A")], [(1, "B"), (1, "A")], [(1, "C"), (2, "B"), (5, "A")])]
+        remarks = spark.sql(f"""SELECT {sql_reports.CITY_REMARK}({arrays[0]}, 1), {sql_reports.CITY_REMARK}({arrays[1]}, 2),
+                                       {sql_reports.CITY_REMARK}({arrays[2]}, 8), {sql_reports.CITY_REMARK}(null, 8)""")
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, categories.category_counts(t.visits).collect()))
+    assert tuple(remarks.first()) == ("A:100.0%", "A:50.0%,B:50.0%", "A:62.5%,B:25.0%,it's rest:12.5%", None)
+
+
+def test_command_line_on_stored_and_catalog_tables(spark, scratch):
+    from martlens.__main__ import main
+
+    t = fixtures.load(spark, SF_SMALL)
+    fixtures.materialize(t, f"{scratch}/shop")
+    fixtures.materialize_catalog(t, "ml_cli")
+    want = registry.QUERIES["area_product_top3"](spark, SF_SMALL).count()
+    for i, source in enumerate((["--stored", f"{scratch}/shop"], ["--database", "ml_cli"])):
+        main(["area", *source, "--out", f"{scratch}/out{i}"], spark)
+        assert spark.read.parquet(f"{scratch}/out{i}/city_click_count_3").count() == want
+    with pytest.raises(SystemExit):
+        main(["area", "--out", f"{scratch}/none"], spark)
+    with pytest.raises(SystemExit):
+        main(["realtime", "--topic", "clicks", "--out", f"{scratch}/none"], spark)
+
+
 def test_offline_run_writes_every_report(spark, scratch):
     cond = json.dumps({
         "startDate": "2024-01-03", "endDate": "2024-01-28", "startAge": 12, "endAge": 55,
