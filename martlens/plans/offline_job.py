@@ -78,7 +78,8 @@ def offline_reports(
     flow = flow or cfg.flow or PageFlow()
     task_id = task_id or new_task_id()
     path = scratch_path(spark, "offline", task_id, "visits")
-    visits.visits_filtered(tables.visits, tables.users, flt).write.mode("overwrite").partitionBy("date").parquet(path)
+    v = tables.visits_between(flt.start_date, flt.end_date)
+    visits.visits_filtered(v, tables.users, flt).write.mode("overwrite").partitionBy("date").parquet(path)
     v = spark.read.schema(USER_VISIT_ACTION).parquet(path).select(*USER_VISIT_ACTION.fieldNames())
     top = categories.category_top(v, cfg.top_categories)
     return {

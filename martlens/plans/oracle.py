@@ -29,7 +29,7 @@ _LISTS = """
 _UVA = f"""
 uva_src AS (
   SELECT *, {_LISTS}
-  FROM ev WHERE event_type <> 'error'
+  FROM ev
 ),
 user_visit_action AS (
   SELECT event_id AS action_id,

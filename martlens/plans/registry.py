@@ -52,7 +52,26 @@ AD = AdParams(blacklist_threshold=2)
 
 def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
-    return t.derived(("visits_filtered", FILTER), lambda t: visits.visits_filtered(t.visits, t.users, FILTER))
+    days = (FILTER.start_date, FILTER.end_date)
+    return t.derived(("visits_filtered", FILTER), lambda t: visits.visits_filtered(t.visits_between(*days), t.users, FILTER))
+
+
+def _unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits under a condition without any predicate."""
+    t = fixtures.load(spark, sf_dir)
+    return t.derived(("visits_filtered", VisitFilter()), lambda t: visits.visits_filtered(t.visits, t.users, VisitFilter()))
+
+
+def _session_summary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_summary(_unfiltered(spark, sf_dir))
+
+
+def _category_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return categories.category_counts(_unfiltered(spark, sf_dir))
+
+
+def _page_conversion_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_conversion(_unfiltered(spark, sf_dir), FLOW)
 
 
 def _visits_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,20 +200,22 @@ def _ad_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_DROPS = 3
 
 
-def _stream_run(spark: SparkSession, sf_dir: str, name: str, start, keep_line: bool = False, newest_first: bool = False) -> str:
-    """Replays the ad lines of ``sf_dir`` into a fresh folder in time-ordered drops, or in the opposite order."""
+def _stream_run(
+    spark: SparkSession, sf_dir: str, name: str, start, keep_line: bool = False, newest_first: bool = False, redelivered: bool = False
+) -> str:
+    """Replays the ad lines of ``sf_dir`` into a fresh folder in time-ordered drops, or in the opposite order; ``redelivered``: each twice."""
     base = scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
     lines = fixtures.load(spark, sf_dir).ad_lines(keep_event_id=False)
     ckpt = f"{base}/checkpoint"
 
     def run(watched: str):
-        clicks = st.click_stream(spark, watched, keep_line=keep_line)
+        clicks = st.click_stream(spark, watched, keep_line=keep_line, redelivered_within="1 day" if redelivered else None)
         opts = st.StreamOptions(
             checkpoint=ckpt, available_now=True, state_partitions=spark.sparkContext.defaultParallelism
         )
         return start(clicks, base, opts)
 
-    replay.run_in_drops(spark, lines, base, STREAM_DROPS, run, newest_first)
+    replay.run_in_drops(spark, lines, base, STREAM_DROPS, run, newest_first, redelivered)
     return base
 
 
@@ -215,6 +236,15 @@ def _stream_ad_daily_city_counts_late(spark: SparkSession, sf_dir: str) -> DataF
     return st.read_counts(spark, st.city_counts_table(f"{base}/city_counts"))
 
 
+def _stream_ad_daily_city_counts_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line arrives twice, the second time a restart later."""
+    base = _stream_run(
+        spark, sf_dir, "city_counts_twice",
+        lambda c, b, o: st.start_daily_city_counts(c, st.city_counts_table(f"{b}/city_counts"), o, AD), redelivered=True,
+    )
+    return st.read_counts(spark, st.city_counts_table(f"{base}/city_counts"))
+
+
 def _stream_ad_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = lambda b: st.SnapshotTable(f"{b}/user_counts", ["user_id", "ad_id", "day"], partition_by=["day"])
     base = _stream_run(spark, sf_dir, "user_counts", lambda c, b, o: st.start_blacklist(c, sink(b), st.blacklist_table(f"{b}/blacklist"), o, AD))
@@ -318,6 +348,9 @@ _QUERIES: dict[str, QueryFn] = {
     "page_visits": _page_visits,
     "page_transitions": _page_transitions,
     "page_conversion": _page_conversion,
+    "session_summary_all": _session_summary_all,
+    "category_counts_all": _category_counts_all,
+    "page_conversion_all": _page_conversion_all,
     "area_product_clicks": _area_product_clicks,
     "area_product_top3": _area_product_top3,
     "area_product_rank4_literal": _area_product_rank4_literal,
@@ -345,6 +378,7 @@ _QUERIES: dict[str, QueryFn] = {
     "stream_ad_sliding_counts": _stream_ad_sliding_counts,
     "stream_ad_user_counts": _stream_ad_user_counts,
     "stream_ad_daily_city_counts_late": _stream_ad_daily_city_counts_late,
+    "stream_ad_daily_city_counts_redelivered": _stream_ad_daily_city_counts_redelivered,
     "stream_ad_blacklist_any_order": _stream_ad_blacklist_any_order,
     "stream_ad_clicks_clean_any_order": _stream_ad_clicks_clean_any_order,
 }
@@ -377,6 +411,9 @@ def oracle_sql() -> dict[str, str]:
         "page_visits": o.page_visits(FILTER, FLOW),
         "page_transitions": o.page_transitions(FILTER, FLOW),
         "page_conversion": o.page_conversion(FILTER, FLOW),
+        "session_summary_all": o.session_summary(VisitFilter()),
+        "category_counts_all": o.category_counts(VisitFilter()),
+        "page_conversion_all": o.page_conversion(VisitFilter(), FLOW),
         "area_product_clicks": f"{o.SHOP}, {o.area_product_clicks()} SELECT * FROM area_product_clicks",
         "area_product_top3": o.area_product_top(3),
         "area_product_rank4_literal": o.area_product_top(4, keep_no_click=True),
@@ -404,8 +441,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_ad_minute_trend_json": o.ad_minute_trend_by_minutes_json(AD.trend_window),
         "stream_ad_sliding_counts": o.ad_sliding_counts(),
         "stream_ad_user_counts": o.ad_user_counts(),
-        # Nor does the order of arrival change a result.
+        # Nor does the order of arrival, or a second arrival, change a result.
         "stream_ad_daily_city_counts_late": o.ad_daily_city_counts(),
+        "stream_ad_daily_city_counts_redelivered": o.ad_daily_city_counts(),
         "stream_ad_blacklist_any_order": o.ad_blacklist_moments(AD.blacklist_threshold),
         "stream_ad_clicks_clean_any_order": o.ad_clicks_clean_fields(AD.blacklist_threshold),
     }

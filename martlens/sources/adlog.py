@@ -73,6 +73,21 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def drop_redelivered(lines: DataFrame, within: str = "1 day", key: str = "value") -> DataFrame:
+    """IO4: a stream of lines without those that arrived before, at most ``within`` ago.
+
+    A producer that retries, or a file that is landed twice, sends a line again; ``key`` names what
+    makes it the same line: its text (user, ad and millisecond of a click), or an id or source position
+    that the lines carry. The watermark runs on the time of arrival, so a line whose event time is old
+    is kept; what was seen stays in the state for ``within``, also over restarts. Null keys count as one line.
+
+    State: one key per line of the period, spread by its hash. As arrival time is the stream's
+    watermark, this serves the queries with ``foreachBatch`` sinks, which keep their own event-time frontier.
+    """
+    arrived = lines.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", within)
+    return arrived.dropDuplicatesWithinWatermark([key]).drop("__arrived")
+
+
 def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming frame of ad-log lines from text files (stands in for the Kafka topic).
 
@@ -93,11 +108,13 @@ def read_kafka_lines(
     group_id: str | None = None,
     starting: str = "latest",
     min_partitions: int | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """IO4: the log topic as lines. Offsets live in the query checkpoint (exactly-once with the
     idempotent sinks), not in consumer-group auto-commit; ``group_id`` only names the consumer.
     ``min_partitions`` splits the offset ranges of big topic partitions over more tasks, so one
-    hot topic partition does not become one task per micro-batch.
+    hot topic partition does not become one task per micro-batch; ``max_offsets_per_trigger``
+    bounds a micro-batch, so that catching up after a pause is many batches and not one.
 
     Needs the Spark Kafka connector on the classpath (not bundled with PySpark).
     """
@@ -111,4 +128,6 @@ def read_kafka_lines(
         reader = reader.option("kafka.group.id", group_id)
     if min_partitions:
         reader = reader.option("minPartitions", str(int(min_partitions)))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(int(max_offsets_per_trigger)))
     return reader.load().select(F.col("value").cast("string").alias("value"))

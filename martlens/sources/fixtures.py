@@ -14,6 +14,7 @@ on tiny inputs can be the fact side).
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,7 +84,10 @@ def _id_list(first: Column, second: Column, third: Column) -> Column:
 
 
 def user_visit_action(events: DataFrame) -> DataFrame:
-    """``events`` minus errors, shaped as the action log (one session per user-day)."""
+    """Every event shaped as the action log (one session per user-day).
+
+    An ``error`` event is a page view without search, click, order or payment.
+    """
     k = F.col("k")
     et = F.col("event_type")
     day = F.date_format("ts", DAY_FMT)
@@ -91,7 +95,6 @@ def user_visit_action(events: DataFrame) -> DataFrame:
     prod_list = _id_list(k, (k + 31) % 100, (k + 57) % 100)
     return (
         events.select("event_id", "ts", "user_id", "event_type", _k().alias("k"))
-        .filter(et != "error")
         .select(
             F.col("event_id").alias("action_id"),
             day.alias("date"),
@@ -162,6 +165,14 @@ def ad_lines(events: DataFrame, cities: DataFrame, keep_event_id: bool = True) -
     return out.select("event_id", line) if keep_event_id else out.select(line)
 
 
+def _day(text: str | None) -> dt.date | None:
+    try:
+        day = dt.date.fromisoformat(text or "")
+    except ValueError:
+        return None
+    return day if day.isoformat() == text else None
+
+
 class ShopTables:
     """The shop views of one scale-factor directory, built on first use (lazy; nothing is read
     until an action, and a report that needs two tables only plans two scans)."""
@@ -181,6 +192,20 @@ class ShopTables:
         """user_visit_action"""
         return user_visit_action(self.events)
 
+    def visits_between(self, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+        """user_visit_action of the days from ``start_date`` to ``end_date`` (inclusive, 'yyyy-MM-dd', None: open).
+
+        The days become bounds on ``ts`` itself, so the scan drops other rows before a day's text is made.
+        Bounds that are no such date are left to the caller's filter on ``date``.
+        """
+        first, last = _day(start_date), _day(end_date)
+        events = self.events
+        if first:
+            events = events.filter(F.col("ts") >= F.lit(str(first)).cast("timestamp_ntz"))
+        if last and last < dt.date.max:
+            events = events.filter(F.col("ts") < F.lit(str(last + dt.timedelta(days=1))).cast("timestamp_ntz"))
+        return user_visit_action(events)
+
     @cached_property
     def users(self) -> DataFrame:
         """user_info"""
@@ -216,6 +241,10 @@ class _FourTables(ShopTables):
     def events(self) -> DataFrame:
         raise AttributeError("this layout holds the four shop tables; read ad-log lines from their source")
 
+    def visits_between(self, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+        """All visits: a filter on ``date`` prunes these tables."""
+        return self.visits
+
 
 class StoredShopTables(_FourTables):
     """The same views read back from tables written by ``materialize`` (the production layout:

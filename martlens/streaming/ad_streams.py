@@ -52,14 +52,19 @@ class StreamOptions:
 
 
 def click_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, keep_line: bool = False
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, keep_line: bool = False,
+    redelivered_within: str | None = None,
 ) -> DataFrame:
     """Decoded clicks from a folder of ad-log text files.
 
+    ``redelivered_within`` drops lines that arrived before, see :func:`adlog.drop_redelivered`.
+
     ``keep_line`` keeps the raw line as ``line``: a deterministic tie-break for clicks of one
     user in the same millisecond.
     """
     lines = adlog.read_line_stream(spark, path, max_files_per_trigger)
+    if redelivered_within:
+        lines = adlog.drop_redelivered(lines, redelivered_within)
     if keep_line:
         lines = lines.withColumn("line", F.col("value"))
     return adlog.decode_clicks(lines)

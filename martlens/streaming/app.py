@@ -66,17 +66,24 @@ def start_realtime(
     params: AdParams = AdParams(),
     processing_time: str = "5 seconds",
     available_now: bool = False,
+    redelivered_within: str | None = None,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start R7 (exact blacklist + clean clicks), R8+R9 (daily counts and top ads), R10 (minute
-    counts) and the sliding-window counts, plus the quarantine of bad lines."""
+    counts) and the sliding-window counts, plus the quarantine of bad lines.
+
+    ``redelivered_within``: lines that arrived before are dropped first (each query keeps its own
+    state of seen lines, in ``state_partitions`` parts)."""
     t = RealtimeTables(base)
+    if redelivered_within:
+        lines = adlog.drop_redelivered(lines, redelivered_within)
     clicks = adlog.decode_clicks(lines)
     clicks_with_line = adlog.decode_clicks(lines.withColumn("line", F.col("value")))
 
     def opts(name: str) -> st.StreamOptions:
         return st.StreamOptions(
             checkpoint=f"{base}/_checkpoints/{name}", processing_time=processing_time,
-            available_now=available_now,
+            available_now=available_now, state_partitions=state_partitions,
         )
 
     quarantine = (

