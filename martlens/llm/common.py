@@ -118,9 +118,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     now, seen = written(ordered(edges), "cc"), None
     while True:
-        now = written(ordered(stars(stars(now, True), False)), "cc")
+        before, now = now, written(ordered(stars(stars(now, True), False)), "cc")
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
-        if mark == seen:
+        # equal marks end the rounds only if the two tables of distinct edges are the same
+        if mark == seen and now.join(before, ["a", "b"], "left_anti").isEmpty():
             break
         seen = mark
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(

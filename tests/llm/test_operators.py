@@ -161,6 +161,20 @@ def test_ngram_join_equals_all_pairs(spark, empty, block, monkeypatch):
     assert ngram_join.near_duplicates(empty).count() == 0
 
 
+def test_ngram_join_keeps_the_links_of_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(3)
+    base, other = words(rng, 60, 3000), words(rng, 60, 3000)
+    near, bridge = base + " tail1", base + " tail1 tail2"
+    schema = "doc_id long, text string"
+    plain = [(5, base), (9, near), (9, other), (11, words(rng, 60, 3000))]
+    for rows in (plain, plain[::-1]):
+        got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["stands"]) for r in ngram_join.near_duplicates(spark.createDataFrame(rows, schema).coalesce(1)).collect()}
+        assert got == {(5, 57): (5, True), (9, 58): (5, False), (9, 57): (9, True), (11, 57): (11, True)}
+    nameless = [(None, bridge), (5, base), (None, other), (None, other), (7, ""), (None, None)]
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["stands"]) for r in ngram_join.near_duplicates(spark.createDataFrame(nameless, schema)).collect()), key=str)
+    assert got == sorted([(None, 59, 5, False), (5, 57, 5, True), (None, 57, None, True), (None, 57, None, True), (7, 0, 7, True), (None, 0, None, True)], key=str)
+
+
 def test_rtree_finds_every_point_that_passes():
     rng = np.random.default_rng(0)
     points = rng.poisson(5, (300, 8))
