@@ -158,3 +158,13 @@ def test_the_mix_is_written_in_the_order_of_its_permutations(spark, scratch):
     got = [r["doc_id"] for r in out.select(F.monotonically_increasing_id().alias("at"), "doc_id").orderBy("at").collect()]
     mix = mixing.mix(docs, "doc_id", max_repeats=queries.MAX_REPEATS).orderBy("turn", "place")
     assert [i for i in got if i] == [r["doc_id"] for r in mix.select("doc_id").collect() if r["doc_id"]]
+
+
+def test_ngram_stage_tells_rows_apart_by_id_and_text(spark, scratch):
+    text = " ".join(f"word{i}" for i in range(50))
+    clean = " ".join(f"other{i}" for i in range(50))
+    rows = [(5, text), (9, text + " tail"), (9, clean), (None, text + " tail more"), (None, "a null id and words of its own here"), (12, "repeated row " + clean[::-1]),
+            (12, "repeated row " + clean[::-1]), (13, ""), (13, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.ngram_join_stage(spark, docs, scratch).collect()), key=str)
+    assert kept == sorted([rows[0], rows[2], rows[4], rows[5], rows[7], rows[8]], key=str)
