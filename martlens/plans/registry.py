@@ -21,7 +21,7 @@ from martlens.plans.sql_reports import area_product_top_sql
 from martlens.session import scratch_path
 from martlens.sources import adlog, fixtures
 from martlens.streaming import ad_streams as st
-from martlens.streaming import replay
+from martlens.streaming import replay, rollup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -246,7 +246,7 @@ def _stream_ad_daily_city_counts_redelivered(spark: SparkSession, sf_dir: str) -
 
 
 def _stream_ad_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = lambda b: st.SnapshotTable(f"{b}/user_counts", ["user_id", "ad_id", "day"], partition_by=["day"])
+    sink = lambda b: st.user_counts_table(f"{b}/user_counts")
     base = _stream_run(spark, sf_dir, "user_counts", lambda c, b, o: st.start_blacklist(c, sink(b), st.blacklist_table(f"{b}/blacklist"), o, AD))
     return st.read_counts(spark, sink(base)).select("day", "user_id", "ad_id", "clicks")
 
@@ -265,6 +265,12 @@ def _stream_ad_daily_area_top3_json(spark: SparkSession, sf_dir: str) -> DataFra
     return ads.ad_daily_area_top_json(_stream_ad_daily_area_top3(spark, sf_dir))
 
 
+def _stream_ad_daily_area_top3_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query of two chained aggregates: closed days from its files, open ones from its state."""
+    base = _stream_run(spark, sf_dir, "area_rollup", lambda c, b, o: rollup.start_area_rollup(c, f"{b}/area_counts", o, AD))
+    return rollup.read_area_top(spark, f"{base}/area_counts", f"{base}/checkpoint", AD.top_ads)
+
+
 def _stream_ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _stream_run(
         spark, sf_dir, "blacklist",
@@ -370,6 +376,7 @@ _QUERIES: dict[str, QueryFn] = {
     "stream_ad_daily_city_counts": _stream_ad_daily_city_counts,
     "stream_ad_daily_area_top3": _stream_ad_daily_area_top3,
     "stream_ad_daily_area_top3_json": _stream_ad_daily_area_top3_json,
+    "stream_ad_daily_area_top3_chained": _stream_ad_daily_area_top3_chained,
     "stream_ad_blacklist": _stream_ad_blacklist,
     "stream_ad_blacklist_exact": _stream_ad_blacklist_exact,
     "stream_ad_clicks_clean": _stream_ad_clicks_clean,
@@ -434,6 +441,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_ad_daily_city_counts": o.ad_daily_city_counts(),
         "stream_ad_daily_area_top3": o.ad_daily_area_top(AD.top_ads),
         "stream_ad_daily_area_top3_json": o.ad_daily_area_top_json(AD.top_ads),
+        "stream_ad_daily_area_top3_chained": o.ad_daily_area_top(AD.top_ads),
         "stream_ad_blacklist": o.ad_blacklist_users(AD.blacklist_threshold),
         "stream_ad_blacklist_exact": o.ad_blacklist_moments(AD.blacklist_threshold),
         "stream_ad_clicks_clean": o.ad_clicks_clean_fields(AD.blacklist_threshold),

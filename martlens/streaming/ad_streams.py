@@ -27,12 +27,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from martlens.operators import ads
 from martlens.params import AdParams
 from martlens.sources import adlog
-from martlens.streaming.snapshot import SnapshotTable, path_exists  # noqa: F401 (re-exported)
+from martlens.streaming.snapshot import SnapshotTable, last_committed, path_exists
 
 DAY_FMT = "yyyy-MM-dd"
 MINUTE_FMT = "yyyy-MM-dd HH:mm"
@@ -71,14 +71,18 @@ def click_stream(
 
 
 def _start(df: DataFrame, fn, opts: StreamOptions, mode: str = "update") -> StreamingQuery:
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", opts.checkpoint).foreachBatch(fn)
+    return launch(df.sparkSession, df.writeStream.outputMode(mode).foreachBatch(fn), opts)
+
+
+def launch(spark: SparkSession, w: DataStreamWriter, opts: StreamOptions) -> StreamingQuery:
+    """Start a stream's writer with the checkpoint, name, trigger and state partitions of ``opts``."""
+    w = w.option("checkpointLocation", opts.checkpoint)
     if opts.query_name:
         w = w.queryName(opts.query_name)
     w = w.trigger(availableNow=True) if opts.available_now else w.trigger(processingTime=opts.processing_time)
     if not opts.state_partitions:
         return w.start()
     # The query clones the session conf when it is created, so the setting applies to it only.
-    spark = df.sparkSession
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     spark.conf.set(key, str(int(opts.state_partitions)))
@@ -185,6 +189,22 @@ def close_days(spark: SparkSession, sink: SnapshotTable, out_path: str, before:
     return spark.read.schema(closed.schema).parquet(out_path)
 
 
+def fold_counts(spark: SparkSession, sink: SnapshotTable, path: str, checkpoint: str) -> SnapshotTable:
+    """A new table at ``path`` with ``sink``'s totals, late rows and frontier of all committed batches, one folder each.
+
+    A job for between two runs: the next run of ``checkpoint`` is given the table that this returns.
+    """
+    upto = last_committed(spark, checkpoint)
+    if upto is None:
+        raise ValueError(f"{checkpoint} has no committed batch")
+    new = sink.fold(spark, path, upto)
+    late = read_late(spark, sink)
+    if late is not None:
+        late.filter(F.col("batch_id") <= F.lit(upto)).drop("batch_id").write.parquet(f"{late_path(new)}/batch_id={upto}")
+    _move_frontier(spark, new, upto, _frontier(spark, sink, upto + 1))
+    return new
+
+
 # ---------------------------------------------------------------- R8: running day x area x city x ad
 def daily_city_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> DataFrame:
     """Update rows (day, area, city, ad_id, clicks) of a per-day running count."""
@@ -196,8 +216,9 @@ def daily_city_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -
     return agg.select(F.date_format("w.start", DAY_FMT).alias("day"), "area", "city", "ad_id", "clicks")
 
 
-def city_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
-    return SnapshotTable(path, ["day", "area", "city", "ad_id"], partition_by=["day"], compact_every=compact_every)
+def city_counts_table(path: str) -> SnapshotTable:
+    return SnapshotTable(path, ["day", "area", "city", "ad_id"], partition_by=["day"],
+                         schema="day STRING, area STRING, city STRING, ad_id BIGINT, clicks BIGINT")
 
 
 def start_daily_city_counts(
@@ -207,10 +228,9 @@ def start_daily_city_counts(
 
 
 # ---------------------------------------------------------------- R9: top ads per day x area
-def top_ads_table(path: str, compact_every: int = 100) -> SnapshotTable:
-    return SnapshotTable(
-        path, ["day", "area", "ad_id"], partition_by=["day"], groups=["day", "area"], compact_every=compact_every
-    )
+def top_ads_table(path: str) -> SnapshotTable:
+    return SnapshotTable(path, ["day", "area", "ad_id"], partition_by=["day"], groups=["day", "area"],
+                         schema="day STRING, area STRING, ad_id BIGINT, clicks BIGINT, rk INT")
 
 
 def start_daily_area_top(
@@ -243,8 +263,9 @@ def user_ad_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> D
     return agg.select("user_id", "ad_id", F.date_format("w.start", DAY_FMT).alias("day"), "clicks")
 
 
-def user_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
-    return SnapshotTable(path, ["user_id", "ad_id", "day"], partition_by=["day"], compact_every=compact_every)
+def user_counts_table(path: str) -> SnapshotTable:
+    return SnapshotTable(path, ["user_id", "ad_id", "day"], partition_by=["day"],
+                         schema="user_id BIGINT, ad_id BIGINT, day STRING, clicks BIGINT, firsts ARRAY<STRUCT<ts: TIMESTAMP, line: STRING>>")
 
 
 def blacklist_table(path: str) -> SnapshotTable:
@@ -421,8 +442,8 @@ def minute_counts_stream(clicks: DataFrame, params: AdParams = AdParams()) -> Da
     return agg.select("ad_id", F.date_format("w.start", MINUTE_FMT).alias("minute"), "clicks")
 
 
-def minute_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
-    return SnapshotTable(path, ["day", "ad_id", "minute"], partition_by=["day"], compact_every=compact_every)
+def minute_counts_table(path: str) -> SnapshotTable:
+    return SnapshotTable(path, ["day", "ad_id", "minute"], partition_by=["day"], schema="day STRING, ad_id BIGINT, minute STRING, clicks BIGINT")
 
 
 def start_minute_counts(
@@ -444,8 +465,8 @@ def read_minute_trend(spark: SparkSession, sink: SnapshotTable, window: str = "1
     return recent.filter(F.to_timestamp("minute", MINUTE_FMT) > edge).select("ad_id", "minute", "clicks")
 
 
-def bucket_counts_table(path: str, compact_every: int = 100) -> SnapshotTable:
-    return SnapshotTable(path, ["day", "ad_id", "bucket"], partition_by=["day"], compact_every=compact_every)
+def bucket_counts_table(path: str) -> SnapshotTable:
+    return SnapshotTable(path, ["day", "ad_id", "bucket"], partition_by=["day"], schema="day STRING, ad_id BIGINT, bucket BIGINT, clicks BIGINT")
 
 
 def start_sliding_counts(

@@ -7,27 +7,18 @@ failure rewrites the same partition, so the sink is idempotent. Readers take, pe
 of the newest batch (``max_by``), or, for tables where a group owns several rows (the top ads of
 a day and area), all rows of the newest batch that wrote the group.
 
-``compact`` folds old batches into the partition of the newest of them without ever deleting rows
-that exist nowhere else: the fold is written to a hidden folder, published by one rename, and only
-then replaces the folded partitions. Whoever opens the table next finishes a replacement that was
-broken off; a fold that failed before its rename is ignored and written anew.
+These are plain parquet folders. ``fold`` is an ordinary job that writes the newest rows to a new
+table; the old one stays as it is, and the next run of the stream is given the new one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 BATCH_COL = "batch_id"
-# a leading underscore: never listed as data
-SCHEMA_FILE = "_schema.json"
-FOLD = "_fold-"  # being written
-READY = "_ready-"  # complete, about to replace what it folds
 
 
 def _fs(spark: SparkSession, path: str):
@@ -41,40 +32,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _finish_folds(spark: SparkSession, path: str) -> None:
-    """Put each published fold in the place of the partitions that it holds; safe to repeat."""
-    fs, p = _fs(spark, path)
-    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
-    for base in sorted(int(n[len(READY):]) for n in names if n.startswith(READY)):
-        for name in names:
-            batch = name.removeprefix(f"{BATCH_COL}=")
-            if batch != name and batch.isdigit() and int(batch) <= base:
-                fs.delete(_fs(spark, f"{path}/{name}")[1], True)
-        if not fs.rename(_fs(spark, f"{path}/{READY}{base}")[1], _fs(spark, f"{path}/{BATCH_COL}={base}")[1]):
-            raise OSError(f"cannot put fold {base} of {path} in place")
-
-
-def _batch_ids(spark: SparkSession, path: str) -> list[int]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    _finish_folds(spark, path)
-    ids = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{BATCH_COL}="):
-            try:
-                ids.append(int(name.split("=", 1)[1]))
-            except ValueError:
-                continue
-    return sorted(ids)
+def last_committed(spark: SparkSession, checkpoint: str) -> int | None:
+    """Id of the last batch that the query of ``checkpoint`` committed; a later one is run again."""
+    path = f"{checkpoint.rstrip('/')}/commits"
+    if not path_exists(spark, path):
+        return None
+    return spark.read.text(path).agg(F.max(F.col("_metadata.file_name").try_cast("bigint"))).first()[0]
 
 
 class SnapshotTable:
     """A parquet table of per-batch update rows under ``path``.
 
     ``keys`` identify one result row; ``partition_by`` (e.g. ``day``) lets a batch that touches a
-    few days read and rewrite only those (partition pruning / dynamic partition pruning).
+    few days read only those (partition pruning). ``schema``: the row's columns as DDL; a partitioned table
+    needs it to be read while all its batches are empty, since those leave no file.
     """
 
     def __init__(
@@ -83,79 +54,34 @@ class SnapshotTable:
         keys: Sequence[str],
         partition_by: Sequence[str] = (),
         groups: Sequence[str] | None = None,
-        compact_every: int = 0,
+        schema: str | None = None,
     ):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.partition_by = list(partition_by)
         self.groups = list(groups) if groups else None  # multi-row results: newest batch per group
-        self.compact_every = int(compact_every)
-
-    # ---------------------------------------------------------------- schema
-    def _schema_path(self) -> str:
-        return f"{self.path}/{SCHEMA_FILE}"
-
-    def _save_schema(self, spark: SparkSession, schema: StructType) -> None:
-        """Record the row schema once: an all-empty partitioned table has no file to infer it from."""
-        fs, p = _fs(spark, self._schema_path())
-        if fs.exists(p):
-            return
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(schema.json().encode("utf-8")))
-        finally:
-            out.close()
-
-    def schema(self, spark: SparkSession) -> StructType | None:
-        fs, p = _fs(spark, self._schema_path())
-        if not fs.exists(p):
-            return None
-        jvm = spark._jvm
-        stream = fs.open(p)
-        try:
-            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return StructType.fromJson(json.loads(text))
+        self.schema = schema
 
     # ---------------------------------------------------------------- writing
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Overwrite partition ``batch_id`` with this batch's rows (idempotent on replay)."""
-        self._save_schema(df.sparkSession, df.schema)
-        if self.partition_by:
-            # Rows of a day meet in few files; AQE splits a day that is too large for one writer.
-            df = df.hint("rebalance", *self.partition_by)
-        self._write(df, f"{BATCH_COL}={int(batch_id)}")
-        if self.compact_every and batch_id > 1 and batch_id % self.compact_every == 0:
-            # Only committed batches (< batch_id) are folded: a replay of this batch rewrites
-            # its own partition and can never overwrite folded rows.
-            self.compact(df.sparkSession, upto=batch_id - 1, group=self.groups)
-
-    def _write(self, df: DataFrame, folder: str) -> None:
         w = df.write.mode("overwrite")
         if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.path}/{folder}")
+            # Rows of a day meet in few files; AQE splits a day that is too large for one writer.
+            w = df.hint("rebalance", *self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by)
+        w.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
     # ---------------------------------------------------------------- reading
     def exists(self, spark: SparkSession) -> bool:
-        return bool(_batch_ids(spark, self.path))
+        return path_exists(spark, self.path)
 
     def raw(self, spark: SparkSession) -> DataFrame:
-        """All batch rows, read with the recorded schema (partition columns keep their types)."""
-        _finish_folds(spark, self.path)
-        schema = self.schema(spark)
-        if schema is not None:
-            full = StructType([*schema.fields, StructField(BATCH_COL, LongType())])
-            return spark.read.schema(full).option("basePath", self.path).parquet(self.path)
-        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        before = spark.conf.get(key)
-        spark.conf.set(key, "false")
-        try:
-            df = spark.read.option("basePath", self.path).parquet(self.path)
-        finally:
-            spark.conf.set(key, before)
-        return df.withColumn(BATCH_COL, F.col(BATCH_COL).cast("bigint"))
+        """All batch rows with the batch that wrote them; partition columns are texts."""
+        reader = spark.read.option("basePath", self.path)
+        if self.schema:
+            return reader.schema(f"{self.schema}, {BATCH_COL} BIGINT").parquet(self.path)
+        texts = {c: F.col(c).cast("string") for c in self.partition_by}
+        return reader.parquet(self.path).withColumns({**texts, BATCH_COL: F.col(BATCH_COL).cast("bigint")})
 
     def latest(self, spark: SparkSession, where: Column | None = None) -> DataFrame:
         """One row per key: the values written by the newest batch (partial + final aggregate).
@@ -172,36 +98,27 @@ class SnapshotTable:
         )
         return newest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])
 
-    def latest_groups(self, spark: SparkSession, group: Sequence[str]) -> DataFrame:
+    def latest_groups(self, spark: SparkSession, group: Sequence[str], where: Column | None = None) -> DataFrame:
         """All rows of the newest batch that wrote each ``group`` (multi-row results)."""
         raw = self.raw(spark)
+        if where is not None:
+            raw = raw.filter(where)
         newest = F.max(BATCH_COL).over(Window.partitionBy(*group))
         return raw.withColumn("_newest", newest).filter(F.col(BATCH_COL) == F.col("_newest")).drop(
             "_newest", BATCH_COL
         )
 
     # ---------------------------------------------------------------- maintenance
-    def compact(self, spark: SparkSession, upto: int | None = None, group: Sequence[str] | None = None) -> int | None:
-        """Fold batches ``<= upto`` into partition ``batch_id=<upto>``; returns the base id."""
-        ids = _batch_ids(spark, self.path)
-        if upto is not None:
-            ids = [i for i in ids if i <= upto]
-        if len(ids) < 2:
-            return ids[-1] if ids else None
-        base = ids[-1]
-        raw = self.raw(spark).filter(F.col(BATCH_COL) <= F.lit(base))
-        if group:
-            newest = F.max(BATCH_COL).over(Window.partitionBy(*group))
-            folded = raw.withColumn("_n", newest).filter(F.col(BATCH_COL) == F.col("_n")).drop("_n")
-        else:
-            values = [c for c in raw.columns if c not in self.keys and c != BATCH_COL]
-            folded = raw.groupBy(*self.keys).agg(
-                F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("v")
-            ).select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])
-        folded = folded.drop(BATCH_COL)
-        self._write(folded.hint("rebalance", *self.partition_by) if self.partition_by else folded, f"{FOLD}{base}")
-        fs, fold = _fs(spark, f"{self.path}/{FOLD}{base}")
-        if not fs.rename(fold, _fs(spark, f"{self.path}/{READY}{base}")[1]):
-            raise OSError(f"cannot publish fold {base} of {self.path}")
-        _finish_folds(spark, self.path)
-        return base
+    def fold(self, spark: SparkSession, path: str, upto: int) -> SnapshotTable:
+        """The newest rows of the batches up to ``upto`` as batch ``upto`` of a new table at ``path``.
+
+        ``upto`` must be committed (:func:`last_committed`): a batch that is run again writes its rows anew.
+        Run it while the stream is stopped and start the stream again, from the same checkpoint, on the new table.
+        """
+        if path_exists(spark, path):
+            raise ValueError(f"{path} exists; a fold writes a new table")
+        old = F.col(BATCH_COL) <= F.lit(int(upto))
+        rows = self.latest_groups(spark, self.groups, old) if self.groups else self.latest(spark, old)
+        new = SnapshotTable(path, self.keys, self.partition_by, self.groups, self.schema)
+        new.write_batch(rows, upto)
+        return new

@@ -10,7 +10,7 @@ from martlens.params import AdParams
 from martlens.sources import adlog, fixtures
 from martlens.streaming import ad_streams as st
 from martlens.streaming import replay
-from martlens.streaming.snapshot import SnapshotTable
+from martlens.streaming.snapshot import SnapshotTable, last_committed
 
 AD = AdParams(blacklist_threshold=2)
 
@@ -144,7 +144,7 @@ def test_late_file_beyond_watermark_is_kept(spark, scratch):
     assert {r.day: r.clicks for r in whole.collect()} == {"2024-01-01": 4, "2024-01-03": 1}
 
 
-def test_snapshot_replay_is_idempotent_and_compaction_keeps_latest(spark, scratch):
+def test_snapshot_replay_is_idempotent_and_a_fold_keeps_latest(spark, scratch):
     t = SnapshotTable(f"{scratch}/snap", ["k"], partition_by=["day"])
     mk = lambda rows: spark.createDataFrame(rows, "k STRING, day STRING, v BIGINT")
     t.write_batch(mk([("a", "d1", 1), ("b", "d1", 1)]), 0)
@@ -152,10 +152,14 @@ def test_snapshot_replay_is_idempotent_and_compaction_keeps_latest(spark, scratc
     t.write_batch(mk([("a", "d1", 2)]), 1)  # replay of batch 1
     t.write_batch(mk([("b", "d2", 5)]), 2)
     want = {("a", "d1", 2), ("b", "d2", 5)}
-    assert {tuple(r) for r in t.latest(spark).select("k", "day", "v").collect()} == want
-    assert t.compact(spark) == 2
-    assert {tuple(r) for r in t.latest(spark).select("k", "day", "v").collect()} == want
-    assert t.raw(spark).select("batch_id").distinct().count() == 1
+    rows = lambda t: {tuple(r) for r in t.latest(spark).select("k", "day", "v").collect()}
+    assert rows(t) == want
+    new = t.fold(spark, f"{scratch}/folded", upto=2)
+    assert rows(new) == want == rows(t)
+    assert new.raw(spark).select("batch_id").distinct().count() == 1 and t.raw(spark).select("batch_id").distinct().count() == 3
+    assert rows(t.fold(spark, f"{scratch}/first", upto=1)) == {("a", "d1", 2), ("b", "d1", 1)}  # batch 2 is not committed yet
+    with pytest.raises(ValueError):
+        t.fold(spark, f"{scratch}/first", upto=2)
 
 
 def test_realtime_app_on_text_files(spark, scratch):
@@ -176,17 +180,29 @@ def test_realtime_app_on_text_files(spark, scratch):
     assert spark.read.parquet(t.clean_clicks).count() <= 12
 
 
-def test_auto_compaction_during_stream(spark, scratch, small):
+def test_a_run_goes_on_with_folded_tables(spark, scratch, small):
+    """After the second of five drops, which leaves an uncommitted batch too, the next runs are given folded tables."""
     lines, clicks = small
-    city = st.city_counts_table(f"{scratch}/cc", compact_every=2)
-    top = st.top_ads_table(f"{scratch}/top", compact_every=2)
-    _drain(spark, lines, scratch, 5, lambda c, o: st.start_daily_area_top(c, city, top, o, AD))
+    tables = [st.city_counts_table(f"{scratch}/cc"), st.top_ads_table(f"{scratch}/top")]
+    ckpt, runs = f"{scratch}/checkpoint", []
+
+    def run(watched):
+        if len(runs) == 2:
+            upto = last_committed(spark, ckpt)
+            city, top = tables
+            city.write_batch(city.latest(spark).withColumn("clicks", F.col("clicks") * 100), upto + 1)  # written, never committed
+            tables[:] = [st.fold_counts(spark, city, f"{scratch}/cc2", ckpt), top.fold(spark, f"{scratch}/top2", upto)]
+        runs.append(watched)
+        return st.start_daily_area_top(st.click_stream(spark, watched), *tables, st.StreamOptions(checkpoint=ckpt, available_now=True), AD)
+
+    replay.run_in_drops(spark, lines, scratch, 5, run)
+    city, top = tables
     cols = ["day", "area", "ad_id", "clicks", "rk"]
     batch_top = ads.ad_daily_area_top(ads.ad_daily_city_counts(clicks), 3)
     assert _rows(st.read_daily_area_top(spark, top), cols) == _rows(batch_top, cols)
-    assert city.raw(spark).select("batch_id").distinct().count() < 5  # folded
+    assert city.path.endswith("cc2") and city.raw(spark).select("batch_id").distinct().count() <= 4
     cc = ["day", "area", "city", "ad_id", "clicks"]
-    assert _rows(city.latest(spark), cc) == _rows(ads.ad_daily_city_counts(clicks), cc)
+    assert _rows(st.read_counts(spark, city), cc) == _rows(ads.ad_daily_city_counts(clicks), cc)
 
 
 def _exact(spark, lines, base, drops):
@@ -304,7 +320,7 @@ def test_command_line_realtime(spark, scratch, small):
 
 
 def test_snapshot_with_only_empty_batches_is_readable(spark, scratch):
-    t = SnapshotTable(f"{scratch}/e", ["k"], partition_by=["day"])
+    t = SnapshotTable(f"{scratch}/e", ["k"], partition_by=["day"], schema="k STRING, day STRING, v BIGINT")
     empty = spark.createDataFrame([], "k STRING, day STRING, v BIGINT")
     t.write_batch(empty, 0)  # a partitioned empty write leaves no data file
     assert t.latest(spark).count() == 0 and t.raw(spark).schema["day"].dataType.simpleString() == "string"
@@ -335,27 +351,22 @@ def test_reading_blacklists_before_any_batch(spark, scratch):
     assert st.read_clean_clicks(spark, f"{scratch}/none3").count() == 0
 
 
-def test_failed_fold_loses_nothing_and_a_broken_off_one_is_finished(spark, scratch, monkeypatch):
-    from martlens.streaming import snapshot
-
-    t = snapshot.SnapshotTable(f"{scratch}/t", keys=["k"], partition_by=["day"])
-    for b in range(3):
-        rows = spark.range(10 * b, 10 * b + 10).selectExpr("id AS k", "'2024-01-01' AS day", f"{b} AS v")
-        t.write_batch(rows, b)
-
-    def fails(self, df, folder):
-        raise OSError("disk full")
-
-    with monkeypatch.context() as m:
-        m.setattr(snapshot.SnapshotTable, "_write", fails)
-        with pytest.raises(OSError):
-            t.compact(spark)
-    assert t.latest(spark).count() == 30
-    with monkeypatch.context() as m:
-        m.setattr(snapshot, "_finish_folds", lambda spark, path: None)
-        t.compact(spark)  # published, but ends before anything is replaced
-    assert t.latest(spark).count() == 30 and snapshot._batch_ids(spark, t.path) == [2]
-    assert t.latest(spark).count() == 30
+def test_a_fold_keeps_late_rows_and_the_frontier(spark, scratch):
+    t0 = 1_704_067_200_000  # 2024-01-01
+    day = 86_400_000
+    line = lambda at: (f"{at} AREA c 7 1",)
+    sink, ckpt = st.city_counts_table(f"{scratch}/cc"), f"{scratch}/ck"
+
+    def drop(sink, tag, rows):
+        replay.land(spark, spark.createDataFrame(rows, adlog.AD_LINE_SCHEMA), f"{scratch}/stage", f"{scratch}/in", tag)
+        st.drain(st.start_daily_city_counts(st.click_stream(spark, f"{scratch}/in"), sink, st.StreamOptions(checkpoint=ckpt, available_now=True), AD))
+
+    drop(sink, "a", [line(t0), line(t0 + 5 * day)])
+    drop(sink, "b", [line(t0 + 1000)])  # late
+    new = st.fold_counts(spark, sink, f"{scratch}/cc2", ckpt)
+    drop(new, "c", [line(t0 + 2000), line(t0 + 5 * day + 1000)])  # late by the frontier that the fold carried over
+    assert {r.day: r.clicks for r in st.read_counts(spark, new).collect()} == {"2024-01-01": 3, "2024-01-06": 2}
+    assert st.read_late(spark, new).count() == 2
 
 
 def test_one_day_batch_is_split_between_writers(spark, scratch):
