@@ -12,17 +12,15 @@ Scale notes
   collected and sorted, then per session only the pieces (one per active minute, more for a hot
   minute, which ``operators.segments`` cuts into ordered ranges) are concatenated in order.
   Sorting work spreads over the pieces, whatever share of all actions one minute holds.
-* The sample keeps at most ``size`` sessions in total; ``row_number() <= size`` is a literal
-  bound, so Catalyst inserts a partial ``WindowGroupLimit`` before the day-hour shuffle and a
-  hot hour ships at most ``size`` rows per map task. The exact per-hour quota is applied after;
-  the quota's total is summed over the per-hour frame (24 rows per day of data). Lists are
-  built only for the sampled sessions (a broadcast semi-join bounded by ``size``).
+* The sample never orders an hour. Sessions are counted per (hour, first hex digits of their seeded
+  digest), at most 4,096 blocks an hour, combined before the shuffle; running sums over an hour's blocks
+  find the one block in which its quota ends. Blocks before it are taken whole, later ones left, and only
+  the sessions of taken blocks are shuffled and ordered, each block by itself. The plan is the same for
+  any ``size``. The quota's total is summed over the per-hour frame (24 rows per day of data).
 """
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -163,6 +161,13 @@ def session_summary(visits: DataFrame, counted: DataFrame | None = None, **segme
     )
 
 
+def _with_quota(hours: DataFrame, sample: SampleParams) -> DataFrame:
+    total = F.sum("sessions").over(Window.partitionBy())
+    return hours.withColumn("total", total).selectExpr(
+        "day_hour", "sessions", f"(CAST({int(sample.size)} AS BIGINT) * sessions) div total AS quota"
+    )
+
+
 def session_hour_quota(stats: DataFrame, sample: SampleParams = SampleParams()) -> DataFrame:
     """Per day-hour of session start: sessions and quota = size * sessions div total (BIGINT).
 
@@ -172,10 +177,7 @@ def session_hour_quota(stats: DataFrame, sample: SampleParams = SampleParams())
     hours = stats.groupBy(day_hour_of_text("start_time").alias("day_hour")).agg(
         F.count(F.lit(1)).alias("sessions")
     )
-    total = F.sum("sessions").over(Window.partitionBy())
-    return hours.withColumn("total", total).selectExpr(
-        "day_hour", "sessions", f"(CAST({int(sample.size)} AS BIGINT) * sessions) div total AS quota"
-    )
+    return _with_quota(hours, sample)
 
 
 def sample_order(seed: str) -> Column:
@@ -183,25 +185,37 @@ def sample_order(seed: str) -> Column:
     return F.md5(F.concat_ws(":", F.col("session_id"), F.lit(seed)))
 
 
+#: Leading hex digits of a session's digest that make its block.
+BLOCK_DIGITS = 3
+#: Sample sizes whose session ids are broadcast (some 64 MB at most); a larger sample is joined as the planner decides.
+BROADCAST_SAMPLE = 1_000_000
+
+
+def sample_candidates(stats: DataFrame, sample: SampleParams = SampleParams()) -> DataFrame:
+    """(session_id, day_hour, block, cut, rest): the sessions of the blocks that an hour's quota reaches.
+
+    ``cut`` is the block in which the quota ends and ``rest`` what it takes of that block; both are null
+    in an hour that is taken whole.
+    """
+    placed = stats.select(
+        "session_id", day_hour_of_text("start_time").alias("day_hour"), F.substring(sample_order(sample.seed), 1, BLOCK_DIGITS).alias("block")
+    )
+    blocks = placed.groupBy("day_hour", "block").agg(F.count(F.lit(1)).alias("n"))
+    quota = _with_quota(blocks.groupBy("day_hour").agg(F.sum("n").alias("sessions")), sample).select("day_hour", "quota")
+    earlier = Window.partitionBy("day_hour").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = blocks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(quota, "day_hour")
+    ends = ends.filter((F.col("before") <= F.col("quota")) & (F.col("before") + F.col("n") > F.col("quota")))
+    cuts = ends.select("day_hour", F.col("block").alias("cut"), (F.col("quota") - F.col("before")).alias("rest"))
+    return placed.join(cuts, "day_hour", "left").filter(F.col("cut").isNull() | (F.col("block") <= F.col("cut")))
+
+
 def session_sample(visits: DataFrame, sample: SampleParams = SampleParams()) -> DataFrame:
     """Sampled sessions: per day-hour the first ``min(quota, sessions)`` by the seeded order."""
-    limit_conf = "spark.sql.optimizer.windowGroupLimitThreshold"
-    threshold = int(visits.sparkSession.conf.get(limit_conf, "1000"))
-    if sample.size > threshold:
-        warnings.warn(
-            f"sample size {sample.size} exceeds {limit_conf}={threshold}: no partial limit before the "
-            "day-hour shuffle (see martlens.session.cluster_conf)",
-            stacklevel=2,
-        )
-    stats = session_stats(visits).withColumn("day_hour", day_hour_of_text("start_time"))
-    quota = session_hour_quota(stats, sample).select("day_hour", "quota")
-    w = Window.partitionBy("day_hour").orderBy(sample_order(sample.seed), F.col("session_id"))
-    ranked = (
-        stats.select("session_id", "day_hour", F.row_number().over(w).alias("sample_rank"))
-        .filter(F.col("sample_rank") <= F.lit(int(sample.size)))
-    )
-    picked = ranked.join(quota, "day_hour").filter(F.col("sample_rank") <= F.col("quota"))
-    # At most ``sample.size`` rows by construction: a bounded broadcast.
-    chosen = visits.join(F.broadcast(picked.select("session_id")), "session_id", "left_semi")
+    near = sample_candidates(session_stats(visits), sample)
+    w = Window.partitionBy("day_hour", "block").orderBy(sample_order(sample.seed), F.col("session_id"))
+    whole = F.col("cut").isNull() | (F.col("block") < F.col("cut"))
+    picked = near.withColumn("place", F.row_number().over(w)).filter(whole | (F.col("place") <= F.col("rest"))).select("session_id")
+    # At most ``sample.size`` ids by construction.
+    chosen = visits.join(F.broadcast(picked) if sample.size <= BROADCAST_SAMPLE else picked, "session_id", "left_semi")
     summary = session_summary(chosen, counted=visits)  # hot minutes are looked for without drawing the sample twice
     return summary.select(day_hour_of_text("start_time").alias("day_hour"), *summary.columns)

@@ -1,10 +1,13 @@
 """Physical-plan checks: no Python in any plan, top-k as group limits, pruning."""
 
+import re
+
 import pytest
 
 from conftest import SF_SMALL
+from martlens.operators import sessions
 from martlens.operators.visits import visits_filtered
-from martlens.params import VisitFilter
+from martlens.params import SampleParams, VisitFilter
 from martlens.plans import registry
 from martlens.sources import fixtures
 
@@ -29,7 +32,6 @@ def test_no_python_in_plan(spark, key):
         ("category_session_top10", "row_number"),
         ("ad_blacklist", "row_number"),
         ("ad_daily_area_top3", "row_number"),
-        ("session_sample", "row_number"),
     ],
 )
 def test_top_k_uses_partial_window_group_limit(spark, key, limit):
@@ -37,6 +39,12 @@ def test_top_k_uses_partial_window_group_limit(spark, key, limit):
     assert "WindowGroupLimit" in p and "Partial" in p and limit in p
 
 
+def test_sample_has_one_plan_for_any_size(spark):
+    visits = registry._filtered(spark, SF_SMALL)
+    shape = lambda size: re.sub(r"[0-9]+L?", "", plan(sessions.session_sample(visits, SampleParams(size=size))))
+    assert shape(1000) == shape(1_000_000)
+
+
 def test_global_top_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(registry.QUERIES["category_top10"](spark, SF_SMALL))
 
@@ -63,6 +71,27 @@ def test_scan_reads_only_needed_columns(spark):
     assert "In(c_mktsegment" in customer  # profession filter pushed into the dimension scan
 
 
+def test_visits_of_a_large_log_are_cut_by_a_filter_from_the_user_side(spark):
+    """Where neither side is small, the profession filter reaches the action scan as a runtime Bloom filter."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        t = fixtures.load(spark, SF_SMALL)
+        df = visits_filtered(t.visits_between(registry.FILTER.start_date, registry.FILTER.end_date), t.users, registry.FILTER)
+        assert "might_contain" in plan(df)
+        n = df.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert n == registry.QUERIES["visits_filtered"](spark, SF_SMALL).count()
+
+
 def test_city_dimension_is_broadcast(spark):
     p = plan(registry.QUERIES["area_product_clicks"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p and "BuildRight" in p
