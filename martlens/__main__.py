@@ -7,7 +7,7 @@
 Shop tables come from a folder of base tables, from a folder written by ``fixtures.materialize`` or from
 a catalog database; ad lines from text files or a Kafka topic (with the connector on the classpath).
 Results go to parquet folders under ``--out`` (one per result table) or, with ``--jdbc-url``,
-are appended to JDBC tables. The session comes from ``SparkSession.builder.getOrCreate()``, so
+become the task's rows in JDBC tables (a repeated ``--task-id`` replaces them). The session comes from ``SparkSession.builder.getOrCreate()``, so
 cluster settings (master, ``spark.checkpoint.dir``, sizing from ``session.cluster_conf``) are
 the submitter's.
 """
@@ -28,7 +28,8 @@ from martlens.streaming.app import start_realtime
 
 def _sink(args):
     if args.jdbc_url:
-        return lambda name, df: sinks.append_jdbc(df, args.jdbc_url, name)
+        args.task_id = args.task_id or sinks.new_task_id()
+        return lambda name, df: sinks.publish_jdbc(df, args.jdbc_url, name, args.task_id)
 
     def to_folder(name: str, df: DataFrame) -> None:
         sinks.replace_table(df, path=f"{args.out.rstrip('/')}/{name}")
@@ -88,14 +89,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     if args.cmd in ("offline", "area") and not (args.out or args.jdbc_url):
         ap.error("--out or --jdbc-url is required")
     if args.cmd == "offline":
-        tables = _tables(spark, args)
+        tables, sink = _tables(spark, args), _sink(args)
         return offline_job.run_offline(
-            spark, tables, args.condition, _sink(args), task_id=args.task_id, original_columns=args.original_columns
+            spark, tables, args.condition, sink, task_id=args.task_id, original_columns=args.original_columns
         )
     if args.cmd == "area":
-        tables = _tables(spark, args)
+        tables, sink = _tables(spark, args), _sink(args)
         df = offline_job.area_report(tables, task_id=args.task_id)
-        _sink(args)(offline_job.AREA_TOP_TABLE, df)
+        sink(offline_job.AREA_TOP_TABLE, df)
         return None
     if args.topic:
         lines = adlog.read_kafka_lines(spark, args.servers, args.topic, max_offsets_per_trigger=args.max_offsets)

@@ -5,18 +5,23 @@
 * ``append_jdbc``: DataFrame JDBC append; executors write their partitions, one connection per
   partition, ``batchsize`` rows per round trip. The original's single and batched prepared
   inserts (which printed and swallowed errors) are the same call: errors propagate here.
+* ``publish_jdbc``: the same rows by way of a staging table and one transaction, so that a task
+  that is run twice, or whose Spark tasks are, leaves one set of rows.
 * ``with_task``: result tables start with the run's task id and, for the session-stage row, the
   condition JSON; both are parameters so reports stay deterministic.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlens.session import scratch_path
+
 
 def new_task_id() -> str:
     """A random id per run, chosen on the driver and passed down as a literal."""
@@ -113,9 +118,10 @@ def append_jdbc(
     properties: Mapping[str, str] | None = None,
     batchsize: int = 1000,
     num_partitions: int | None = None,
+    mode: str = "append",
 ) -> None:
     """Append ``df`` to a JDBC table; ``num_partitions`` caps concurrent connections."""
-    w = df.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
+    w = df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
     w = w.option("batchsize", str(int(batchsize)))
     if num_partitions:
         w = w.option("numPartitions", str(int(num_partitions)))
@@ -124,6 +130,91 @@ def append_jdbc(
     w.save()
 
 
+ROW_COL = "staged_row"
+KEY_TYPE = "VARCHAR(64)"
+
+
+def publish_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    task_id: str,
+    properties: Mapping[str, str] | None = None,
+    batchsize: int = 1000,
+    num_partitions: int | None = None,
+    attempts: int = 3,
+) -> int:
+    """Make ``df`` the rows of task ``task_id`` in a JDBC table; returns their number.
+
+    The first column of ``df`` holds the task id (:func:`with_task`). The rows are written once under the shared
+    checkpoint folder, numbered, and copied by executors to a staging table named after the task. A Spark task that is
+    retried can commit its rows there twice, so rows and distinct numbers are counted, and the copy is done anew, up
+    to ``attempts`` times, until both are right. One transaction then replaces the task's earlier rows by the staged
+    ones. A run that fails before it changes nothing that readers see; a run that is repeated changes nothing at all.
+    """
+    spark, key, props = df.sparkSession, df.columns[0], dict(properties or {})
+    path = scratch_path(spark, "jdbc", uuid.uuid4().hex)
+    df.write.parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    expected = rows.count()
+    if dict(df.dtypes)[key] == "string":
+        props["createTableColumnTypes"] = f"`{key}` {KEY_TYPE}"  # a text column is often a type that can't be compared
+    stage = f"{table}_stage_{hashlib.md5(task_id.encode()).hexdigest()[:12]}"
+    append_jdbc(rows.limit(0), url, table, props)  # creates the table if it is missing
+    numbered = rows.withColumn(ROW_COL, F.monotonically_increasing_id())
+    try:
+        for attempt in range(attempts):
+            append_jdbc(numbered, url, stage, props, batchsize, num_partitions, mode="overwrite")
+            n, distinct = read_jdbc(spark, url, stage, properties).agg(F.count(F.lit(1)), F.count_distinct(ROW_COL)).first()
+            if n == distinct == expected:
+                break
+        else:
+            raise RuntimeError(f"{stage} holds {n} rows, {distinct} of them distinct, in place of {expected}")
+        _replace_task_rows(spark, url, properties, table, stage, df.columns, task_id)
+    finally:
+        _run_statements(spark, url, properties, [(f"DROP TABLE {stage}", ())], missing_is_fine=True)
+    return expected
+
+
+def _replace_task_rows(spark, url, properties, table: str, stage: str, columns: Sequence[str], task_id: str) -> None:
+    def statements(quote: str):
+        names = ", ".join(f"{quote}{c}{quote}" for c in columns)
+        yield f"DELETE FROM {table} WHERE {quote}{columns[0]}{quote} = ?", (task_id,)
+        yield f"INSERT INTO {table} ({names}) SELECT {names} FROM {stage}", ()
+
+    _run_statements(spark, url, properties, statements)
+
+
+def _run_statements(spark, url: str, properties: Mapping[str, str] | None, statements, missing_is_fine: bool = False) -> None:
+    """Statements (text, parameters) in one transaction of one connection of the driver; rows don't pass through it."""
+    jvm = spark._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, v)
+    driver = props.getProperty("driver")
+    if driver:  # loaded the way Spark does, so that a jar given to the session is found
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        connection = loader.loadClass(driver).newInstance().connect(url, props)
+    else:
+        connection = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        connection.setAutoCommit(False)
+        quote = connection.getMetaData().getIdentifierQuoteString().strip()
+        for text, values in statements(quote) if callable(statements) else statements:
+            ready = connection.prepareStatement(text)
+            for i, value in enumerate(values):
+                ready.setString(i + 1, value)
+            ready.executeUpdate()
+            ready.close()
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        if not missing_is_fine:
+            raise
+    finally:
+        connection.close()
+
+
 def read_jdbc(spark, url: str, table: str, properties: Mapping[str, str] | None = None) -> DataFrame:
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():

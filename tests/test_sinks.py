@@ -49,6 +49,35 @@ def test_jdbc_append_twice_doubles(spark):
     assert sinks.read_jdbc(spark, DERBY, "t_append", DERBY_PROPS).count() == 10
 
 
+def test_a_task_published_twice_leaves_one_set_of_rows(spark, monkeypatch):
+    rows = lambda task, n: sinks.with_task(spark.range(n).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v")), task)
+    publish = lambda task, n: sinks.publish_jdbc(rows(task, n), DERBY, "t_publish", task, DERBY_PROPS)
+    got = lambda: sorted(tuple(r) for r in sinks.read_jdbc(spark, DERBY, "t_publish", DERBY_PROPS).collect())
+    want = lambda task, n: [(task, i, f"v{i}") for i in range(n)]
+    assert publish("one", 5) == 5 and publish("one", 5) == 5 and publish("two", 3) == 3
+    assert got() == want("one", 5) + want("two", 3)
+    assert publish("one", 0) == 0 and got() == want("two", 3)
+
+    # a Spark task that commits its rows to the staging table twice is noticed, and the copy is done anew
+    plain, copies = sinks.append_jdbc, []
+
+    def doubled(df, url, table, *args, mode="append", **kwargs):
+        plain(df, url, table, *args, mode=mode, **kwargs)
+        if "_stage_" in table:
+            copies.append(table)
+            if len(copies) == 1 or len(copies) > 2:
+                plain(df.limit(2), url, table, *args, **kwargs)
+
+    monkeypatch.setattr(sinks, "append_jdbc", doubled)
+    assert publish("three", 4) == 4 and len(copies) == 2
+    assert got() == want("three", 4) + want("two", 3)
+    with pytest.raises(RuntimeError):  # never right: nothing changes, and no staging table is left
+        publish("three", 1)
+    assert got() == want("three", 4) + want("two", 3)
+    with pytest.raises(Exception):
+        sinks.read_jdbc(spark, DERBY, copies[-1], DERBY_PROPS).count()
+
+
 def test_jdbc_errors_propagate(spark):
     df = spark.range(1).select(F.col("id").alias("k"))
     with pytest.raises(Exception):
@@ -173,6 +202,17 @@ def test_offline_run_to_jdbc(spark):
     assert rates.count() == 2
 
 
+def test_offline_run_repeated_on_the_command_line_keeps_one_set(spark):
+    from martlens.__main__ import main
+
+    url = "jdbc:derby:memory:martlens_cli;create=true"
+    args = ["offline", "--sf-dir", SF_SMALL, "--condition", json.dumps({"targetPageFlow": "1,2,3"}), "--jdbc-url", url, "--task-id", "again"]
+    for _ in range(2):
+        main(args, spark)
+    assert sinks.read_jdbc(spark, url, "page_convert_rate").count() == 2
+    assert sinks.read_jdbc(spark, url, "cate_top_10").count() == 10
+
+
 def test_materialized_tables_prune_dates_and_match(spark, scratch):
     from martlens.operators import sessions
     from martlens.operators.visits import visits_filtered
