@@ -105,6 +105,53 @@ def test_line_dedup_equals_all_pairs(spark, empty, edits):
     assert line_dedup.dedup_lines(empty, max_edits=edits).count() == 0
 
 
+def one_edit(a, b):
+    """Whether ``a`` and ``b`` are within one edit."""
+    a, b = sorted((a, b), key=len)
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return len(b) - len(a) <= 1 and a[i + (len(a) == len(b)) :] == b[i + 1 :]
+
+
+@pytest.mark.parametrize("crowd, pieces", [(64, 16), (1, 3)])
+def test_line_dedup_of_large_groups_of_near_copies(spark, crowd, pieces, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    monkeypatch.setattr(line_dedup, "PIECES", pieces)
+    rng = random.Random(5)
+    passage = words(rng, 12).split()
+    letters = [chr(0x4E00 + i) for i in range(120)]
+    lines = [f"one letter of this line is {c} and the others are the same" for c in letters]
+    lines += [f"this line is longer by {c} in some of its copies" for c in ["", *letters]]
+    lines += ["".join(rng.choice("ab") for _ in range(rng.randrange(6, 10))) for _ in range(150)] + ["", "a", "b", "ab"]
+    for _ in range(400):
+        changed = list(passage)
+        for _ in range(rng.randrange(1, 3)):
+            changed[rng.randrange(12)] += rng.choice(["", "x", "y", "new"])
+        lines.append(" ".join(changed))
+    rng.shuffle(lines)
+    counts, written = {}, line_dedup.written
+
+    def counted(df, name):
+        out = written(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", counted)
+    least = 20 if crowd == 64 else 0
+    texts = ["\n".join(lines[i : i + 7]) for i in range(0, len(lines), 7)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(table(spark, texts), min_chars=least).collect()}
+    seen = []
+    for i, t in enumerate(texts):
+        kept = []
+        for line in t.split("\n"):
+            if len(line) < least or not any(one_edit(line, o) for o in seen):
+                kept.append(line)
+            if len(line) >= least:
+                seen.append(line)
+        assert got[i] == "\n".join(kept)
+    if crowd == 64:
+        assert counts["line-pairs"] < 3 * len(lines)  # 15491 pairs of these 795 lines share a half
+
+
 @pytest.mark.parametrize("part", [4096, 2])
 def test_suffix_dedup_equals_brute_force(spark, empty, part, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PART", part)
