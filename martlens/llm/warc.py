@@ -7,7 +7,9 @@ records in one byte range each, so no archive is scanned.
 Each record is a gzip member of its own. Payloads that several pages share are written once: of
 equal payloads of at least ``REVISIT_BYTES`` bytes, the page with the largest id is the response
 and the others are revisit records that name it. Groups of equal payloads are found with a
-combinable ``max`` per digest, so thousands of copies of one page are no hot group.
+combinable ``max`` per digest, so thousands of copies of one page are no hot group. Shared digests
+are counted and, if few, broadcast: then no html is shuffled or sorted, and pages of any size stream
+through the tasks that read them.
 
 A task writes files under names of its own, and the index is written to the shared folder before
 it is used: a task that runs twice leaves an unused file, never a wrong row. Files are reached
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.llm.common import mapped, partitions, text_slices, written
+from martlens.llm.common import mapped, partitions, small_batches, text_slices, written
 from martlens.session import scratch_path
 
 REVISIT_BYTES = 1000
@@ -37,6 +39,8 @@ FILE_BYTES = 1 << 30
 RANGE_BYTES = 4 << 20
 GAP_BYTES = 64 << 10
 SLICE_BYTES = 4 << 20
+#: Shared digests up to which they are broadcast; with more, pages are joined with them.
+SHARED_ROWS = 100_000
 INDEX = "page_id long, url string, file string, offset long, length long, digest string, payload_bytes long, record_type string, refers_to long"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
 
@@ -73,6 +77,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     rows = rows.withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
     shared = (rows.filter(F.octet_length("html") >= REVISIT_BYTES).groupBy("digest")
               .agg(F.max("page_id").alias("response"), F.count("*").alias("n")).filter("n > 1 AND response IS NOT NULL").drop("n"))
+    shared = written(shared, "warc-shared")
+    few = shared.limit(SHARED_ROWS + 1).count() <= SHARED_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, at = filesystem(folder)
@@ -98,9 +104,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 out.close()
 
     schema = pa.schema([(n, pa.int64() if t == "long" else pa.string()) for n, t in (f.split() for f in INDEX.split(", "))])
-    joined = rows.join(shared, "digest", "left").select("page_id", "url", "html", "digest", "response")
+    joined = rows.join(F.broadcast(shared) if few else shared, "digest", "left").select("page_id", "url", "html", "digest", "response")
     filesystem_made(folder)
-    return written(mapped(joined, run, INDEX), "warc-index")
+    with small_batches(pages.sparkSession):
+        return written(mapped(joined, run, INDEX), "warc-index")
 
 
 def filesystem_made(folder: str) -> None:
@@ -109,7 +116,11 @@ def filesystem_made(folder: str) -> None:
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """The records that the rows of ``index`` point to, each checked against its digest."""
+    """The records that the rows of ``index`` point to, each checked against its digest.
+
+    A range ends where its records, or the payloads that they unpack to, reach ``RANGE_BYTES``, so
+    a task holds a few MB (one record at least), however well the pages are packed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def fetched(rows: list[tuple]) -> pa.RecordBatch:
@@ -122,7 +133,7 @@ def read_records(index: DataFrame) -> DataFrame:
                 opened.update({"file": file, "in": store.open_input_file(at)})
             data = opened["in"].read_at(end - start, start)
             out = []
-            for _, offset, length in rows:
+            for _, offset, length, _ in rows:
                 fields, payload = parse(data[offset - start : offset - start + length])
                 kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"][5:]
                 if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
@@ -134,12 +145,15 @@ def read_records(index: DataFrame) -> DataFrame:
 
         opened: dict = {}
         held: list[tuple] = []
+        unpacked = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (row[0] != held[0][0] or row[1] - held[-1][1] - held[-1][2] > GAP_BYTES or row[1] + row[2] - held[0][1] > RANGE_BYTES):
+                if held and (row[0] != held[0][0] or row[1] - held[-1][1] - held[-1][2] > GAP_BYTES or row[1] + row[2] - held[0][1] > RANGE_BYTES
+                             or unpacked + row[3] > RANGE_BYTES):
                     yield fetched(held)
-                    held = []
+                    held, unpacked = [], 0
                 held.append(row)
+                unpacked += row[3]
         if held:
             yield fetched(held)
         if opened:
@@ -147,7 +161,8 @@ def read_records(index: DataFrame) -> DataFrame:
 
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     schema = pa.schema([(n, types[t]) for n, t in (f.split() for f in RECORD.split(", "))])
-    wanted = index.select("file", "offset", "length").repartitionByRange(partitions(index.sparkSession), "file", "offset")
+    payload = F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(0)
+    wanted = index.select("file", "offset", "length", payload.alias("unpacked")).repartitionByRange(partitions(index.sparkSession), "file", "offset")
     return mapped(wanted.sortWithinPartitions("file", "offset"), run, RECORD)
 
 

@@ -267,6 +267,31 @@ def test_warc_round_trip(spark, scratch):
     assert warc.read_records(warc.write_archives(pages.limit(0), f"{scratch}/none")).count() == 0
 
 
+def test_warc_memory(spark, scratch, monkeypatch):
+    pages = spark.createDataFrame([(i, f"u{i}", f"<p>{i // 2}" * 200_000) for i in range(60)], "page_id long, url string, html string").coalesce(1)
+    want = {(i, "response" if i % 2 else "revisit", None if i % 2 else i + 1, len(f"<p>{i // 2}") * 200_000) for i in range(60)}
+    tasks, mapped = [], warc.mapped
+
+    def kept(df, run, schema):
+        tasks.append((df, run))
+        return mapped(df, run, schema)
+
+    monkeypatch.setattr(warc, "mapped", kept)
+    for few in (0, 100_000):
+        monkeypatch.setattr(warc, "SHARED_ROWS", few, raising=False)
+        index = warc.write_archives(pages, f"{scratch}/warc{few}")
+        out = warc.read_records(index)
+        assert {(r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in out.drop("payload").collect()} == want
+        assert out.filter("record_type = 'response' AND sha1(payload) = payload_digest").count() == 30
+    # records that are small in the archive and large when unpacked come in batches of a few MB
+    rows, run = tasks[-1]
+    batches = list(run(iter(rows.toArrow().to_batches())))
+    assert sum(b.num_rows for b in batches) == 60 and max(b.nbytes for b in batches) < warc.RANGE_BYTES + (1 << 20)
+    # few shared digests: the pages are neither shuffled nor sorted
+    plan = tasks[-2][0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_fingerprints_and_next(spark, empty):
     texts = ["a.\nb.\nc.", "c.\nb.\na.", "a.\nb.", None, "", "one long paragraph. It has parts! Really? yes"]
     df = table(spark, texts).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
