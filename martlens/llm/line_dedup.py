@@ -38,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlens.llm.common import written
+from martlens.llm.common import dropped, written
 
 BROADCAST_IDS = 1_000_000
 NO_ID = -(2**63)
@@ -182,7 +182,7 @@ def earliest(rows: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
         return classes.filter("n > 1").select("h", "first")
     index, probes = join_keys(max_edits)
     keyed = every.select("h", "line", F.length("line").alias("len"))  # counted once, not in each key
-    shorter = written(keyed.select(F.col("h").alias("h1"), F.explode(index).alias("key")).distinct(), "line-index")
+    shorter = indexed = written(keyed.select(F.col("h").alias("h1"), F.explode(index).alias("key")).distinct(), "line-index")
     longer = keyed.select(F.col("h").alias("h2"), F.explode(probes).alias("probe"))
     longer = longer.select("h2", "probe.key", "probe.even").distinct()  # copies of a line probe once
     longer = longer.union(shorter.select("h1", "key", F.lit(True)))

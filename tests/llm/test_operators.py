@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -222,6 +224,42 @@ def test_ngram_join_keeps_the_links_of_rows_that_share_an_id_or_have_none(spark)
     assert got == sorted([(None, 59, 5, False), (5, 57, 5, True), (None, 57, None, True), (None, 57, None, True), (7, 0, 7, True), (None, 0, None, True)], key=str)
 
 
+def test_ngram_join_deals_a_large_cluster_in_waves_and_leaves_no_texts_behind(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rng, made, write = random.Random(7), [], ngram_join.written
+    base = words(rng, 200, 3000).split()
+    texts = [" ".join(base[:i] + [f"new{i}"] + base[i + 1 :]) for i in range(40)] + [words(rng, 200, 3000) for _ in range(5)]
+
+    def kept(df, name):
+        out = write(df, name)
+        made.append((name, out, out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", kept)
+    got = [(r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(table(spark, texts, repeat=[3] * 30)).collect()]
+    assert sorted(set(got)) == [(i, 0 if i < 40 else i) for i in range(45)] and len(got) == 75
+    rows = {name: n for name, _, n in made}
+    assert 40 <= rows["shingle-texts"] <= 40 + 5  # a repeated row comes once from a task
+    assert sum(name == "shingle-links" for name, _, _ in made) >= 10  # ten blocks: no shuffle has every pair of blocks
+    left = [name for name, out, _ in made if os.path.exists(out.scratch.removeprefix("file:"))]
+    assert "shingle-sets" in left and not {"shingle-texts", "shingle-candidates", "shingle-members", "shingle-links"} & set(left)
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        spark_dirs = [d.toString() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+        return sum(f.startswith("shuffle_") for top in spark_dirs for _, _, names in os.walk(top) for f in names)
+
+    before = shuffled()
+    out = common.written(spark.range(1000).repartition(3, "id"), "shuffled")
+    end = time.time() + 20
+    while shuffled() > before and time.time() < end:
+        time.sleep(0.2)
+    assert shuffled() <= before and out.count() == 1000
+    common.dropped(out)
+    assert not os.path.exists(out.scratch.removeprefix("file:"))
+
+
 def test_rtree_finds_every_point_that_passes():
     rng = np.random.default_rng(0)
     points = rng.poisson(5, (300, 8))
